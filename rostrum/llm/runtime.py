@@ -75,3 +75,40 @@ def raw_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def text_list(array: pa.Array) -> list[str]:
     """Texts of a column, null as the empty text."""
     return ["" if x is None else x for x in array.to_pylist()]
+
+
+def filesystem(uri: str):
+    """The file system and path of a URI in the shared folder, for Python code on executors."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri.removeprefix("file:"))
+
+
+class Output:
+    """A file that appears under ``uri`` as a whole when the block ends well, and not at all otherwise.
+
+    Each attempt of a task asks for a name of its own, so that a lost or doubled
+    attempt never touches the file of another; only names that a finished task
+    reported are read.
+    """
+
+    def __init__(self, uri: str):
+        self.fs, self.path = filesystem(uri)
+
+    def __enter__(self):
+        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+        self.stream = self.fs.open_output_stream(self.path + ".part", compression=None)
+        return self.stream
+
+    def __exit__(self, kind, value, trace):
+        self.stream.close()
+        if kind is None:
+            self.fs.move(self.path + ".part", self.path)
+        else:
+            self.fs.delete_file(self.path + ".part")
+
+
+def open_input(uri: str):
+    """A seekable stream over a file of the shared folder."""
+    fs, path = filesystem(uri)
+    return fs.open_input_file(path)
