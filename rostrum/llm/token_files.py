@@ -196,7 +196,7 @@ def write(docs: DataFrame, path: str, *, end_id: int | None = None, id_col: str
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sorted_rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    files = materialise(sorted_rows.mapInArrow(run, "part int, uri string, n_docs long, n_ids long"), "token-files")
+    files = materialise(sorted_rows.mapInArrow(run, "part long, uri string, n_docs long, n_ids long"), "token-files")
     out, start = [], 0
     for i, r in enumerate(files.orderBy("part").collect()):  # a row for each file
         out.append((i, r.uri, r.n_docs, r.n_ids, start))
