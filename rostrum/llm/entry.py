@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bpe, token_files
+from rostrum.llm import bpe, jaccard_join, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read(files)
@@ -24,7 +28,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_files, op9_bpe_round_trip,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op5_token_files, op9_bpe_round_trip,)}
 
 
 def oracle_sql() -> dict[str, str]:
