@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rostrum.llm import bpe, decontaminate, jaccard_join, token_files, toxicity
+from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +32,37 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(files)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("cleaned_sha256"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(_table(spark, sf_dir, "pages"))).drop("url")
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS target FROM pages),
+q AS (
+  SELECT page_id, target, strlen(html) AS payload_bytes, sha1(html) AS h FROM p
+), bits AS (
+  SELECT page_id, target, payload_bytes, list_aggregate(list_transform(range(0, 40), lambda i: lpad(bin(('0x' || h[i + 1])::INTEGER), 4, '0')), 'string_agg', '') AS b FROM q
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda j: CASE WHEN b[5 * i + j + 1] = '1' THEN 16 >> j ELSE 0 END))::INTEGER]), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = target THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> target THEN target END AS refers_to
+FROM bits
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op9_bpe_round_trip,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op7_line_dedup, op8_warc, op9_bpe_round_trip,)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": line_dedup.SQL, "op8_warc": WARC_SQL}
