@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, token_files, toxicity, warc
+from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, pii, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(_table(spark, sf_dir, "documents")))
+
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS target FROM pages),
 q AS (
@@ -61,7 +65,7 @@ FROM bits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op7_line_dedup, op8_warc, op9_bpe_round_trip,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op7_line_dedup, op8_warc, op9_bpe_round_trip, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,232 @@
+"""Personal data in whole texts: weak supervision over spans, in DataFrame functions only.
+
+Base spans (email, ip, card, phone) are the leftmost, non-overlapping matches of
+fixed patterns that pass their checks; they always stay. Looser patterns give
+further candidates (spelled-out emails, phones without a plus sign, identity
+numbers, names after a form of address); of these, those that overlap no base
+span compete for a place:
+
+1. labelers of three kinds vote yes, no or nothing on every candidate, base ones
+   included: patterns (strict shape, checks), gazetteers (ends of domains, forms
+   of address, given names) and contexts (words before, signs around);
+2. expectation-maximisation over the counts of vote patterns (at most ``3 ** 6``)
+   estimates how reliable each labeler is, and from that a probability per pattern;
+3. with these probabilities as soft labels a naive Bayes classifier is trained on
+   features of the span and its surroundings, and keeps candidates from 0.5 on.
+
+Offsets count code points, ends are exclusive. A null text counts as empty; an
+empty text, like one without spans, gives zero counts and the digest of the empty
+string. Repeated rows each give a row. The patterns scan any text once per start:
+runs are possessive and start at their first character or where the last match
+ended. Without candidates nothing is trained and nothing added. Empty tables give
+empty ones; other columns are not read.
+"""
+
+from __future__ import annotations
+
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from rostrum.llm.runtime import materialise
+
+#: Kinds of spans in their order; the first four are base kinds.
+KINDS = ("email", "ip", "card", "phone", "id", "name")
+LOCAL = "A-Za-z0-9._%+-"
+#: Fixed patterns of the base kinds, with possessive runs; `\G` lets a match start where the last one ended.
+BASE = {
+    "email": rf"(?:(?<![{LOCAL}])|\G)[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+ADDRESS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Sra")
+LOOSE = {
+    "email": rf"(?<![{LOCAL}])[{LOCAL}]++ ?[(\[] ?(?:at|AT) ?[)\]] ?[A-Za-z0-9-]++(?: ?[(\[] ?(?:dot|DOT) ?[)\]] ?[A-Za-z0-9-]++)++",
+    "phone": r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "name": rf"(?<!\p{{L}})(?:{'|'.join(ADDRESS)})\.? \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
+}
+TOPS = ("com", "org", "net", "edu", "gov", "io", "info", "de", "fr", "es", "uk", "eu", "at", "ch")
+GIVEN = ("Anna", "Carlos", "Claire", "David", "Emma", "Hans", "Jean", "John", "Juan", "Maria", "Marie", "Mary", "Paul", "Peter", "Sarah", "Thomas")
+#: Words before a span that speak for and against personal data.
+FOR = r"(?i)\b(?:e-?mail|mail|contact|kontakt|call|phone|tel|telefon|mobile|card|visa|ssn|id|ip|address|adresse|name|nombre)\b[^\n]{0,15}$"
+AGAINST = r"(?i)(?:\b(?:version|isbn|issn|order|page|figure|table|section|chapter|no)\b\.?|[=$€£§#])\s?$"
+LABELERS = ("shape", "check", "gazetteer", "speaks_for", "speaks_against", "stands_alone")
+FEATURES = ("kind", "length", "digits", "before", "after", "cue")
+ROUNDS, SMOOTH, THRESHOLD = 12, 1.0, 0.5
+LEFT, RIGHT = 40, 8
+
+
+def _digits(c: Column) -> Column:
+    return F.regexp_replace(c, "[^0-9]", "")
+
+
+def luhn(digits: Column) -> Column:
+    """Whether a string of at most 19 digits passes the checksum."""
+    turned = F.reverse(digits)
+    total = F.lit(0)
+    for i in range(19):
+        d = F.coalesce(F.substring(turned, i + 1, 1).try_cast("int"), F.lit(0))
+        total = total + (F.when(d > 4, 2 * d - 9).otherwise(2 * d) if i % 2 else d)
+    return total % 10 == 0
+
+
+def _passes(kind: Column, match: Column) -> Column:
+    """The check of a base kind."""
+    digits = _digits(match)
+    octet = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+    return (
+        F.when(kind == "email", True)
+        .when(kind == "ip", match.rlike(rf"^{octet}(?:\.{octet}){{3}}$"))
+        .when(kind == "card", F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False))
+        .when(kind == "phone", F.length(digits).between(9, 15))
+        .otherwise(False)
+    )
+
+
+def _found(group: str, text: Column, pattern: str, may: Column) -> tuple[Column, Column]:
+    """Matches of a pattern and the stretches between them, for texts that may have any."""
+    none = F.array().cast("array<string>")
+    return (
+        F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none).alias(f"{group}_m"),
+        F.when(may, F.split(text, pattern, -1)).otherwise(none).alias(f"{group}_g"),
+    )
+
+
+def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each candidate, and one with null kind for each text without any.
+
+    Columns: ``row`` (of the text), ``id``, ``kind``, ``base``, ``start``, ``end``, ``match``, ``left``, ``right``.
+    """
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text, digit = F.col("text"), F.col("text").rlike("[0-9]")
+    loose = "|".join(f"(?:{p})" for p in LOOSE.values())
+    triggers = {"email": F.contains(text, F.lit("@")), "ip": digit, "card": digit, "phone": F.contains(text, F.lit("+"))}
+    groups = [_found(k, text, p, triggers[k]) for k, p in BASE.items()]
+    groups.append(_found("loose", text, loose, digit | text.rlike(rf"(?i)[(\[] ?at ?[)\]]|(?:{'|'.join(ADDRESS)})\.? \p{{Lu}}")))
+    names = [*BASE, "loose"]
+    cut = texts.select("row", "id", *(c for g in groups for c in g))
+
+    def spans(group: str) -> Column:
+        m, g = F.col(f"{group}_m"), F.col(f"{group}_g")
+        zipped = F.arrays_zip(m.alias("m"), F.slice(g, F.lit(1), F.size(m)).alias("g"), F.slice(g, F.lit(2), F.size(m)).alias("h"))
+        return F.transform(
+            zipped,
+            lambda x, i: F.struct(
+                F.lit(group).alias("grp"), i.alias("i"), x["m"].alias("match"), F.length(x["g"]).alias("gap"), F.right(x["g"], F.lit(LEFT)).alias("left"), F.left(x["h"], F.lit(RIGHT)).alias("right")
+            ),
+        )
+
+    rows = cut.select("row", "id", F.explode_outer(F.concat(*(spans(k) for k in names))).alias("s")).select("row", "id", "s.*")
+    before = Window.partitionBy("row", "grp").orderBy("i")
+    end = F.sum(F.col("gap") + F.length("match")).over(before)
+    placed = rows.withColumn("end", end.cast("long")).withColumn("start", F.col("end") - F.length("match"))
+    kind = F.when(F.col("grp") != "loose", F.col("grp"))
+    for k, p in LOOSE.items():
+        kind = F.coalesce(kind, F.when(F.col("match").rlike(f"^(?:{p})$"), F.lit(k)))
+    placed = placed.withColumn("kind", F.when(F.col("grp").isNotNull(), kind))
+    base = F.coalesce((F.col("grp") != "loose") & _passes(F.col("kind"), F.col("match")), F.lit(False))
+    placed = placed.withColumn("base", base)
+    whole = Window.partitionBy("row").orderBy("start", F.col("base").desc())
+    left = F.max(F.when(F.col("base"), F.col("end"))).over(whole.rowsBetween(Window.unboundedPreceding, -1))
+    right = F.min(F.when(F.col("base"), F.col("start"))).over(whole.rowsBetween(1, Window.unboundedFollowing))
+    free = ~F.coalesce(left > F.col("start"), F.lit(False)) & ~F.coalesce(right < F.col("end"), F.lit(False))
+    marked = placed.withColumn("free", free)
+    gone = F.col("grp").isNotNull() & ~F.col("base") & ~((F.col("grp") == "loose") & F.col("free"))
+    out = marked.select("row", "id", *(F.when(~gone, F.col(c)).alias(c) for c in ("kind", "start", "end", "match", "left", "right")), "base")
+    return out
+
+
+def votes(c: DataFrame) -> DataFrame:
+    """The labelers' votes on candidates: 1, -1 or 0."""
+    kind, match, left, right = (F.col(x) for x in ("kind", "match", "left", "right"))
+    last = F.regexp_extract(match, r"([A-Za-z]+)$", 1)
+    digits = _digits(match)
+    vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    return c.select(
+        "*",
+        vote(F.col("base"), match.rlike("^[0-9 ]+$")).alias("shape"),
+        vote(F.col("base") | (kind == "phone") & match.rlike(r"^\(?[2-9]") | (kind == "id") & ~match.rlike("^(?:000|666|9)|-00-|-0000$"), kind.isin("phone", "id") & (F.length(digits) < 9)).alias("check"),
+        F.when(kind == "email", vote(F.lower(last).isin(*TOPS), F.length(last) < 2)).when(kind == "name", vote(match.rlike(rf"\b(?:{'|'.join(GIVEN)})\b"), F.lit(False))).otherwise(0).alias("gazetteer"),
+        vote(left.rlike(FOR), F.lit(False)).alias("speaks_for"),
+        vote(F.lit(False), left.rlike(AGAINST)).alias("speaks_against"),
+        vote((left.rlike(r"(?:^|[\s(\[<,;:])$")) & right.rlike(r"^(?:$|[\s)\]>,;:.!?])"), left.rlike(r"[\p{L}0-9]$") | right.rlike(r"^[\p{L}0-9]")).alias("stands_alone"),
+    )
+
+
+def reliabilities(patterns: DataFrame) -> tuple[dict[str, float], float]:
+    """Each labeler's probability to be right where it votes, and the share of true spans, from counts ``n`` of vote patterns."""
+    right, prior = dict.fromkeys(LABELERS, 0.8), 0.7
+    for _ in range(ROUNDS):
+        p = patterns.withColumn("q", posterior(right, prior))
+        sums = p.agg(
+            F.sum(F.col("n") * F.col("q")).alias("q"), F.sum("n").alias("n"),
+            *(F.sum(F.when(F.col(x) == 1, F.col("n") * F.col("q")).when(F.col(x) == -1, F.col("n") * (1 - F.col("q")))).alias(x) for x in LABELERS),
+            *(F.sum(F.when(F.col(x) != 0, F.col("n"))).alias(f"{x}_n") for x in LABELERS),
+        ).first()
+        if not sums.n:
+            break
+        prior = min(0.99, max(0.01, (sums.q + SMOOTH) / (sums.n + 2 * SMOOTH)))
+        # better than chance by assumption: that is what tells yes from no
+        right = {x: min(0.99, max(0.55, ((sums[x] or 0) + 4 * SMOOTH) / ((sums[f"{x}_n"] or 0) + 5 * SMOOTH))) for x in LABELERS}
+    return right, prior
+
+
+def posterior(right: dict[str, float], prior: float) -> Column:
+    """Probability of a true span, given the votes."""
+    odds = reduce(lambda a, b: a + b, (F.col(x) * math.log(r / (1 - r)) for x, r in right.items()), F.lit(math.log(prior / (1 - prior))))
+    return 1 / (1 + F.exp(-odds))
+
+
+def features(c: DataFrame) -> DataFrame:
+    match = F.col("match")
+    sign = lambda x: F.when(x == "", "none").when(x.rlike(r"\s"), "space").when(x.rlike(r"[\p{L}0-9]"), "word").otherwise("sign")
+    return c.withColumn(
+        "feature",
+        F.array(
+            F.concat(F.lit("kind:"), F.col("kind")),
+            F.concat(F.lit("length:"), F.least(F.lit(6), F.floor(F.length(match) / 5)).cast("string")),
+            F.concat(F.lit("digits:"), F.floor(4 * F.length(_digits(match)) / F.length(match)).cast("string")),
+            F.concat(F.lit("before:"), sign(F.right("left", F.lit(1)))),
+            F.concat(F.lit("after:"), sign(F.left("right", F.lit(1)))),
+            F.concat(F.lit("cue:"), F.when(F.col("left").rlike(FOR), "for").when(F.col("left").rlike(AGAINST), "against").otherwise("none")),
+        ),
+    )
+
+
+def classifier(soft: DataFrame) -> Column:
+    """Probability of a true span from its features: naive Bayes on the soft labels ``q``."""
+    counts = soft.select(F.explode("feature").alias("f"), "q").groupBy("f").agg(F.sum("q").alias("yes"), F.sum(1 - F.col("q")).alias("no")).collect()  # a row for each feature: 40 at most
+    total = soft.agg(F.sum("q").alias("yes"), F.sum(1 - F.col("q")).alias("no")).first()
+    yes, no = (total.yes or 0) + SMOOTH, (total.no or 0) + SMOOTH
+    odds = F.lit(math.log(yes / no))
+    for r in sorted(counts, key=lambda r: r.f):
+        ratio = math.log((r.yes + SMOOTH) / (yes + 2 * SMOOTH)) - math.log((r.no + SMOOTH) / (no + 2 * SMOOTH))
+        odds = odds + F.when(F.array_contains("feature", r.f), ratio).otherwise(0.0)
+    return 1 / (1 + F.exp(-odds))
+
+
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All spans: the columns of :func:`candidates` for base spans and added ones, and a row of null kind where a text has no candidate."""
+    found = materialise(votes(candidates(docs, id_col=id_col, text_col=text_col)), "spans")
+    real = found.where("kind is not null")
+    patterns = materialise(real.groupBy(*LABELERS).agg(F.count("*").alias("n")), "votes")
+    right, prior = reliabilities(patterns)
+    soft = features(real.withColumn("q", posterior(right, prior)))
+    score = classifier(soft)
+    scored = features(found).withColumn("score", F.when(F.col("base"), 1.0).otherwise(score))
+    keep = F.col("base") | (F.col("score") >= THRESHOLD)
+    return scored.select("row", "id", *(F.when(keep, F.col(c)).alias(c) for c in ("kind", "start", "end", "match", "score")), "base")
+
+
+def digests(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A row for each text: counts of base spans, the digest of the base spans and the list of all, by kind and start."""
+    kind = reduce(lambda a, i: a.when(F.col("kind") == KINDS[i], i), range(1, len(KINDS)), F.when(F.col("kind") == KINDS[0], 0))
+    one = F.struct(kind.alias("k"), "start", "end", F.concat_ws(":", "kind", "start", "end").alias("s"))
+    listed = lambda cond: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(cond, one))), lambda x: x["s"]), ",")
+    counted = (F.count_if((F.col("kind") == k) & F.col("base")).alias(f"n_{k}") for k in KINDS[:4])
+    grouped = spans.groupBy("row", "id").agg(*counted, F.sha2(listed(F.col("base") & F.col("kind").isNotNull()), 256).alias("base_sha256"), listed(F.col("kind").isNotNull()).alias("spans"))
+    return grouped.select(F.col("id").alias(id_col), *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans")
