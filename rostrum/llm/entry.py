@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, pii, token_files, toxicity, warc
+from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, pii, suffix_dedup, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(files)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("cleaned_sha256"))
@@ -65,7 +69,7 @@ FROM bits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op7_line_dedup, op8_warc, op9_bpe_round_trip, op10_pii)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op6_suffix_dedup, op7_line_dedup, op8_warc, op9_bpe_round_trip, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -112,3 +112,23 @@ def open_input(uri: str):
     """A seekable stream over a file of the shared folder."""
     fs, path = filesystem(uri)
     return fs.open_input_file(path)
+
+
+def bit_table(rows: DataFrame, bit, size: int) -> tuple[bytes, float]:
+    """A table of ``size`` bits (a power of two) with those of the column ``bit`` set, and the share that is set.
+
+    The driver gets at most ``size / 64`` rows, however many there are.
+    """
+    from pyspark.sql import functions as F
+
+    words = np.zeros(size // 64, np.uint64)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    for word, bits in rows.groupBy(F.floor(bit / 64).cast("long").alias("word")).agg(F.bit_or(one)).collect():
+        words[word] = bits & (1 << 64) - 1
+    return words.tobytes(), float(np.bitwise_count(words).sum()) / size
+
+
+def has_bit(table: bytes, bit: np.ndarray) -> np.ndarray:
+    """Whether each of the bits is set."""
+    words = np.frombuffer(table, np.uint64)
+    return (words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
