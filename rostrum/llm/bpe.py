@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import pairwise
@@ -70,8 +70,8 @@ class Bpe:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.pattern = regex.compile(PATTERN)
         self.splitter = None
-        self.words: dict[str, bytes] = _Memory(self._merge)
-        self.chunks: dict[str, bytes] = _Memory(self._chunk)
+        self.words: dict[str, bytes] = Memory(self._merge, CACHED)
+        self.chunks: dict[str, bytes] = Memory(self._chunk, CACHED)
 
     def _merge(self, word: str) -> bytes:
         """Ids of one pretoken, as little-endian unsigned 32-bit integers."""
@@ -149,18 +149,18 @@ class Bpe:
             return b"".join(strings[i] for i in ids if 0 <= i < n).decode("utf-8", "replace")
 
 
-class _Memory(dict):
-    """A bounded memory of a function of a text."""
+class Memory(dict):
+    """A bounded memory of a function of a short text; beyond ``most`` entries it starts anew."""
 
-    def __init__(self, of):
+    def __init__(self, of: Callable[[str], bytes], most: int):
         super().__init__()
-        self.of = of
+        self.of, self.most = of, most
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
         out = self.of(key)
         if len(key) <= 64:
+            if len(self) >= self.most:
+                self.clear()
             self[key] = out
         return out
 

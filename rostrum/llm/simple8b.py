@@ -31,27 +31,29 @@ def encode(values: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
     for s in range(14, -1, -1):
         count, bits = SELECTORS[s]
         fits = v < np.uint64(1 << bits)
-        if np.count_nonzero(fits) < count and n >= count:
-            continue
+        gaps = np.flatnonzero(~fits)
+        if len(gaps) and max(gaps[0], n - 1 - gaps[-1], np.diff(gaps).max(initial=1) - 1) < count:
+            continue  # no run is long enough
         #: where the run of fitting values ends
         stop = np.minimum.accumulate(np.where(fits, n, at)[::-1])[::-1]
         good = stop >= np.minimum(at + count, end)
         jump[good] = np.minimum(at + count, end)[good]
         kind[good] = s
+    #: all blocks walk side by side from word to word
     starts = np.arange(0, n, BLOCK)
     block_end = np.minimum(starts + BLOCK, n)
-    pos, steps = starts.copy(), []
+    pos, steps = starts, []
     while True:
-        live = pos < block_end
-        if not live.any():
+        steps.append(pos)
+        pos = jump[np.minimum(pos, block_end - 1)]  # the last place of a block leads to its end
+        if (pos >= block_end).all():
             break
-        steps.append(np.where(live, pos, -1))
-        pos = np.where(live, jump[np.minimum(pos, n - 1)], pos)
     grid = np.array(steps).T  # a row for each block
-    held = grid >= 0
+    held = grid < block_end[:, None]
     first = grid[held]
     words = np.zeros(len(first), np.uint64)
     sel = kind[first]
+    padded = np.append(v, np.zeros(64, np.uint64))
     big = v >= np.uint64((1 << 60) - 1)
     for s in np.unique(sel):
         count, bits = SELECTORS[s]
@@ -61,11 +63,9 @@ def encode(values: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
             one = v[first[these]]
             word |= np.minimum(one, np.uint64((1 << 60) - 1))
         elif bits:
-            p = first[these]
-            for i in range(count):
-                q = p + i
-                inside = q < end[p]
-                word |= np.where(inside, v[np.minimum(q, n - 1)], np.uint64(0)) << np.uint64(i * bits)
+            p, mask = first[these], np.uint64((1 << bits) - 1)
+            for i in range(count):  # what lies beyond the block's end is cut when it is read
+                word |= (padded[p + i] & mask) << np.uint64(i * bits)
         words[these] = word
     cuts = np.cumsum(held.sum(axis=1))[:-1]
     return [(int(e - s), w, v[s:e][big[s:e]]) for s, e, w in zip(starts, block_end, np.split(words, cuts), strict=True)]

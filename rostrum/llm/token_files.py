@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.llm import simple8b
+from rostrum.llm.bpe import Memory, byte_letters
 from rostrum.llm.runtime import Output, chunks, fresh_path, materialise, open_input, text_list
 
 MAGIC = b"S8BTOK01"
@@ -38,9 +39,11 @@ INDEX = np.dtype([("offset", "<u8"), ("ids", "<u4"), ("words", "<u4"), ("escapes
 DOCS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FOOTER = struct.Struct("<QQQQ8s")
 #: Blocks that are decoded at once.
-AT_ONCE = 128
-#: Entries of a worker's memory of words; beyond, it starts anew.
-CACHED = 400_000
+AT_ONCE = 256
+#: Entries of a worker's memories of words and of letter runs; beyond, one starts anew.
+CACHED = 500_000
+#: Letters that are their own normal form, then ASCII punctuation.
+PLAIN = regex.compile(r"([a-zA-ZÀ-ÖØ-öø-įı-ňŊ-ž]+)([!-/:-@\[-`{-~]*)")
 #: Python's split() cuts at these, the tokenizers' white space does not have them.
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
@@ -50,7 +53,9 @@ class Encoder:
 
     Where the tokenizer drops white space and never looks across it (its splitter
     keeps only matches, none of which can hold white space), words are encoded
-    once and remembered; other tokenizers see whole texts.
+    once and remembered; other tokenizers see whole texts. Of a word of plain letters,
+    with plain punctuation after it or not, the normaliser only changes the case and
+    the splitter only cuts before the punctuation, so the model is asked directly.
     """
 
     def __init__(self, path: str):
@@ -68,33 +73,30 @@ class Encoder:
         first = (steps.get("pretokenizers") or [steps])[0]
         pattern = (first.get("pattern") or {}).get("Regex", "")
         self.by_word = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" and not any(x["lstrip"] or x["rstrip"] or any(c.isspace() for c in x["content"]) for x in spec["added_tokens"])
-        self.words: dict[str, bytes] = {}
+        letters = {b: c for c, b in byte_letters().items()}
+        model = self.tokenizer.model
+
+        def word(w: str) -> bytes:
+            ids = [x.id for x in model.tokenize(w if w.isascii() else "".join(map(letters.__getitem__, w.encode())))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        def chunk(c: str) -> bytes:
+            m = PLAIN.fullmatch(c)
+            if not m:
+                return self.whole(c)
+            return words[m[1].lower()] + (words[m[2]] if m[2] else b"")
+
+        words = Memory(word, CACHED)
+        self.chunks = Memory(chunk, CACHED)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode unseen words side by side; offsets tell whose an id is."""
-        for i in range(0, len(words), 2000):
-            some = words[i : i + 2000]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            whose = np.searchsorted(ends, np.array([a for a, _ in e.offsets] or [0], np.int64)[: len(e.ids)], side="right")
-            ids = np.array(e.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(whose, np.arange(len(some) + 1))).tolist()
-            self.words.update((w, ids[cuts[k] : cuts[k + 1]]) for k, w in enumerate(some))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
-            return [self.whole(t) for t in texts]
-        if len(self.words) > CACHED:
-            self.words.clear()
-        split = [None if SEPARATORS.search(t) else t.split() for t in texts]
-        unseen = set().union(*(x for x in split if x)) - self.words.keys()
-        if unseen:
-            self._learn(sorted(unseen))
-        return [self.whole(t) if x is None else b"".join(map(self.words.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, as little-endian unsigned 32-bit integers."""
+        if not self.by_word or SEPARATORS.search(text):
+            return self.whole(text)
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=4)
@@ -189,8 +191,8 @@ def write(docs: DataFrame, path: str, *, end_id: int | None = None, id_col: str
         with Output(uri) as stream:
             writer = Writer(stream)
             for b in chunks((x for y in ([first], batches) for x in y), "text", 4 << 20):
-                for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode(text_list(b.column(1))), strict=True):
-                    writer.add(doc_id, ids + tail)
+                for doc_id, text in zip(b.column(0).to_pylist(), text_list(b.column(1)), strict=True):
+                    writer.add(doc_id, enc.encode(text) + tail)
             n_docs, n_ids = writer.finish()
         yield pa.RecordBatch.from_pydict({"part": [part], "uri": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
 
