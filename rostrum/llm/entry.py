@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostrum.llm import bpe, decontaminate, jaccard_join, line_dedup, pii, suffix_dedup, token_files, toxicity, warc
+from rostrum.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, pii, suffix_dedup, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -69,8 +73,8 @@ FROM bits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op4_benchmark_decontamination, op5_token_files, op6_suffix_dedup, op7_line_dedup, op8_warc, op9_bpe_round_trip, op10_pii)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_exact_top_k, op4_benchmark_decontamination, op5_token_files, op6_suffix_dedup, op7_line_dedup, op8_warc, op9_bpe_round_trip, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": line_dedup.SQL, "op8_warc": WARC_SQL}
+    return {"op3_exact_top_k": hamming.SQL, "op7_line_dedup": line_dedup.SQL, "op8_warc": WARC_SQL}
