@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rostrum.functions import excerpts as X
 from rostrum.functions import scalars as S
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
@@ -20,6 +21,7 @@ from rostrum.operators import validation as V
 from rostrum.operators import windows as W
 from rostrum.plans import filters, lang
 from rostrum.session import table
+from rostrum.sources import proceedings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -783,3 +785,33 @@ def r10_wide(t):
 def r13_unanswered(t):
     d = turns(t).withColumn("nx", F.lead("role").over(W.day(["conv_id"], "order")))
     return d.where("role = 'user' AND coalesce(nx, '') <> 'assistant'").select("conv_id", "order")
+
+
+# excerpts, citations and trees: no SQL, held against plain Python in the tests
+
+@query()
+def p30_snippet(t):
+    return t("documents").where(F.contains(F.lower("text"), F.lit("the"))).select("doc_id", X.snippet(F.col("text"), "the").alias("snippet"))
+
+
+@query()
+def p31_excerpt(t):
+    return t("documents").where(F.contains(F.lower("text"), F.lit("that"))).select("doc_id", X.excerpt(F.col("text"), ["that"]).alias("excerpt"))
+
+
+@query("""WITH d AS (SELECT doc_id, 'a [' || (doc_id % 7) || ', ' || (doc_id % 5) || '] b [' || (doc_id % 3) || ']' AS r FROM documents), u AS (SELECT doc_id, doc_id % 7 AS ref, 1 AS p FROM d UNION ALL SELECT doc_id, doc_id % 5, 2 FROM d UNION ALL SELECT doc_id, doc_id % 3, 3 FROM d)
+SELECT doc_id, ref, row_number() OVER (PARTITION BY doc_id ORDER BY min(p)) AS number FROM u GROUP BY doc_id, ref""")
+def p36_citations(t):
+    part = lambda k: (F.col("doc_id") % k).cast("string")
+    d = t("documents").select("doc_id", F.concat(F.lit("a ["), part(7), F.lit(", "), part(5), F.lit("] b ["), part(3), F.lit("]")).alias("r"))
+    return X.citations(d, "doc_id", "r")
+
+
+@query("""SELECT conv_id::VARCHAR AS path, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS "order", CASE role WHEN 'user' THEN 'question' WHEN 'assistant' THEN 'answer' ELSE 'speech' END AS row_type, 'R' || turn AS name_id FROM conversations""")
+def x2_walk(t):
+    """A file for each conversation, parsed back into turns."""
+    tag = F.when(F.col("role") == "user", "question").when(F.col("role") == "assistant", "answer").otherwise("speech")
+    speech = F.concat(F.lit("<"), tag, F.lit("><talk.start><talker><name>A</name><name.id>r"), F.col("order").cast("string"), F.lit("</name.id></talker><para>x</para></talk.start></"), tag, F.lit(">"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", speech.alias("x")))), lambda r: r["x"]), "")
+    files = turns(t).groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.encode(F.concat(F.lit('<hansard version="2.1"><chamber.xscript><debate><debateinfo/>'), rows, F.lit("</debate></chamber.xscript></hansard>")), "UTF-8").alias("content"))
+    return proceedings.parse(files, "turns").select("path", "order", "row_type", "name_id")
