@@ -12,12 +12,17 @@ verified. A pair is held to the smaller ``l`` of the two.
   marks the shingles of common passages.
 * Equal sets form a class from the start; only classes are compared.
 * Shingles that one class alone has in its prefix are dropped by a minimum and a
-  maximum per shingle, combined before the shuffle.
-* Classes are first compared with hubs: of each shingle the class of smallest rank
-  in that round's order, and for each class its most frequent hub. Linked classes
-  merge. Blocks of one component are done; what is left between components is
-  joined in full and verified by the size of the intersection, so no link between
-  components is lost, while a group of copies costs about as many pairs as copies.
+  maximum per shingle, combined before the shuffle; a table of :data:`BITS` bits
+  that marks the others keeps most entries from being shuffled a second time.
+* Each class is first compared with one hub: of every shingle the class with most
+  shared entries, of these the one it meets most often. Classes of one hub are a
+  family. Linked classes merge; blocks of one component are done.
+* What is left between components is joined in full. Across families, pairs meet at
+  shared shingles. Within a family they meet once, and only if the shingles that
+  each shares with any other of the family, and with the hub, leave room for a
+  link: a family of near copies then costs about as many pairs as doubtful members.
+  All pairs are verified by the size of the intersection; no link between
+  components is lost.
 
 Texts without words have empty sets and link with nothing, as do null texts; a
 text of fewer words than a shingle gives its whole sequence. Rows of null id take
@@ -37,17 +42,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.llm.components import connected_components
-from rostrum.llm.runtime import chunks, materialise, raw_bytes
+from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
 from rostrum.llm.words import mix, shingles, words
 
 #: Counts in the table of shingle frequencies.
 BUCKETS = 1 << 16
 #: Longest extension of a prefix.
 LONGEST = 8
-#: Entries of the table of texts that a verification may need.
-MARKS = 1 << 18
-#: Rounds with hubs, at most, and the pairs for each shared prefix entry below which all that is left is joined.
-HUB_ROUNDS, FEW = 6, 2
+#: Bits of the tables that mark shared shingles and the texts that a verification needs (powers of two).
+BITS, TEXT_BITS = 1 << 22, 1 << 20
+#: Members of a family up to which its pairs are verified without further bounds.
+SMALL = 16
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -67,34 +72,30 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
 
-def signatures(docs: DataFrame, size: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``n`` (distinct shingles) and ``cls`` (equal for equal sets, null for empty ones) of every row."""
+def signatures(docs: DataFrame, size: int, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, np.ndarray]:
+    """One pass over all rows.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, size):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, sets), pa.int64()), pa.array([_class(x) if len(x) else None for x in sets], pa.int64())], ["id", "n", "cls"])
-
-    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, n long, cls long")
-
-
-def frequencies(docs: DataFrame, size: int, *, text_col: str = "text") -> np.ndarray:
-    """How far the count of each bucket of shingles lies above what chance gives; over all rows."""
+    First ``id``, ``n`` (distinct shingles) and ``cls`` (equal for equal sets, null
+    for empty ones) of every row; then how far the count of each bucket of shingles
+    lies above what chance gives.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
-        for b in chunks(batches, "text"):
-            data, at = raw_bytes(b.column(1))
-            hashes, _, _, rows = words(data, at)
-            total += np.bincount((shingles(hashes, rows, size)[0] >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+        for ids, sets in _sets(batches, size):
+            total += np.bincount((np.concatenate(sets) >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, sets), pa.int64()), pa.array([_class(x) if len(x) else None for x in sets], pa.int64()), none], ["id", "n", "cls", "bucket"])
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["bucket", "n"])
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(total[at]), none, pa.array(at, pa.int64())], ["id", "n", "cls", "bucket"])
 
-    rows = docs.select(F.lit(0).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "bucket long, n long")
+    both = materialise(_texts(docs, id_col, text_col).mapInArrow(run, "id long, n long, cls long, bucket long"), "signatures")
     table = np.zeros(BUCKETS, np.int64)
-    for bucket, n in rows.groupBy("bucket").agg(F.sum("n")).collect():  # BUCKETS rows at most
+    for bucket, n in both.where("bucket is not null").groupBy("bucket").agg(F.sum("n")).collect():  # BUCKETS rows at most
         table[bucket] = n
     middle = np.median(table)
-    return np.maximum(table - middle - 4 * np.sqrt(middle), 0).astype(np.float64)
+    return both.where("bucket is null").drop("bucket"), np.maximum(table - middle - 4 * np.sqrt(middle), 0).astype(np.float64)
 
 
 def required(n: np.ndarray | int, percent: int):
@@ -118,8 +119,8 @@ def prefix(own: np.ndarray, excess: np.ndarray, percent: int) -> tuple[np.ndarra
     return own[order[:keep]], np.maximum(1, np.arange(1, keep + 1) - (n - need)), chosen
 
 
-def entries(docs: DataFrame, size: int, percent: int, excess: np.ndarray, *, id_col: str, text_col: str) -> DataFrame:
-    """Prefix entries: ``token``, ``cls``, and in one number ``n``, level and ``l``."""
+def entries(docs: DataFrame, size: int, percent: int, excess: np.ndarray, marks: bytes | None = None, *, id_col: str, text_col: str) -> DataFrame:
+    """Prefix entries, of marked shingles only if marks are given: ``token``, ``cls``, and in one number ``n``, level and ``l``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _sets(batches, size):
@@ -128,59 +129,46 @@ def entries(docs: DataFrame, size: int, percent: int, excess: np.ndarray, *, id_
             for ok, own in zip(known, sets, strict=True):
                 if ok and len(own):
                     t, level, ell = prefix(own, excess, percent)
+                    info.append(len(own) * 256 + level * 16 + ell)
                     token.append(t)
                     cls.append(np.full(len(t), _class(own)))
-                    info.append(len(own) * 256 + level * 16 + ell)
             if token:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(cls)), pa.array(np.concatenate(info))], ["token", "cls", "info"])
+                token, cls, info = np.concatenate(token), np.concatenate(cls), np.concatenate(info)
+                if marks is not None:
+                    kept = has_bit(marks, token % np.uint64(BITS))
+                    token, cls, info = token[kept], cls[kept], info[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(cls), pa.array(info)], ["token", "cls", "info"])
 
     return _texts(docs, id_col, text_col).mapInArrow(run, "token long, cls long, info long")
 
 
-def _mark(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.view(np.uint64)) >> np.uint64(46)).astype(np.int64)
-
-
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id`` and ``items`` of at least the wanted ids; a table of marks of fixed size spares most others the shuffle."""
-
-    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(MARKS, bool)
-        for b in batches:
-            seen[_mark(b.column(0).to_numpy())] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen))], ["mark"])
-
-    marks = np.zeros(MARKS, bool)
-    marks[[r.mark for r in wanted.mapInArrow(note, "mark long").distinct().collect()]] = True  # MARKS rows at most
-    packed = np.packbits(marks).tobytes()
+    """``id`` and ``items`` of the wanted ids; a table of marks of fixed size spares most others the shuffle."""
+    marks, _ = bit_table(wanted, F.pmod("id", F.lit(TEXT_BITS)), TEXT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
-
         def some() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 b = b.filter(b.column(0).is_valid())
                 if b.num_rows:
-                    b = b.filter(pa.array(marked[_mark(b.column(0).to_numpy())]))
+                    b = b.filter(pa.array(has_bit(marks, b.column(0).to_numpy().astype(np.int64).view(np.uint64) % np.uint64(TEXT_BITS))))
                     if b.num_rows:
                         yield b
 
         for ids, sets in _sets(some(), size):
             at = np.cumsum([0, *map(len, sets)])
-            values = np.concatenate(sets).view(np.int64) if len(sets) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "items"])
 
     sets = _texts(docs, id_col, text_col).mapInArrow(run, "id long, items array<long>")
-    return sets.join(wanted, "id", "left_semi")
+    return materialise(sets.join(wanted, "id", "left_semi"), "sets")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) whose sets are similar enough, by exact counts."""
+    """``pairs`` (``a``, ``b``) with the size ``both`` of the intersection of their sets, and whether they link."""
     b = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
     a = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
-    both = F.size(F.array_intersect("items_a", "items_b"))
-    joined = pairs.join(b, "b").join(a, "a")
-    return joined.where(100 * both >= percent * (F.size("items_a") + F.size("items_b") - both)).select("a", "b")
+    joined = pairs.join(b, "b").join(a, "a").withColumn("both", F.size(F.array_intersect("items_a", "items_b")))
+    return joined.select("a", "b", "both", (100 * F.col("both") >= percent * (F.size("items_a") + F.size("items_b") - F.col("both"))).alias("link"))
 
 
 def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,66 +178,89 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
     ``size``-word shingles; the component is the smallest id reachable by links.
     """
     by = {"id_col": id_col, "text_col": text_col}
-    rows = materialise(signatures(docs, size, **by), "signatures")
+    rows, excess = signatures(docs, size, **by)
     classes = rows.where("cls is not null and id is not null").groupBy("cls").agg(F.min("id").alias("node"))
-    excess = frequencies(docs, size, text_col=text_col)
     found = entries(docs, size, percent, excess, **by)
-    shared = found.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token")
-    kept = found.join(shared, "token").distinct().join(classes, "cls")
+    shared = materialise(found.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token"), "shared")
+    marks, _ = bit_table(shared, F.pmod("token", F.lit(BITS)), BITS)
+    kept = entries(docs, size, percent, excess, marks, **by).join(shared, "token").distinct().join(classes, "cls")
     kept = kept.select("token", "node", F.shiftright("info", 8).alias("n"), (F.shiftright("info", 4) % 16).alias("level"), (F.col("info") % 16).alias("ell"))
     kept = materialise(kept, "prefixes")
-    sets = materialise(_wanted_sets(docs, kept.select(F.col("node").alias("id")).distinct(), size, **by), "sets")
 
     noded = rows.where("id is not null").join(classes, "cls")
     several = noded.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
     same = materialise(noded.join(several, "id").select("a", F.col("node").alias("b")).distinct(), "same")
-    links, labels, tried = same, None, None
-    for turn in range(HUB_ROUNDS + 1):
-        blocks = kept.select("token", "node", "n", "level", "ell", F.col("node").alias("comp")) if labels is None else kept.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        open_ = blocks.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-        blocks = materialise(blocks.join(open_, "token"), "blocks")
-        sums = blocks.groupBy("token", "comp").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"))
-        left, size_now = sums.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.sum("all")).first()
-        if not left:
-            break
-        if turn == HUB_ROUNDS or left <= FEW * size_now:
-            pairs = _all_pairs(blocks, percent)
-        else:
-            pairs = _hub_pairs(blocks, percent, turn)
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = materialise(pairs, "pairs")
-            tried = pairs if tried is None else tried.union(pairs)
-        fresh = materialise(verify(pairs, sets, percent), "links")
-        links = links.union(fresh)
-        labels = materialise(connected_components(links), "components")
-        if turn == HUB_ROUNDS or left <= FEW * size_now:
-            break
-    if labels is None and not same.isEmpty():
-        labels = materialise(connected_components(links), "components")
+
+    hubs = materialise(_hub_pairs(kept, percent), "hubs")
+    sets = _wanted_sets(docs, hubs.select(F.explode(F.array("node", "hub")).alias("id")).distinct(), size, **by)
+    met = materialise(verify(hubs.select(F.col("node").alias("b"), F.col("hub").alias("a")), sets, percent), "met")
+    links = met.where("link").select("a", "b").union(same)
+    labels = materialise(connected_components(links), "components")
+
+    family = met.select(F.col("b").alias("node"), F.col("a").alias("family"), F.col("both").alias("with_hub"))
+    far = _across(kept, family, labels, percent)
+    near = _within(kept, family, sets, labels, percent)
+    pairs = materialise(far.union(near).distinct(), "pairs")
+    sets = _wanted_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), size, **by)
+    more = materialise(verify(pairs, sets, percent).where("link").select("a", "b"), "links")
+    if not more.isEmpty():
+        labels = materialise(connected_components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)), "components")
+
     out = rows.join(classes, "cls", "left").withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")))
-    if labels is not None:
-        out = out.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
+    out = out.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("node").alias("component_id"))
 
 
-def _hub_pairs(blocks: DataFrame, percent: int, turn: int) -> DataFrame:
-    """For each node the hub, of another component, that it meets most often under this turn's order."""
-    rank = F.xxhash64(F.col("node"), F.lit(turn)) if turn else F.col("node")
-    hubs = blocks.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "comp")).alias("hub")).select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp"))
-    met = blocks.join(hubs, "token").where((F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
-    counted = met.groupBy("node", "hub").agg(F.count("*").alias("k"))
-    best = counted.groupBy("node").agg(F.max(F.struct("k", "hub")).alias("best"))
-    return best.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b")).distinct()
+def _hub_pairs(kept: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``hub``: for each node the hub that it meets most often, if it meets one often enough to be similar to it."""
+    load = kept.groupBy("node").agg(F.count("*").alias("load"))
+    known = kept.join(load, "node")
+    best = known.groupBy("token").agg(F.min(F.struct((-F.col("load")).alias("rank"), "node", "n", "ell")).alias("hub")).select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.ell").alias("hub_ell"))
+    pairs = kept.join(best, "token").where((F.col("node") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
+    counted = pairs.groupBy("node", "hub").agg(F.count("*").alias("k"), F.min(F.least("ell", "hub_ell")).alias("ell")).where("2 * k >= ell")
+    return counted.groupBy("node").agg(F.max(F.struct("k", (-F.col("hub")).alias("hub"))).alias("best")).select("node", (-F.col("best.hub")).alias("hub"))
 
 
-def _all_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components that shares as many shingles as the smaller ``l`` of the two asks for."""
-    x = blocks.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "level", "ell", "comp")))
-    y = blocks.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "level", "ell", "comp")))
+def _placed(rows: DataFrame, family: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` of nodes with the component and the family of each (its own where it has none)."""
+    out = rows.join(labels.withColumnRenamed("id", "node"), "node", "left").join(family, "node", "left")
+    return out.withColumn("comp", F.coalesce("component", "node")).withColumn("family", F.coalesce("family", "node")).drop("component")
+
+
+def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components and families that share as many shingles as the smaller ``l`` of the two asks for."""
+    blocks = _placed(kept, family.select("node", "family"), labels)
+    mixed = blocks.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("family").alias("f0"), F.max("family").alias("f1")).where("c0 < c1 and f0 < f1").select("token")
+    blocks = materialise(blocks.join(mixed, "token"), "blocks")
+    own = ("node", "n", "level", "ell", "comp", "family")
+    x, y = (blocks.select("token", *(F.col(c).alias(f"{c}_{side}") for c in own)) for side in "ab")
     ell = F.least("ell_a", "ell_b")
     met = x.join(y, "token").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
+        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (F.col("family_a") != F.col("family_b"))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("level_a") <= ell) & (F.col("level_b") <= ell)
     )
     return met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("k"), F.min(ell).alias("ell")).where("k >= ell").select("a", "b")
+
+
+def _within(kept: DataFrame, family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one family and different components that its bounds don't rule out."""
+    n = kept.groupBy("node").agg(F.max("n").alias("n"))
+    members = _placed(n, family, labels)
+    members = members.withColumn("with_hub", F.coalesce("with_hub", F.when(F.col("family") == F.col("node"), F.col("n"))))
+    #: a hub that has a hub of its own stands in that family and, as the centre, in its own
+    centres = members.select(F.col("family").alias("node")).distinct().join(members.select("node", "n", "comp", F.col("family").alias("other")), "node").where("node <> other")
+    members = members.select("family", "node", "n", "comp", "with_hub").union(centres.select(F.col("node").alias("family"), "node", "n", "comp", F.col("n").alias("with_hub")))
+    sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
+    members = materialise(members.join(sizes.select("family", "members"), "family"), "families")
+    large = members.where(F.col("members") > SMALL).select("family", "node").join(sets.withColumnRenamed("id", "node"), "node").select("family", "node", F.explode("items").alias("token"))
+    held = large.groupBy("family", "token").agg(F.count("*").alias("k")).where("k > 1")
+    shares = large.join(held, ["family", "token"]).groupBy("family", "node").agg(F.count("*").alias("shares"))
+    known = members.join(shares, ["family", "node"], "left").withColumn("shares", F.when(F.col("members") > SMALL, F.coalesce("shares", F.lit(0))).otherwise(F.col("n")))
+    x, y = (known.select("family", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "comp", "with_hub", "shares"))) for side in "ab")
+    most = F.least("with_hub_a", "with_hub_b") + F.least(F.col("shares_a") - F.col("with_hub_a"), F.col("shares_b") - F.col("with_hub_b"))
+    most = F.least(F.when(F.col("shares_a").isNotNull(), most), "n_a", "n_b")
+    pairs = x.join(y, "family").where(
+        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+    )
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
