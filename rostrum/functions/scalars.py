@@ -114,7 +114,7 @@ def spoken_name(name: Column, canonical: Column) -> Column:
     """A speaker's name: the canonical one if known; else without a colon at the end and without first names after an honorific."""
     cleaned = F.trim(F.regexp_replace(F.trim(name), r":+$", ""))
     t = F.split(cleaned, r"\s+")
-    last = F.rtrim(F.lit(")"), F.element_at(t, -1))
+    last = F.regexp_replace(F.element_at(t, -1), r"\)+$", "")
     plain = ~F.upper(F.element_at(t, 2)).isin("THE", "DEPUTY", "ACTING", "TEMPORARY", "PRESIDENT", "SPEAKER", "CHAIR", "CLERK")
     known = F.element_at(t, 1).isin(*HONORIFICS) & (F.size(t) >= 3)
     return F.when(name.isNull() | (F.trim(name) == ""), name).otherwise(F.coalesce(canonical, F.when(F.coalesce(known, F.lit(False)) & F.coalesce(plain, F.lit(False)), F.concat_ws(" ", F.element_at(t, 1), last)), cleaned))

@@ -162,7 +162,10 @@ def _turns(e: ET.Element, written: int, section: int) -> Iterator[dict]:
                     yield base | row | {"row_type": kind}
             else:
                 nested = lambda x: isinstance(x.tag, str) and x.tag.lower() in (*SPEECHES, "interject", "talker", "debate", "subdebate.1", "subdebate.2")
-                body = re.sub(r"^[—\-]\s*", "", text_of(c, nested))
+                start = c.find("talk.start")
+                parts = [x for x in (*(start if start is not None else ()), *c) if x is not start and not nested(x)]
+                body = "\n\n".join(y for y in ((c.text or "").strip(), *(text_of(x, nested) for x in parts)) if y)
+                body = re.sub(r"^[—\-]\s*", "", body)
                 yield base | who | {"row_type": tag, "body": body}
                 yield from _turns(c, written, section)
         elif tag in STAGES and STAGES[tag]:
