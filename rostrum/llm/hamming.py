@@ -2,11 +2,12 @@
 
 Vectors become binary codes, a bit for each component (1 where it is above 0). A
 code is cut into segments; every segment has an index from its value to the codes
-that have it. A query looks, in rounds, for values within a radius of 0, 1, 2, ...
-of its own in every segment: after the round of radius ``r`` every code within
-``segments * (r + 1) - 1`` bits has been met, so a query whose k-th verified
-distance is no more than that is done, and only the others go on to the next
-round. Segments have about as many bits as the number of codes has digits in base
+that have it. A query looks, in rounds, for values at a distance of 0, 1, 2, ...
+from its own in every segment: once that is done up to ``r`` in the first ``a``
+segments and up to ``r - 1`` in the others, every code within ``segments * r + a - 1``
+bits has been met, so a query whose k-th verified distance is no more than that is
+done, and only the others go on. Small radii take all segments in one round, larger
+ones a round for each segment. Segments have about as many bits as the number of codes has digits in base
 two, so that a value has a few codes.
 
 Equal codes are searched as one and stand for their ``k + 1`` smallest ids. Ties go
@@ -20,6 +21,7 @@ gets all of them. Empty tables give empty results.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.runtime import materialise
 
+#: The radius from which a round takes one segment.
+SINGLY = 3
 #: Bits in a part of a code that is held in one 64-bit integer.
 WORD = 32
 
@@ -53,6 +57,13 @@ def _segments(bits: int, rows: int) -> list[tuple[int, int]]:
     return out
 
 
+def _rounds(widths: list[int]) -> Iterator[tuple[int, list[int]]]:
+    """Radius and segments of each round, until every value has been looked for."""
+    for radius in range(max(widths) + 1):
+        some = [i for i, w in enumerate(widths) if radius <= w]
+        yield from [(radius, some)] if radius < SINGLY else [(radius, [i]) for i in some]
+
+
 def _value(first: int, width: int) -> Column:
     return F.shiftrightunsigned(F.element_at("code", first // WORD + 1), first % WORD).bitwiseAND(F.lit((1 << width) - 1))
 
@@ -76,33 +87,31 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, *, id_col: str = "ve
     index = materialise(distinct.select("code", F.explode(F.array(*(F.struct(F.lit(i).alias("segment"), _value(*s).alias("value")) for i, s in enumerate(segments)))).alias("at")).select("at.*", "code"), "index")
     open_ = materialise(rows.where(queries).select(F.col("id").alias("query_id"), F.col("code").alias("query_code")), "queries")
     best, done = None, []
-    radius = 0
-    while True:
+    for radius, some in _rounds([w for _, w in segments]):
         probes = None
-        for i, (start, width) in enumerate(segments):
-            if radius > width:
-                continue
+        for i in some:
+            start, width = segments[i]
             masks = F.array(*(F.lit(sum(1 << b for b in c)).cast("long") for c in combinations(range(width), radius)))
             own = open_.select("query_id", F.col("query_code").alias("code"))
             one = own.select("query_id", F.col("code").alias("query_code"), F.lit(i).alias("segment"), _value(start, width).alias("own"), F.explode(masks).alias("mask"))
             one = one.select("query_id", "query_code", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
             probes = one if probes is None else probes.union(one)
-        if probes is None:
-            break
-        #: a code is verified once for each query code, and stands for its ids
+        #: a code is verified once in a round for each query, and stands for its ids
         met = probes.join(index, ["segment", "value"]).select("query_id", "query_code", "code").distinct()
         found = met.join(near, "code").where(F.col("id") != F.col("query_id")).select("query_id", "query_code", "id", _distance("code", "query_code").alias("distance"))
         both = found if best is None else found.union(best).distinct()
         ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query_code").orderBy("distance", "id"))).where(F.col("rank") <= k)
         ranked = materialise(ranked, "ranked")
-        kth = ranked.where(F.col("rank") == k).where(F.col("distance") <= len(segments) * (radius + 1) - 1).select("query_id", "query_code")
+        covered = len(segments) * radius + some[-1]
+        kth = ranked.where(F.col("rank") == k).where(F.col("distance") <= covered).select("query_id", "query_code")
         done.append(ranked.join(kth, ["query_id", "query_code"], "left_semi"))
         open_ = materialise(open_.join(kth, ["query_id", "query_code"], "left_anti"), "queries")
         best = ranked.join(kth, ["query_id", "query_code"], "left_anti").drop("rank").select("query_id", "query_code", "id", "distance")
-        radius += 1
-        if open_.isEmpty() or radius > max(w for _, w in segments):
-            done.append(ranked.join(kth, ["query_id", "query_code"], "left_anti"))
+        rest = ranked.join(kth, ["query_id", "query_code"], "left_anti")
+        if open_.isEmpty():
             break
+    else:
+        done.append(rest)
     out = done[0]
     for x in done[1:]:
         out = out.union(x)
