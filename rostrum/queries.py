@@ -815,3 +815,171 @@ def x2_walk(t):
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", speech.alias("x")))), lambda r: r["x"]), "")
     files = turns(t).groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.encode(F.concat(F.lit('<hansard version="2.1"><chamber.xscript><debate><debateinfo/>'), rows, F.lit("</debate></chamber.xscript></hansard>")), "UTF-8").alias("content"))
     return proceedings.parse(files, "turns").select("path", "order", "row_type", "name_id")
+
+
+# further rows of the inventory
+
+@query("SELECT coalesce(CASE c_nationkey % 4 WHEN 0 THEN 'New South Wales' WHEN 1 THEN 'Queensland' WHEN 2 THEN 'Victoria' END, 'Other') AS state, count(*) AS n FROM customer GROUP BY 1")
+def a9_state_counts(t):
+    """Counts by normalised place, with a default."""
+    k = F.col("c_nationkey") % 4
+    raw = F.when(k == 0, "NSW").when(k == 1, "Queesland").when(k == 2, "Vic").otherwise("nowhere")
+    return t("customer").groupBy(F.coalesce(S.state(raw), F.lit("Other")).alias("state")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT year(o_orderdate) AS year, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS "1-URGENT", count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS "2-HIGH" FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1""")
+def a12_two_keys(t):
+    return A.crosstab(by_year(t).where("o_orderpriority IN ('1-URGENT', '2-HIGH')"), "year", "o_orderpriority", ["1-URGENT", "2-HIGH"])
+
+
+@query("SELECT source, round(100.0 * avg(CASE WHEN toxic = 1 THEN 1.0 ELSE 0.0 END), 4) AS pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+def a16_flag_share(t):
+    """Flags come as numbers, decimals or texts."""
+    said = F.when(F.col("doc_id") % 2 == 0, F.col("toxic").cast("string")).otherwise(F.col("toxic").cast("double").cast("string"))
+    d = t("documents").join(t("labels"), "doc_id", "left")
+    return A.share(d, ["source"], F.coalesce(S.flag(said) == 1, F.lit(False))).select("source", r4(F.col("pct"), "pct"))
+
+
+@query("SELECT max_by(year, (n, -year)) AS peak, max(n) AS n FROM (SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1)")
+def a22_peak_overall(t):
+    n = by_year(t).groupBy("year").agg(F.count("*").alias("n"))
+    return n.agg(F.max_by("year", F.struct("n", -F.col("year"))).alias("peak"), F.max("n").alias("n"))
+
+
+@query("""WITH d AS (SELECT DISTINCT o_orderdate::DATE AS date FROM orders WHERE o_totalprice > 400000) SELECT c_mktsegment, string_agg(y || '(' || n || ')', ' ' ORDER BY y) AS series, sum(n)::BIGINT AS n FROM (SELECT c_mktsegment, year(o_orderdate) AS y, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE IN (SELECT date FROM d) GROUP BY 1, 2) GROUP BY 1""")
+def a33_topic_matrix(t):
+    """Only days that matched."""
+    o = by_year(t)
+    d = o.join(o.where("o_totalprice > 400000").select("date").distinct(), "date", "left_semi").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return A.compact(d, ["c_mktsegment"], "year")
+
+
+@query("SELECT o_custkey, string_agg(DISTINCT p::VARCHAR, ',' ORDER BY p::VARCHAR) AS parliaments FROM (SELECT o_custkey, CASE WHEN y <= 1999 THEN 39 WHEN y <= 2001 THEN 40 WHEN y <= 2004 THEN 41 ELSE 42 END AS p FROM (SELECT o_custkey, year(o_orderdate) + 4 AS y FROM orders)) GROUP BY 1")
+def a38_parliaments(t):
+    return by_year(t).groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set(S.parliament(F.col("year") + 4).cast("string"))), ",").alias("parliaments"))
+
+
+@query("SELECT year(o_orderdate) AS year, count(*) FILTER (WHERE o_orderstatus = 'F') AS answered, count(*) FILTER (WHERE o_orderstatus <> 'F') AS unanswered FROM orders GROUP BY 1")
+def a46_answered(t):
+    said = F.when(F.col("o_orderstatus") == "F", "True").otherwise("no")
+    yes = F.lower(said).isin("true", "yes", "1")
+    return by_year(t).groupBy("year").agg(F.count_if(yes).alias("answered"), F.count_if(~yes).alias("unanswered"))
+
+
+@query("SELECT v.i, v.p AS priority, count(o_orderkey) AS n FROM (VALUES (1, '5-LOW'), (2, '1-URGENT'), (3, 'absent')) v(i, p) LEFT JOIN orders ON o_orderpriority = v.p GROUP BY 1, 2")
+def a47_ordered_counts(t):
+    o = t("orders")
+    keys = o.sparkSession.createDataFrame([(1, "5-LOW"), (2, "1-URGENT"), (3, "absent")], "i int, priority string")
+    n = o.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    return F.broadcast(keys).join(n, "priority", "left").na.fill(0, ["n"]).select("i", "priority", "n")
+
+
+@query("""SELECT round(100.0 * count(*) FILTER (WHERE toxic = 1) / count(toxic), 4) AS pct_negative, (SELECT arg_max(lang, (n, lang)) FROM (SELECT lang, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1)) AS top_lang FROM documents JOIN labels USING (doc_id)""")
+def a51_a52_headline(t):
+    d = t("documents").join(t("labels"), "doc_id")
+    top = d.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max_by("lang", F.struct("n", "lang")).alias("top_lang"))
+    return d.agg(r4(100.0 * F.count_if(F.col("toxic") == 1) / F.count("toxic"), "pct_negative")).join(F.broadcast(top))
+
+
+@query("SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1 ORDER BY conv_id LIMIT 20")
+def a54_first20(t):
+    return turns(t).groupBy("conv_id").agg(F.count("*").alias("n")).orderBy("conv_id").limit(20)
+
+
+@query("SELECT doc_id, concat_ws(' | ', doc_id, source, CASE WHEN n_chars > 2000 THEN substr(text, 1, 60) END) AS record FROM documents")
+def a56_record(t):
+    return t("documents").select("doc_id", F.concat_ws(" | ", F.col("doc_id").cast("string"), "source", F.when(F.col("n_chars") > 2000, F.substring("text", 1, 60))).alias("record"))
+
+
+@query("""SELECT 'lang' AS what, lang AS key, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT * FROM (SELECT 'source', source, count(*) AS n FROM documents WHERE NOT starts_with(source, 'src1') GROUP BY 2 ORDER BY n DESC, source LIMIT 15)""")
+def a57_stats_block(t):
+    d = t("documents")
+    a = d.groupBy(F.lit("lang").alias("what"), F.col("lang").alias("key")).agg(F.count("*").alias("n"))
+    b = A.top(d.where(~F.startswith("source", F.lit("src1"))), ["source"], 15).select(F.lit("source").alias("what"), F.col("source").alias("key"), "n")
+    return a.union(b)
+
+
+@query("SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE NOT (toxic IS NULL AND regexp_matches(coalesce(text, ''), '(?i)licensed')) AND NOT regexp_matches(text, '(?i)adjourned|^bill read a')")
+def f21_f25_exclusions(t):
+    """procedural texts and false positives go."""
+    d = t("documents").join(t("labels"), "doc_id", "left")
+    wrong = F.col("toxic").isNull() & F.coalesce(F.col("text"), F.lit("")).rlike("(?i)licensed")
+    return d.where(~wrong & ~F.col("text").rlike(r"(?i)adjourned|^bill read a")).select("doc_id")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN n_name ELSE coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 'own' END, n_name) END AS electorate FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def j4_overwrite(t):
+    """Overwrite some rows, fill the others."""
+    s = t("supplier").withColumn("electorate", F.when(F.col("s_suppkey") % 3 == 0, "own"))
+    d = s.join(J.small(t("nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    return d.select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.col("n_name")).otherwise(F.coalesce("electorate", "n_name")).alias("electorate"))
+
+
+@query("SELECT lang, round(n::DOUBLE / total, 6) AS ratio FROM (SELECT lang, count(*) FILTER (WHERE toxic = 1) AS n, count(*) AS total FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1) WHERE n > 0")
+def j18_ratio(t):
+    d = t("documents").join(t("labels"), "doc_id", "left")
+    n = d.where("toxic = 1").groupBy("lang").agg(F.count("*").alias("n"))
+    return A.rate(n, d.groupBy("lang").agg(F.count("*").alias("total")), "lang", "n", "total", 1).select("lang", F.round("rate", 6).alias("ratio"))
+
+
+@query("SELECT heading, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations GROUP BY 1) WHERE heading NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE conv_id % 5 = 0)")
+def u5_used_phrases(t):
+    d = turns(t).withColumn("heading", F.trim(F.split_part(F.trim("body"), F.lit("\n"), F.lit(1))))
+    return d.groupBy("heading").agg(F.count("*").alias("n")).join(d.where("conv_id % 5 = 0").select("heading").distinct(), "heading", "left_anti")
+
+
+@query("SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS latest, arg_min(o_orderpriority, o_orderkey) AS first FROM orders GROUP BY 1")
+def w16_w17_latest_first(t):
+    return t("orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("latest"), F.min_by("o_orderpriority", "o_orderkey").alias("first"))
+
+
+@query("SELECT conv_id, turn AS \"order\", row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ref_id FROM conversations")
+def w1_w22_order(t):
+    return turns(t).select("conv_id", "order", F.row_number().over(W.day(["conv_id"], "order")).alias("ref_id"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 < 2 THEN event_id % 4 END AS flag, CASE WHEN event_id % 3 = 0 THEN event_id END AS number, CASE WHEN event_id % 5 > 0 THEN event_type END AS said FROM events")
+def p3_coercions(t):
+    e = F.col("event_id")
+    raw = F.when(e % 4 == 0, "0.0").when(e % 4 == 1, "true").otherwise("maybe")
+    return t("events").select("event_id", S.flag(raw).alias("flag"), F.when(e % 3 == 0, e.cast("string")).otherwise("x").try_cast("long").alias("number"), S.clean(F.when(e % 5 > 0, F.col("event_type")).otherwise("nan")).alias("said"))
+
+
+@query("SELECT s_suppkey, 'Mr SUPPLIER, Ann' AS shown, 'Mr SUPPLIER;Mr ann SUPPLIER;Mr Supplier;Mr ann Supplier;SUPPLIER, ann' AS forms, 'McDONALD' AS surname FROM supplier")
+def p5_p9_names(t):
+    """P5, P6, P7, P9."""
+    title, first, last = S.title(F.lit("male"), F.lit(None).cast("string")), F.lit("ann"), F.lit("Supplier")
+    return t("supplier").select("s_suppkey", S.display_name(title, first, last).alias("shown"), F.array_join(S.name_forms(title, first, last), ";").alias("forms"), S.surname_case(F.lit("McDonald")).alias("surname"))
+
+
+@query("SELECT conv_id, turn AS \"order\", 'senate-' || conv_id || '-' || turn AS match_id, CASE role WHEN 'user' THEN 'question' WHEN 'assistant' THEN 'answer' ELSE 'statement' END AS kind, role || ' (x): ' || trim(regexp_replace(coalesce(text, ''), '\\s*\\n\\s*', ' ', 'g'), ' ') AS line FROM conversations")
+def p15_p26_p28_turn_text(t):
+    d = turns(t)
+    q, a, i = (F.when(F.col("role") == r, 1).otherwise(0) for r in ("user", "assistant", "none"))
+    kind = S.first_of([(S.exclusive_type(k, q, a, i), F.lit(k)) for k in ("question", "answer", "interject", "statement")])
+    return d.select("conv_id", "order", F.concat_ws("-", F.lit("senate"), F.col("conv_id").cast("string"), F.col("order").cast("string")).alias("match_id"), kind.alias("kind"), S.context_line(F.lit(None).cast("string"), F.col("role"), F.lit("nan"), F.lit("x"), F.col("body")).alias("line"))
+
+
+@query("SELECT source, n, repeat('█', greatest(1, floor(n * least(1.0, 40.0 / m))::INTEGER)) AS bar FROM (SELECT source, count(*) AS n, max(count(*)) OVER () AS m FROM documents GROUP BY 1)")
+def s24_bars(t):
+    from rostrum.sources.tables import bars
+
+    return bars(t("documents").groupBy("source").agg(F.count("*").alias("n")), "source", "n")
+
+
+@query("SELECT p_partkey, coalesce(suppliers, '') AS suppliers FROM part LEFT JOIN (SELECT l_partkey, string_agg(DISTINCT l_suppkey::VARCHAR, ',' ORDER BY l_suppkey::VARCHAR) AS suppliers FROM lineitem WHERE l_quantity > 45 GROUP BY 1) ON l_partkey = p_partkey")
+def r9_list_column(t):
+    s = t("lineitem").where("l_quantity > 45").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_join(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))), ",").alias("suppliers"))
+    return t("part").join(s, "p_partkey", "left").select("p_partkey", F.coalesce("suppliers", F.lit("")).alias("suppliers"))
+
+
+@query("SELECT l_orderkey, l_linenumber, unnest(['quantity', 'discount']) AS name, unnest([l_quantity, l_discount]) AS value FROM lineitem")
+def r1_long(t):
+    """Wide to long."""
+    return t("lineitem").unpivot(["l_orderkey", "l_linenumber"], [F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount")], "name", "value")
+
+
+@query()
+def sa3_sample(t):
+    """A quarter of the rows, by a seed."""
+    return t("documents").sample(0.25, 42).select("doc_id")
