@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from rostrum.llm.components import connected_components
 from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
-from rostrum.llm.words import mix, shingles, words
+from rostrum.llm.words import distinct, shingles, words
 
 #: Counts in the table of shingle frequencies.
 BUCKETS = 1 << 16
@@ -61,7 +61,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Arr
         data, at = raw_bytes(b.column(1))
         hashes, _, _, rows = words(data, at)
         all_, cut = shingles(hashes, rows, size)
-        yield b.column(0), [np.unique(all_[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        yield b.column(0), [distinct(all_[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
 def _class(own: np.ndarray) -> int:

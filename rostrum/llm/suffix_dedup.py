@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
-from rostrum.llm.words import Powers, mix, shingles, words
+from rostrum.llm.words import Powers, distinct, mix, shingles, words
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 #: Words from a kept position on that every shared passage has.
@@ -60,7 +60,7 @@ def anchors(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     row = np.searchsorted(rows, start, side="right") - 1
     inside = start + WINDOW + GRAM - 1 <= rows[row + 1]
     start = start[inside]
-    p = np.unique(start + view.argmin(axis=1)[inside])
+    p = distinct(start + view.argmin(axis=1)[inside])
     row = np.searchsorted(rows, p, side="right") - 1
     whole = p + HEAD <= rows[row + 1]
     p, row = p[whole], row[whole]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.llm.runtime import chunks, raw_bytes
-from rostrum.llm.words import Powers
+from rostrum.llm.words import Powers, distinct
 
 LENGTHS = (3, 4, 5, 6, 7)
 BITS = 20
@@ -69,7 +69,7 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None) -> list[np.ndarr
         whose.append(row[inside])
     if not found:
         return [np.zeros(0, np.int64)] * len(texts)
-    keys = np.unique(np.concatenate(whose) << BITS | np.concatenate(found))
+    keys = distinct(np.concatenate(whose) << BITS | np.concatenate(found))
     cuts = np.searchsorted(keys >> BITS, np.arange(1, len(texts)))
     return np.split(keys & ((1 << BITS) - 1), cuts)
 

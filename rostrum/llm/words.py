@@ -27,6 +27,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending: by sorting, which is several times as fast here as the library's hashing."""
+    if len(x) < 2:
+        return x
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     if n:
