@@ -10,18 +10,18 @@ share a passage of ``min_words`` words share such a position in it and at least
 2. The others are sorted by these words, those after and those before, in ranges
    that may split equal suffixes; each is compared with its neighbours of another
    text on either side, and matches are extended to the right and to the left as far
-   as ``min_words`` words. The last and first suffix of adjoining ranges, a few for
-   each range, are compared as well.
-3. Matches of ``min_words`` words and more mark their words; the marked words of a
-   text join to passages.
+   as ``min_words`` words. Matches of ``min_words`` words and more mark their words.
+3. Each run of ``min_words`` words belongs to one kept position. Where the matches of
+   a suffix don't settle all of its runs (its left and right parts have neighbours in
+   different texts, or a range ends beside it), the runs of all suffixes of the same
+   head are counted by hashes: an exact check of what neighbours can't tell.
+4. The marked words of a text join to passages.
 
 Words are those of :mod:`words`; positions count words from 0, ends are exclusive.
 Texts of fewer words, null ones and rows of null id have no passage. Rows that
 share an id are one text's and don't make each other repeats. Texts may be of any
 length; repeated passages within one text alone don't count. Empty tables give
-empty results; other columns are not read. A passage of ``min_words`` to
-``min_words + WINDOW`` words whose left and right parts have closer neighbours in
-two different texts may be found in part only.
+empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,12 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
-from rostrum.llm.words import Powers, distinct, mix, shingles, words
+from rostrum.llm.words import Powers, distinct, mix, words
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 #: Words from a kept position on that every shared passage has.
@@ -46,59 +45,79 @@ SIDE = MIN_WORDS - HEAD
 BITS, FULL = 1 << 24, 0.25
 
 
-def anchors(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kept positions (places in ``hashes``), the row of each, and the hash of its first :data:`HEAD` words."""
-    none = np.zeros(0, np.int64)
-    if len(hashes) < MIN_WORDS:
-        return none, none, np.zeros(0, np.uint64)
+def anchors(hashes: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Kept positions: ``p`` (place in ``hashes``), ``row``, ``head`` (hash), ``first`` and ``last`` start of the runs that belong to each."""
+    n = len(hashes)
+    up, down = Powers.of(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * up[:n], out=total[1:])
+    start = np.zeros(0, np.int64)
+    if n >= MIN_WORDS:
+        start = np.arange(n - MIN_WORDS + 1)
+        start = start[start + MIN_WORDS <= rows[np.searchsorted(rows, start, side="right")]]
+    if not len(start):
+        return {k: np.zeros(0, np.int64) for k in ("p", "row", "first", "last")} | {"head": np.zeros(0, np.uint64), "total": total, "down": down}
     padded = np.append(hashes, np.zeros(GRAM, np.uint64))
-    gram = np.zeros(len(hashes), np.uint64)
+    gram = np.zeros(n, np.uint64)
     for i in range(GRAM):
-        gram = mix(gram + padded[i : i + len(hashes)])
-    view = np.lib.stride_tricks.sliding_window_view(gram, WINDOW)
-    start = np.arange(len(view))
-    row = np.searchsorted(rows, start, side="right") - 1
-    inside = start + WINDOW + GRAM - 1 <= rows[row + 1]
-    start = start[inside]
-    p = distinct(start + view.argmin(axis=1)[inside])
-    row = np.searchsorted(rows, p, side="right") - 1
-    whole = p + HEAD <= rows[row + 1]
-    p, row = p[whole], row[whole]
-    up, down = Powers.of(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
-    return p, row, mix((total[p + HEAD] - total[p]) * down[p])
-
-
-def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        gram = mix(gram + padded[i : i + n])
+    least = start + np.lib.stride_tricks.sliding_window_view(gram, WINDOW).argmin(axis=1)[start]
+    cut = np.flatnonzero(least[1:] != least[:-1]) + 1  # the least of a later run is never further left
+    begin, end = np.append(0, cut), np.append(cut, len(start))
+    p = least[begin]
+    return {"p": p, "row": np.searchsorted(rows, p, side="right") - 1, "first": start[begin], "last": start[end - 1], "head": _hash(total, down, p, HEAD), "total": total, "down": down}
+
+
+def _hash(total: np.ndarray, down: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    return mix((total[at + size] - total[at]) * down[at])
+
+
+def _positions(batches: Iterator[pa.RecordBatch], marks: bytes | None = None) -> Iterator[tuple]:
+    """Ids, word hashes, rows and the kept positions (of marked heads only, if marks are given)."""
     for b in chunks(batches, "text"):
         data, at = raw_bytes(b.column(1))
         hashes, _, _, rows = words(data, at)
-        yield b.column(0), hashes, rows, *anchors(hashes, rows)
+        a = anchors(hashes, rows)
+        if marks is not None:
+            kept = has_bit(marks, a["head"] % np.uint64(BITS))
+            a = {k: v if k in ("total", "down") else v[kept] for k, v in a.items()}
+        if len(a["p"]):
+            yield b.column(0), hashes, rows, a
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, _, _, _, row, head in _positions(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), ids.take(pa.array(row))], ["head", "id"])
+    for ids, _, _, a in _positions(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(a["head"].view(np.int64)), ids.take(pa.array(a["row"]))], ["head", "id"])
 
 
 def suffixes(marks: bytes):
-    """Makes rows of kept suffixes: ``head``, ``key`` (head, words after, words before backwards), ``id``, ``pos``, ``before``, ``after``."""
+    """Makes rows of kept suffixes: ``head``, ``key`` (head, words after, words before backwards), ``id``, ``pos``, ``least`` and ``most`` words from the starts of its runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, rows, p, row, head in _positions(batches):
-            kept = has_bit(marks, head % np.uint64(BITS))
-            p, row, head = p[kept], row[kept], head[kept]
+        for ids, hashes, rows, a in _positions(batches, marks):
+            p, row, head = a["p"], a["row"], a["head"]
             short = np.append(np.maximum(hashes >> np.uint64(32), 1), np.uint64(0)).astype(">u4")
-            side = np.arange(SIDE)
+            side, last = np.arange(SIDE), len(hashes)
             right, left = p[:, None] + HEAD + side, p[:, None] - 1 - side
-            last = len(hashes)
             right = np.where(right < rows[row + 1][:, None], right, last)
             left = np.where(left >= rows[row][:, None], left, last)
-            key = np.concatenate([head.astype(">u8")[:, None].view(np.uint8).reshape(len(p), 8), short[right].view(np.uint8).reshape(len(p), -1), short[left].view(np.uint8).reshape(len(p), -1)], axis=1)
+            key = np.concatenate([head.astype(">u8")[:, None].view(np.uint8), short[right].view(np.uint8), short[left].view(np.uint8)], axis=1)
             size = key.shape[1]
             column = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(np.arange(len(p) + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(key))])
-            yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), column, ids.take(pa.array(row)), pa.array(p - rows[row])], ["head", "key", "id", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), column, ids.take(pa.array(row)), *(pa.array(x) for x in (p - rows[row], p - a["last"], p - a["first"]))], ["head", "key", "id", "pos", "least", "most"])
+
+    return run
+
+
+def runs(marks: bytes):
+    """Makes rows of all runs of marked heads: ``hash``, ``id`` and ``begin``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, _, rows, a in _positions(batches, marks):
+            n = a["last"] - a["first"] + 1
+            begin = np.repeat(a["first"] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            row = np.repeat(a["row"], n)
+            yield pa.RecordBatch.from_arrays([pa.array(_hash(a["total"], a["down"], begin, MIN_WORDS).view(np.int64)), ids.take(pa.array(row)), pa.array(begin - rows[row])], ["hash", "id", "begin"])
 
     return run
 
@@ -112,84 +131,71 @@ def _reach(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(same, HEAD + run(eq[:, :SIDE]), 0), np.where(same, run(eq[:, SIDE:]), 0)
 
 
-def _spans(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, todo: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Matches of the suffixes ``todo`` with their neighbours of other texts in the sorted arrays."""
-    n = len(doc)
+def _match(key: np.ndarray, info: np.ndarray, todo: slice) -> pa.RecordBatch:
+    """Matches of the suffixes ``todo`` with their neighbours of other texts in the sorted arrays, and the heads that they don't settle.
+
+    ``info``: id, position, least and most words from the starts of the suffix's runs.
+    """
+    n, doc = len(info), info[:, 0]
     change = np.flatnonzero(doc[1:] != doc[:-1]) + 1
     bounds = np.concatenate([[0], change, [n]])
-    run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[todo]
+    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[todo]
     at = np.arange(n)[todo]
-    out = []
-    for other in (bounds[run] - 1, bounds[run + 1]):
+    spans, reach, alone = [], [], np.zeros(len(at), bool)
+    for other in (bounds[group] - 1, bounds[group + 1]):
         ok = (other >= 0) & (other < n)
-        i, j = at[ok], other[ok]
-        right, left = _reach(key[i], key[j])
+        alone |= ~ok
+        right, left = _reach(key[at], key[np.clip(other, 0, n - 1)])
+        right, left = np.where(ok, right, 0), np.where(ok, left, 0)
+        reach.append((MIN_WORDS - right, left))
         long = right + left >= MIN_WORDS
-        i = i[long]
-        out.append((doc[i], pos[i] - left[long], pos[i] + right[long]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        spans.append((doc[at][long], info[at, 1][long] - left[long], info[at, 1][long] + right[long]))
+    low, high = info[at, 2], info[at, 3]
+    (a, b), (c, d) = reach
+    whole = (a <= low) & (b >= high) | (c <= low) & (d >= high) | (a <= low) & (d >= high) & (c <= b + 1) | (c <= low) & (b >= high) & (a <= d + 1)
+    met = (a <= SIDE) | (c <= SIDE)
+    head = distinct(np.ascontiguousarray(key[at][~whole & (met | alone), :8]).view(">u8").ravel().astype(np.uint64).view(np.int64))
+    ids, begin, end = (np.concatenate(x) for x in zip(*spans, strict=True))
+    k, m = len(ids), len(head)
+    columns = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(m, pa.int64())]) for x in (ids, begin, end)]
+    return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(head, pa.int64())])], ["id", "begin", "end", "head"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches within a sorted range; and its first and last two texts' suffixes, with their keys, as edges."""
-    part = TaskContext.get().partitionId()
-    key, doc, pos = np.zeros((0, 8 + 8 * SIDE), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    done, first = 0, True
-
-    def edge(i: np.ndarray, side: int) -> pa.RecordBatch:
-        k = [key[x].tobytes() for x in i]
-        return _rows(doc[i], pos[i], pos[i], k, [part * 2 + side] * len(i))
-
+    """Matches within a sorted range; holds a batch and the last text's suffixes in a row."""
+    key, info, done = np.zeros((0, 8 + 8 * SIDE), np.uint8), np.zeros((0, 4), np.int64), 0
     for b in batches:
         data, _ = raw_bytes(b.column(0))
         key = np.concatenate([key, data.reshape(-1, key.shape[1])])
-        doc = np.concatenate([doc, b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)])
-        pos = np.concatenate([pos, b.column(2).to_numpy(zero_copy_only=False).astype(np.int64)])
-        if first and len(doc):
-            yield edge(np.array([0]), 0)
-            first = False
-        change = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+        info = np.concatenate([info, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 5)], axis=1)])
+        change = np.flatnonzero(info[1:, 0] != info[:-1, 0]) + 1
         if len(change) and change[-1] > done:
             last = int(change[-1])
-            yield _rows(*_spans(key, doc, pos, slice(done, last)))
-            keep = max(0, last - 1)  # the neighbour before, and the run that may go on
-            key, doc, pos, done = key[keep:], doc[keep:], pos[keep:], last - keep
-    if len(doc):
-        yield _rows(*_spans(key, doc, pos, slice(done, len(doc))))
-        yield edge(np.array([len(doc) - 1]), 1)
-
-
-def _rows(doc, start, end, key=None, edge=None) -> pa.RecordBatch:
-    n = len(doc)
-    key = pa.nulls(n, pa.binary()) if key is None else pa.array(key, pa.binary())
-    edge = pa.nulls(n, pa.int64()) if edge is None else pa.array(edge, pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), key, edge], ["id", "begin", "end", "key", "edge"])
+            yield _match(key, info, slice(done, last))
+            keep = last - 1  # the neighbour before, and the text that may go on
+            key, info, done = key[keep:], info[keep:], 1
+    if len(info) > done:
+        yield _match(key, info, slice(done, len(info)))
 
 
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``begin`` and ``end`` (words) of each passage that another text has as well."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     heads = texts.mapInArrow(_heads, "head long, id long").groupBy("head").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     shared = materialise(heads.where("lo < hi").select("head"), "heads")
     marks, share = bit_table(shared, F.pmod("head", F.lit(BITS)), BITS)
-    kept = texts.mapInArrow(suffixes(marks), "head long, key binary, id long, pos long")
+    kept = texts.mapInArrow(suffixes(marks), "head long, key binary, id long, pos long, least long, most long")
     if share > FULL:
         kept = kept.join(shared, "head", "left_semi")
     order = ("key", "id", "pos")
-    ranged = kept.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = materialise(ranged.mapInArrow(_compare, "id long, begin long, end long, key binary, edge long"), "matches")
-    edges = found.where("edge is not null").orderBy("edge").collect()  # two rows for each range
-    more = []
-    for a, b in zip(edges, edges[1:], strict=False):
-        if a.edge % 2 == 1 and a.edge + 1 == b.edge and a.id != b.id:
-            k = [np.frombuffer(bytes(x.key), np.uint8)[None] for x in (a, b)]
-            right, left = (int(x[0]) for x in _reach(*k))
-            if right + left >= MIN_WORDS:
-                more += [(x.id, x.begin - left, x.begin + right) for x in (a, b)]
-    spans = found.where("edge is null").select("id", "begin", "end").distinct()
-    if more:
-        spans = spans.union(spark.createDataFrame(more, spans.schema))
+    ranged = kept.select(*order, "least", "most").repartitionByRange(*order).sortWithinPartitions(*order)
+    found = materialise(ranged.mapInArrow(_compare, "id long, begin long, end long, head long"), "matches")
+    left = materialise(found.where("head is not null").select("head").distinct(), "unsettled")
+    marks, _ = bit_table(left, F.pmod("head", F.lit(BITS)), BITS)
+    all_runs = materialise(texts.mapInArrow(runs(marks), "hash long, id long, begin long"), "runs")
+    twice = all_runs.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("hash")
+    exact = all_runs.join(twice, "hash").select("id", "begin", (F.col("begin") + MIN_WORDS).alias("end"))
+    spans = found.where("id is not null").select("id", "begin", "end").union(exact).distinct()
     w = Window.partitionBy("id").orderBy("begin", "end")
     before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("new", F.when(before >= F.col("begin"), 0).otherwise(1)).withColumn("k", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
