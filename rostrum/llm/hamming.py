@@ -47,14 +47,10 @@ def codes(vectors: DataFrame, bits: int, *, id_col: str = "vec_id", vector_col:
 
 
 def _segments(bits: int, rows: int) -> list[tuple[int, int]]:
-    """First bit and width of each segment; none spans two words."""
-    width = max(4, min(WORD, round(math.log2(max(rows, 2)))))
-    out = []
-    for first in range(0, bits, WORD):
-        size = min(WORD, bits - first)
-        n = max(1, round(size / width))
-        out += [(first + size * i // n, size * (i + 1) // n - size * i // n) for i in range(n)]
-    return out
+    """First bit and width of each segment: about as wide as the number of rows in base two."""
+    width = max(4, min(WORD, math.log2(max(rows, 2))))
+    n = min(bits, max(1, round(bits / width), -(-bits // WORD)))
+    return [(bits * i // n, bits * (i + 1) // n - bits * i // n) for i in range(n)]
 
 
 def _rounds(widths: list[int]) -> Iterator[tuple[int, list[int]]]:
@@ -65,7 +61,12 @@ def _rounds(widths: list[int]) -> Iterator[tuple[int, list[int]]]:
 
 
 def _value(first: int, width: int) -> Column:
-    return F.shiftrightunsigned(F.element_at("code", first // WORD + 1), first % WORD).bitwiseAND(F.lit((1 << width) - 1))
+    """The bits of a segment; it may reach into the next word."""
+    word, at = divmod(first, WORD)
+    low = F.shiftrightunsigned(F.element_at("code", word + 1), at)
+    if at + width > WORD:
+        low = low.bitwiseOR(F.shiftleft(F.element_at("code", word + 2), WORD - at))
+    return low.bitwiseAND(F.lit((1 << width) - 1))
 
 
 def _distance(a: str, b: str) -> Column:
