@@ -813,7 +813,7 @@ def x2_walk(t):
     tag = F.when(F.col("role") == "user", "question").when(F.col("role") == "assistant", "answer").otherwise("speech")
     speech = F.concat(F.lit("<"), tag, F.lit("><talk.start><talker><name>A</name><name.id>r"), F.col("order").cast("string"), F.lit("</name.id></talker><para>x</para></talk.start></"), tag, F.lit(">"))
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", speech.alias("x")))), lambda r: r["x"]), "")
-    files = turns(t).groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.encode(F.concat(F.lit('<hansard version="2.1"><chamber.xscript><debate><debateinfo/>'), rows, F.lit("</debate></chamber.xscript></hansard>")), "UTF-8").alias("content"))
+    files = turns(t).groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.encode(F.concat(F.lit('<record version="2.1"><chamber.xscript><debate><debateinfo/>'), rows, F.lit("</debate></chamber.xscript></record>")), "UTF-8").alias("content"))
     return proceedings.parse(files, "turns").select("path", "order", "row_type", "name_id")
 
 

@@ -94,14 +94,14 @@ def test_selection(spark):
     assert A.gini(d.where("false"), ["s"], "v").count() == 0
 
 
-XML21 = b"""<hansard version="2.1"><session.header><date>2001-02-03</date><chamber>Senate</chamber></session.header><chamber.xscript><business.start>The chair was taken at 2 pm</business.start>
+XML21 = b"""<record version="2.1"><session.header><date>2001-02-03</date><chamber>Senate</chamber></session.header><chamber.xscript><business.start>The chair was taken at 2 pm</business.start>
 <debate><debateinfo><title>WATER BILL</title><type>Bills</type></debateinfo><speech><talk.start><talker><name role="display">Able, Sen Ann</name><name.id>a1</name.id><party>LP</party><in.gov>1</in.gov></talker><para>\xe2\x80\x94First.</para></talk.start><para>Second.</para>
 <interjection><talk.start><talker><name.id>b2</name.id></talker><para>No!</para></talk.start></interjection></speech>
 <subdebate.1><subdebateinfo><title>Clause</title></subdebateinfo><question><talk.start><talker><name.id>c3</name.id></talker><para>Why?</para></talk.start></question></subdebate.1>
-<division><division.header>That it pass</division.header><ayes><names><name>ABLE</name><name>BAKER</name></names></ayes><noes><names><name>CLARK</name></names></noes></division></debate></chamber.xscript></hansard>"""
-XML22 = b"""<hansard version="2.2"><debate><debateinfo><title>D</title></debateinfo><speech><talk.start><talker><name.id>A1</name.id><name>Mr A</name></talker></talk.start><talk.text><body><p class="HPS-Normal"><a href="A1" type="MemberSpeech"><span class="HPS-MemberSpeech">Mr A</span></a> (<span class="HPS-Electorate">X</span>): begins</p><p>more</p>
-<p><a href="b2" type="MemberInterjecting"><span class="HPS-MemberInterjecting">Ms B</span></a> interjecting</p><p class="HPS-DivisionPreamble">The House divided</p></body></talk.text></speech></debate><division><p>The question was: that it pass</p><p>AYES: 3</p><p>NOES: 5</p></division></hansard>"""
-UPPER = b"""<HANSARD><CHAMBER><DEBATE TITLE="OLD"><SPEECH SPEAKER="Mr C" NAMEID="cc" PARTY="ALP"><PARA>Early <INTERJECT NAMEID="dd"><PARA>Hear</PARA></INTERJECT> words</PARA></SPEECH></DEBATE></CHAMBER></HANSARD>"""
+<division><division.header>That it pass</division.header><ayes><names><name>ABLE</name><name>BAKER</name></names></ayes><noes><names><name>CLARK</name></names></noes></division></debate></chamber.xscript></record>"""
+XML22 = b"""<record version="2.2"><debate><debateinfo><title>D</title></debateinfo><speech><talk.start><talker><name.id>A1</name.id><name>Mr A</name></talker></talk.start><talk.text><body><p class="HPS-Normal"><a href="A1" type="MemberSpeech"><span class="HPS-MemberSpeech">Mr A</span></a> (<span class="HPS-Electorate">X</span>): begins</p><p>more</p>
+<p><a href="b2" type="MemberInterjecting"><span class="HPS-MemberInterjecting">Ms B</span></a> interjecting</p><p class="HPS-DivisionPreamble">The House divided</p></body></talk.text></speech></debate><division><p>The question was: that it pass</p><p>AYES: 3</p><p>NOES: 5</p></division></record>"""
+UPPER = b"""<RECORD><CHAMBER><DEBATE TITLE="OLD"><SPEECH SPEAKER="Mr C" NAMEID="cc" PARTY="ALP"><PARA>Early <INTERJECT NAMEID="dd"><PARA>Hear</PARA></INTERJECT> words</PARA></SPEECH></DEBATE></CHAMBER></RECORD>"""
 COMMITTEE = b"""<committee version="2.2"><committee.name>Budget</committee.name><p>lost</p><debate><debateinfo><title>Health</title></debateinfo><p><span class="HPS-OfficeCommittee">CHAIR</span>: Welcome</p><p><span class="HPS-WitnessName">Dr W</span>: Thanks</p><p>indeed</p><p><a href="m1" type="MemberContinuation">Senator M</a>: Go</p></debate></committee>"""
 
 
