@@ -595,6 +595,38 @@ def j16_any_term(t):
     return facts(t).join(s.select("o_custkey", "start", "end"), "o_custkey").groupBy("l_orderkey").agg(F.bool_or(J.in_spell(F.col("day"), F.col("start"), F.col("end"))).alias("ok"))
 
 
+EVERY_FACT = "SELECT DISTINCT l_orderkey, o_custkey, l_shipdate::DATE AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+def every_fact(t) -> DataFrame:
+    """Each order and day of its lines, first lines or not: a look-up depends on nothing else of a line."""
+    d = t("lineitem").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    d = d.select("l_orderkey", "o_custkey", F.to_date("l_shipdate").alias("day")).distinct()
+    return d.withColumn("fact", F.struct("l_orderkey", "day")).withColumn("party", F.lit(None).cast("string"))
+
+
+@query(f"""WITH s AS ({SPELLS}), f AS ({EVERY_FACT}), m AS (SELECT l_orderkey, day, arg_min(v, o) AS v FROM f JOIN s ON k = o_custkey AND a <= day AND (b IS NULL OR day <= b) GROUP BY 1, 2)
+SELECT f.l_orderkey, f.day, v AS party FROM f LEFT JOIN m ON m.l_orderkey = f.l_orderkey AND m.day = f.day""")
+def j3_asof_all(t):
+    """J3 over all lines; :func:`j3_asof` and its SQL look up the first lines only."""
+    return J.as_of(every_fact(t), spells(t), "o_custkey", "day", "party", "fact").select("l_orderkey", "day", "party")
+
+
+@query(f"""WITH s AS (SELECT k, v, o, a, coalesce(b, a + 400) + 200 AS b FROM ({SPELLS})), f AS ({EVERY_FACT}), m AS (SELECT l_orderkey, day, v, row_number() OVER (PARTITION BY l_orderkey, day ORDER BY CASE WHEN day BETWEEN a AND b THEN 0 ELSE 1 END, CASE WHEN day BETWEEN a AND b THEN b - a END NULLS FIRST, b DESC, o) AS r FROM f JOIN s ON k = o_custkey)
+SELECT f.l_orderkey, f.day, v AS party FROM f LEFT JOIN m ON m.l_orderkey = f.l_orderkey AND m.day = f.day AND r = 1""")
+def j5_shortest_spell_all(t):
+    """J5 over all lines; :func:`j5_shortest_spell` and its SQL look up the first lines only."""
+    s = spells(t).withColumn("end", F.date_add(F.coalesce("end", F.date_add("start", 400)), 200))
+    return J.as_of(every_fact(t), s, "o_custkey", "day", "party", "fact", shortest=True).select("l_orderkey", "day", "party")
+
+
+@query(f"""WITH s AS (SELECT k, a, least(coalesce(b, a + 100), a + 100) AS b FROM ({SPELLS})), f AS ({EVERY_FACT}) SELECT l_orderkey, day, bool_or(day BETWEEN a AND b) AS ok FROM f JOIN s ON k = o_custkey GROUP BY 1, 2""")
+def j16_any_term_all(t):
+    """J16 over all lines and spells, with holes after a hundred days; :func:`j16_any_term` and its SQL take the first lines and every second spell."""
+    s = spells(t).select("o_custkey", "start", F.least("end", F.date_add("start", 100)).alias("end"))
+    return every_fact(t).join(s, "o_custkey").groupBy("l_orderkey", "day").agg(F.bool_or(J.in_spell(F.col("day"), F.col("start"), F.col("end"))).alias("ok"))
+
+
 @query("SELECT doc_id, coalesce(quality::VARCHAR, '') AS quality, coalesce(toxic::VARCHAR, '') AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def j17_annotations(t):
     notes = t("labels").select("doc_id", F.col("quality").cast("string"), F.col("toxic").cast("string"))
