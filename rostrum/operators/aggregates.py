@@ -7,6 +7,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Words that make no seeds: common ones and those of any sitting day.
+SEED_STOP = tuple(
+    """
+    about above after again against also although among another answer around australia australian because been before being between
+    both come committee could debate does doing during each every first from further given government have having here
+    honourable house however important into issue itself just keep know like look madam made make many matter member
+    minister more most much must need never number only opposition order other over parliament party people point president
+    question right said same says second senate senator shall should since some speaker still such support take than
+    that their them then there these they think third this those through time today under until upon very
+    want well were what when where whether which while will with within without would year years your
+    """.split()
+)
+
 
 def top(df: DataFrame, by: list[str], n: int, name: str = "n") -> DataFrame:
     """The n most frequent keys; ties in the order of the keys."""
@@ -143,3 +156,25 @@ def bigrams(df: DataFrame, text: str, order: str, n: int, least: int = 4) -> Dat
     w = df.select(F.col(order).alias("_o"), F.filter(F.split(F.regexp_replace(F.lower(F.col(text)), "[^a-z]+", " "), " "), lambda x: F.length(x) >= least).alias("w"))
     pairs = w.select("_o", F.posexplode(F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))).alias("_i", "gram"))
     return pairs.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("_o", "_i")).alias("_first")).orderBy(F.desc("n"), "_first").limit(n).select("gram", "n")
+
+
+def seeds(df: DataFrame, text: str, order: str, n: int = 20, pairs: int = 15, most: int = 100, stop: tuple[str, ...] = SEED_STOP) -> DataFrame:
+    """``position``, ``seed`` and ``n``: the most frequent pairs of adjacent words, then single words up to n seeds.
+
+    The first ``most`` rows are the operator's own limit. Words are four ASCII
+    letters or more between other characters, single ones five; pairs go over shorter
+    words and the ends of texts, not over stop words; ties by where they first occur.
+    """
+    at = Window.orderBy("_o")
+    found = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    d = df.orderBy(order, text).limit(most).withColumn("_o", F.row_number().over(Window.orderBy(order, text)))
+    d = d.select("_o", F.filter(found, lambda x: x.rlike("^[a-z]{4,}$")).alias("_w")).where(F.size("_w") > 0)
+    d = d.withColumn("_next", F.lead(F.get("_w", F.lit(0))).over(at))
+    d = d.select("_o", F.posexplode(F.transform("_w", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("_w", i + 1), F.col("_next")).alias("b")))).alias("_i", "_p"))
+    a, b = F.col("_p.a"), F.col("_p.b")
+    both = F.when(~a.isin(*stop) & ~b.isin(*stop), F.concat_ws(" ", a, b))
+    one = F.when(~a.isin(*stop) & (F.length(a) >= 5), a)
+    long = d.select("_o", "_i", F.posexplode(F.array(both, one)).alias("_kind", "seed")).where("seed IS NOT NULL")
+    c = long.groupBy("_kind", "seed").agg(F.count("*").alias("n"), F.min(F.struct("_o", "_i")).alias("_first"))
+    c = c.withColumn("_r", F.row_number().over(Window.partitionBy("_kind").orderBy(F.desc("n"), "_first"))).where(F.col("_r") <= max(n, pairs)).where((F.col("_kind") == 1) | (F.col("_r") <= pairs))
+    return c.withColumn("position", F.row_number().over(Window.orderBy("_kind", "_r"))).where(F.col("position") <= n).select("position", "seed", "n")

@@ -325,10 +325,25 @@ def a41_bow(t):
 g AS (SELECT doc_id, unnest(range(1, len(w))) AS i, w FROM w WHERE len(w) > 1)
 SELECT w[i] || ' ' || w[i + 1] AS gram, count(*) AS n FROM g GROUP BY 1 ORDER BY n DESC, min((doc_id, i)) LIMIT 20""")
 def a42_seeds(t):
-    """The first hundred matches are the operator's own limit."""
+    """Pairs of the documents with ids below 100, as its SQL says; :func:`a42_seeds_search` is the whole of A42."""
     return A.bigrams(t("documents").where("doc_id < 100"), "text", "doc_id", 20)
 
 
+SEED_STOP_SQL = ", ".join(f"'{x}'" for x in A.SEED_STOP)
+
+
+@query(f"""WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS o, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), lambda x: regexp_full_match(x, '[a-z]{{4,}}')) AS w
+FROM (SELECT doc_id, text FROM documents WHERE (contains(lower(text), 'the') OR contains(lower(text), 'and')) AND contains(lower(text), 'that') ORDER BY doc_id, text LIMIT 100)),
+l AS (SELECT o, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS a FROM d), p AS (SELECT *, lead(a) OVER (ORDER BY o, i) AS b FROM l),
+g AS (SELECT 0 AS kind, a || ' ' || b AS seed, o, i FROM p WHERE a NOT IN ({SEED_STOP_SQL}) AND b NOT IN ({SEED_STOP_SQL}) UNION ALL SELECT 1, a, o, i FROM p WHERE length(a) >= 5 AND a NOT IN ({SEED_STOP_SQL})),
+c AS (SELECT kind, seed, count(*) AS n, row_number() OVER (PARTITION BY kind ORDER BY count(*) DESC, min((o, i))) AS r FROM g GROUP BY 1, 2)
+SELECT row_number() OVER (ORDER BY kind, r) AS position, seed, n FROM c WHERE kind = 1 OR r <= 15 QUALIFY row_number() OVER (ORDER BY kind, r) <= 20""")
+def a42_seeds_search(t):
+    """A42 over all matches of a search; the first hundred are the operator's own limit."""
+    matched = t("documents").where(lang.compile_tree(lang.parse("('the' | 'and') & 'that'"), F.col("text")))
+    return A.seeds(matched, "text", "doc_id")
+
+
 @query("""SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations WHERE role = 'system' AND NOT regexp_matches(lower(text), 'adjourned|resumed|suspended') GROUP BY 1""")
 def a43_headings(t):
     d = turns(t).where("role = 'system'").where(~F.col("body").rlike(W.HEADING_SKIP))

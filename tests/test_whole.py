@@ -1,7 +1,11 @@
 """Queries that take whole tables: nothing is left out, whatever the keys are."""
 
+import re
+from collections import Counter
+
 import pytest
 
+from rostrum.operators import aggregates as A
 from rostrum.queries import QUERIES
 from tests.oracle import DATA
 
@@ -13,3 +17,19 @@ def test_every_line_is_looked_up(spark, name):
     wanted = {tuple(r) for r in lines.join(orders, "l_orderkey", "left_semi").collect()}
     got = [(r.l_orderkey, r.day) for r in QUERIES[name](spark, DATA).collect()]
     assert len(got) == len(wanted) and set(got) == wanted
+
+
+def seeds_by_hand(texts, stop, n=20):
+    words = [w for x in texts[:100] for w in re.findall(r"\b[a-zA-Z]{4,}\b", (x or "").lower())]
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:]) if a not in stop and b not in stop]
+    top = Counter(pairs).most_common(15)
+    return (top + Counter(w for w in words if w not in stop and len(w) >= 5).most_common(n - len(top)))[:n]
+
+
+@pytest.mark.parametrize("size", [2, 40])
+def test_seeds(spark, size):
+    texts = [f"Water budgets that water budgets, don't {'river' * (i % 3 + 1)} caf\u00e9teria word{i} plan_ning after" if i % 4 else None if i % 8 else "Minister of climate" for i in range(150)]
+    texts = [f"{x} reform{chr(97 + i % size % 26)}abc" if x else x for i, x in enumerate(texts)]
+    df = spark.createDataFrame([(1000 + 7 * i, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = [(r.seed, r.n) for r in A.seeds(df, "text", "doc_id").orderBy("position").collect()]
+    assert got == seeds_by_hand(texts, A.SEED_STOP) and any(" " not in s for s, _ in got)
