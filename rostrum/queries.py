@@ -674,6 +674,12 @@ def o4_text_order(t):
     return t("documents").orderBy(F.col("doc_id").cast("string")).limit(50).select("doc_id")
 
 
+@query("SELECT doc_id FROM documents ORDER BY doc_id::VARCHAR")
+def o4_text_order_all(t):
+    """O4 of all rows; :func:`o4_text_order` and its SQL keep the first 50."""
+    return t("documents").select("doc_id").orderBy(F.col("doc_id").cast("string"))
+
+
 @query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
 def u3_difference(t):
     return t("customer").select("c_custkey").subtract(t("orders").select("o_custkey"))

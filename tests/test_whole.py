@@ -33,3 +33,9 @@ def test_seeds(spark, size):
     df = spark.createDataFrame([(1000 + 7 * i, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(5)
     got = [(r.seed, r.n) for r in A.seeds(df, "text", "doc_id").orderBy("position").collect()]
     assert got == seeds_by_hand(texts, A.SEED_STOP) and any(" " not in s for s, _ in got)
+
+
+def test_text_order_of_all(spark):
+    ids = [r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect()]
+    got = [r.doc_id for r in QUERIES["o4_text_order_all"](spark, DATA).collect()]
+    assert len(ids) > 50 and got == sorted(ids, key=str)
