@@ -23,13 +23,24 @@ def fill_from(df: DataFrame, dim: DataFrame, key: str, cols: list[str], ordinal:
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in cols}).drop(*(f"_{c}" for c in cols))
 
 
-def match_forms(df: DataFrame, dim: DataFrame, name: str, forms: str, value: str, ordinal: str) -> DataFrame:
-    """``value`` of the first row of ``dim`` one of whose written ``forms`` is the name, as written or else in any case."""
+def match_forms(df: DataFrame, dim: DataFrame, name: str, forms: str, value: str, ordinal: str, day: str | None = None, spells: DataFrame | None = None, *, start: str = "start", end: str = "end") -> DataFrame:
+    """``value`` of the first row of ``dim`` one of whose written ``forms`` is the name, as written or else in any case.
+
+    With a ``day`` and ``spells`` (``value``, ``start``, ``end``) a match is rejected,
+    and no other sought, if there are spells of that value but none covers the day.
+    Missing bounds are open, a missing day is in spells without any date only.
+    """
     long = dim.select(value, ordinal, F.posexplode(forms).alias("_form", "_key")).where("_key IS NOT NULL")
     exact = first_rows(long, ["_key"], [ordinal, "_form"]).select("_key", F.col(value).alias("_exact"))
     lower = first_rows(long.withColumn("_key", F.lower("_key")), ["_key"], [ordinal, "_form"]).select(F.col("_key").alias("_low"), F.col(value).alias("_loose"))
     joined = df.join(small(exact), F.col(name) == F.col("_key"), "left").join(small(lower), F.lower(name) == F.col("_low"), "left")
-    return joined.withColumn(value, F.coalesce("_exact", "_loose")).drop("_key", "_exact", "_low", "_loose")
+    matched = joined.withColumn(value, F.coalesce("_exact", "_loose")).drop("_key", "_exact", "_low", "_loose")
+    if day is None or spells is None:
+        return matched
+    terms = spells.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_id")).agg(F.collect_set(F.struct(F.col(start).alias("s"), F.col(end).alias("e"))).alias("_terms"))
+    covered = F.exists("_terms", lambda x: F.coalesce(in_spell(F.col(day), x["s"], x["e"]), F.lit(False)))
+    guarded = matched.join(small(terms), F.col(value) == F.col("_id"), "left")
+    return guarded.withColumn(value, F.when(F.col("_terms").isNull() | covered, F.col(value))).drop("_id", "_terms")
 
 
 def in_spell(day: Column, start: Column, end: Column) -> Column:

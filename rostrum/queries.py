@@ -540,6 +540,25 @@ def j2_alt_keys(t):
     return J.match_forms(s, n, "name", "forms", "id", "ordinal").select("s_suppkey", "name", "id")
 
 
+@query("""WITH f AS (SELECT c_custkey AS v, k, f FROM (SELECT c_custkey, unnest([upper(c_mktsegment) || c_nationkey, 'The ' || c_mktsegment || c_nationkey]) AS k, unnest([0, 1]) AS f FROM customer)),
+e AS (SELECT k, arg_min(v, (v, f)) AS v FROM f GROUP BY 1), l AS (SELECT lower(k) AS k, arg_min(v, (v, f)) AS v FROM f GROUP BY 1),
+x AS (SELECT o_orderkey, o_orderdate::DATE AS day, CASE WHEN o_orderstatus = 'F' THEN upper(c_mktsegment) || c_nationkey WHEN o_orderstatus = 'O' THEN 'the ' || lower(c_mktsegment) || c_nationkey ELSE 'nobody' END AS name FROM orders JOIN customer ON o_custkey = c_custkey),
+m AS (SELECT o_orderkey, day, name, coalesce(e.v, l.v) AS v FROM x LEFT JOIN e ON e.k = name LEFT JOIN l ON l.k = lower(name)),
+s AS (SELECT o_custkey AS k, o_orderdate::DATE AS a, o_orderdate::DATE + 60 AS b FROM orders),
+g AS (SELECT o_orderkey, bool_or(day BETWEEN a AND b) AS ok FROM m JOIN s ON k = v GROUP BY 1)
+SELECT o_orderkey, name, CASE WHEN coalesce(ok, true) THEN v END AS id FROM m LEFT JOIN g USING (o_orderkey)""")
+def j2_alt_keys_dated(t):
+    """J2 with its guard by date, which :func:`j2_alt_keys` has no days for: customers share written forms, orders give days and spells of 60 days."""
+    c, tag = t("customer"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string"))
+    low = F.concat(F.lower("c_mktsegment"), F.col("c_nationkey").cast("string"))
+    high = F.concat(F.upper("c_mktsegment"), F.col("c_nationkey").cast("string"))
+    dim = c.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("ordinal"), F.array(high, F.concat(F.lit("The "), tag)).alias("forms"))
+    name = F.when(F.col("o_orderstatus") == "F", high).when(F.col("o_orderstatus") == "O", F.concat(F.lit("the "), low)).otherwise("nobody")
+    rows = by_year(t).join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "date", name.alias("name"))
+    terms = by_year(t).select(F.col("o_custkey").alias("id"), F.col("date").alias("start"), F.date_add("date", 60).alias("end"))
+    return J.match_forms(rows, dim, "name", "forms", "id", "ordinal", "date", terms).select("o_orderkey", "name", "id")
+
+
 SPELLS = "SELECT o_custkey AS k, o_orderpriority AS v, o_orderdate::DATE AS a, (lead(o_orderdate) OVER w)::DATE - 1 AS b, row_number() OVER w AS o FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderpriority, o_orderkey)"
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from rostrum.operators import aggregates as A
+from rostrum.operators import joins as J
 from rostrum.queries import QUERIES
 from tests.oracle import DATA
 
@@ -39,3 +40,14 @@ def test_text_order_of_all(spark):
     ids = [r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect()]
     got = [r.doc_id for r in QUERIES["o4_text_order_all"](spark, DATA).collect()]
     assert len(ids) > 50 and got == sorted(ids, key=str)
+
+
+def test_names_are_guarded_by_date(spark):
+    dim = spark.createDataFrame([(1, 1, ["SMITH", "Mr Smith"]), (2, 2, ["SMITH"]), (3, 3, ["Jones"]), (4, 4, ["Brown"]), (5, 5, ["Green"])], "id int, ordinal int, forms array<string>")
+    spells = spark.createDataFrame([(1, "1901-01-01", "1910-12-31"), (1, "1920-01-01", None), (3, None, "1950-01-01"), (4, None, None), (4, "1901-01-01", "1902-01-01")], "id int, start string, end string")
+    spells = spells.selectExpr("id", "date(start) AS start", "date(end) AS end")
+    cases = [("SMITH", "1905-05-05", 1), ("smith", "1910-12-31", 1), ("SMITH", "1915-01-01", None), ("mr smith", "1990-01-01", 1), ("Jones", "1950-01-01", 3), ("Jones", "1950-01-02", None)]
+    cases += [("brown", "2000-01-01", 4), ("Green", "2000-01-01", 5), ("Grey", "2000-01-01", None), (None, "2000-01-01", None), ("SMITH", None, None), ("Green", None, 5), ("Brown", None, 4)]
+    df = spark.createDataFrame([(i, n, d) for i, (n, d, _) in enumerate(cases)], "i int, name string, day string").selectExpr("i", "name", "date(day) AS day")
+    got = {r.i: r.id for r in J.match_forms(df, dim, "name", "forms", "id", "ordinal", "day", spells).collect()}
+    assert got == {i: v for i, (_, _, v) in enumerate(cases)}
