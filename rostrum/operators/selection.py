@@ -40,6 +40,13 @@ def cap_speakers(df: DataFrame, speaker: str, order: list[str], share: float = 0
     return d.join(F.broadcast(df.agg(F.greatest(F.lit(least), F.bround(share * F.count("*"))).alias("_cap")))).where(F.col("_r") <= F.col("_cap")).drop("_r", "_cap")
 
 
+def budget_whole(df: DataFrame, period: str, speaker: str, score: str, key: str, date: str, slots: int) -> DataFrame:
+    """:func:`budget`, then the first row by ``date`` and ``key`` in any case, then :func:`cap_speakers` in that order, which keeps that row."""
+    first = df.orderBy(date, key).limit(1)
+    picked = budget(df, period, speaker, score, key, slots).join(F.broadcast(first.select(key)), key, "left_anti").unionByName(first)
+    return cap_speakers(picked, speaker, [date, key])
+
+
 def ordering(sort: str = "date", descending: bool = False, tie: str = "turn_id") -> list[Column]:
     """Sort keys of a result; NULLs come last either way; unknown names sort by date."""
     keys = SORTS.get(sort, SORTS["date"])

@@ -509,6 +509,15 @@ def w19_budget_select(t):
     return L.budget(by_year(t), "year", "o_custkey", "o_totalprice", "o_orderkey", 100).select("o_orderkey", "year")
 
 
+@query("""WITH o AS (SELECT o_orderkey, o_orderpriority AS v, o_orderdate::DATE AS d, o_totalprice AS s, year(o_orderdate) AS y FROM orders), c AS (SELECT y, greatest(1, round_even(100.0::DOUBLE * count(*) / (SELECT count(*) FROM o), 0)) AS slots FROM o GROUP BY 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY y, v ORDER BY s DESC, o_orderkey) AS rd, max(s) OVER (PARTITION BY y, v) AS b FROM o), e AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY rd, b DESC, v, o_orderkey) AS p, row_number() OVER (ORDER BY d, o_orderkey) AS f FROM r),
+k AS (SELECT o_orderkey, e.y, v, row_number() OVER (PARTITION BY v ORDER BY d, o_orderkey) AS i, count(*) OVER () AS n FROM e JOIN c ON e.y = c.y WHERE p <= slots OR f = 1)
+SELECT o_orderkey, y AS year FROM k WHERE i <= greatest(3, round_even(0.15::DOUBLE * n, 0))""")
+def w19_budget_whole(t):
+    """W19 with the first mention and the cap of each speaker; :func:`w19_budget_select` and its SQL are slots and rounds only."""
+    return L.budget_whole(by_year(t), "year", "o_orderpriority", "o_totalprice", "o_orderkey", "date", 100).select("o_orderkey", "year")
+
+
 @query("SELECT o_orderkey, o_totalprice, position, CAST(ceil(position / 25.0) AS BIGINT) AS page FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders) WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'P')")
 def w20_find_page(t):
     o = t("orders")

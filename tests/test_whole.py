@@ -7,6 +7,7 @@ import pytest
 
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
+from rostrum.operators import selection as L
 from rostrum.queries import QUERIES
 from tests.oracle import DATA
 
@@ -51,3 +52,17 @@ def test_names_are_guarded_by_date(spark):
     df = spark.createDataFrame([(i, n, d) for i, (n, d, _) in enumerate(cases)], "i int, name string, day string").selectExpr("i", "name", "date(day) AS day")
     got = {r.i: r.id for r in J.match_forms(df, dim, "name", "forms", "id", "ordinal", "day", spells).collect()}
     assert got == {i: v for i, (_, _, v) in enumerate(cases)}
+
+
+def test_budget_adds_first_mention_and_caps_speakers(spark):
+    rows = [(k, 1990 + k // 50, "a" if k % 50 < 40 else f"b{k % 3}", k // 2, float(k % 50)) for k in range(100)]
+    df = spark.createDataFrame(rows, "k int, y int, who string, d int, score double")
+    plain = {r.k for r in L.budget(df, "y", "who", "score", "k", 20).collect()}
+    got = [r.k for r in L.budget_whole(df, "y", "who", "score", "k", "d", 20).collect()]
+    wanted, seen = [], {}
+    for k in sorted(plain | {0}):
+        who = rows[k][2]
+        seen[who] = seen.get(who, 0) + 1
+        if seen[who] <= max(3, round(0.15 * len(plain | {0}))):
+            wanted.append(k)
+    assert 0 not in plain and 0 in got and sorted(got) == wanted and len(wanted) < len(plain)
