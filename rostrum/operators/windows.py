@@ -137,9 +137,11 @@ def first_rows(df: DataFrame, keys: list[str], order: list, n: int = 1) -> DataF
 def first_events(entries: DataFrame, turns: DataFrame, key: str, gap: int = 180) -> DataFrame:
     """The first turn on or after each entry; an entry within ``gap`` days of the end of the last spell is no new one.
 
+    A first entry with no turn on or after it takes the first turn of all.
     ``entries``: ``key``, ``start``, ``end``; ``turns``: ``key``, ``date``, ``turn_id``.
     """
     w = Window.partitionBy(key).orderBy("start", "end")
-    fresh = entries.withColumn("_end", F.max("end").over(w.rowsBetween(*BEFORE))).where(F.col("_end").isNull() | (F.datediff("start", "_end") > gap)).select(key, "start")
-    met = turns.join(fresh, key).where("date >= start")
-    return first_rows(met, [key, "start"], ["date", "turn_id"])
+    ranked = entries.where("start IS NOT NULL").withColumn("_end", F.max("end").over(w.rowsBetween(*BEFORE))).withColumn("_first", F.row_number().over(w) == 1)
+    fresh = ranked.where(F.col("_end").isNull() | (F.datediff("start", "_end") > gap)).groupBy(key, "start").agg(F.bool_or("_first").alias("_first"))
+    met = turns.where("date IS NOT NULL").join(fresh, key).where("date >= start OR _first")
+    return first_rows(met, [key, "start"], [F.col("date") < F.col("start"), "date", "turn_id"]).drop("_first")

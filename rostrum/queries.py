@@ -144,6 +144,14 @@ def a5_calendar_fill(t):
     return A.calendar_fill(c, "y", F.lit(1990), F.max("y"), "n")
 
 
+@query("""WITH c AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
+SELECT s.y, coalesce(n, 0) AS n FROM (SELECT unnest(range(1990, (SELECT max(y) FROM c) + 1)) AS y) s LEFT JOIN c USING (y)""")
+def a5_calendar_fill_all(t):
+    """A5 with all years; :func:`a5_calendar_fill` and its SQL take even ones."""
+    c = t("orders").where("o_totalprice > 300000").groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
+    return A.calendar_fill(c, "y", F.lit(1990), F.max("y"), "n")
+
+
 @query("""SELECT facet, value, count(*) AS n FROM (SELECT 'lang' AS facet, lang AS value FROM documents UNION ALL SELECT 'source', source FROM documents UNION ALL SELECT 'toxic', toxic::VARCHAR FROM documents LEFT JOIN labels USING (doc_id)
 UNION ALL SELECT 'length', CASE WHEN n_chars < 1000 THEN 'short' ELSE 'long' END FROM documents) WHERE value IS NOT NULL GROUP BY 1, 2""")
 def a6_facets(t):
@@ -490,6 +498,16 @@ def w14_first_event(t):
     return W.first_events(entries, said, "o_custkey").select("o_custkey", "start", "turn_id")
 
 
+@query("""WITH t AS (SELECT o_custkey AS k, o_orderkey, o_orderdate::DATE AS d FROM orders), f AS (SELECT k, d + 30 AS a, max(d + 60) OVER (PARTITION BY k ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e, row_number() OVER (PARTITION BY k ORDER BY d) AS i FROM t),
+g AS (SELECT k, a, i FROM f WHERE e IS NULL OR a - e > 180), m AS (SELECT g.k, a, o_orderkey, row_number() OVER (PARTITION BY g.k, a ORDER BY CASE WHEN d >= a THEN 0 ELSE 1 END, d, o_orderkey) AS r FROM g JOIN t ON t.k = g.k AND (d >= a OR i = 1))
+SELECT k AS o_custkey, a AS start, o_orderkey AS turn_id FROM m WHERE r = 1""")
+def w14_first_event_all(t):
+    """W14 with every order as a turn, entries a month later, and the fallback; :func:`w14_first_event` and its SQL take even keys."""
+    o = by_year(t)
+    entries = o.select("o_custkey", F.date_add("date", 30).alias("start"), F.date_add("date", 60).alias("end"))
+    return W.first_events(entries, o.select("o_custkey", "date", F.col("o_orderkey").alias("turn_id")), "o_custkey").select("o_custkey", "start", "turn_id")
+
+
 @query("SELECT source, doc_id AS first_doc, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE contains(text, 'the')) WHERE r = 1")
 def w15_first_mention(t):
     d = t("documents").where(F.contains("text", F.lit("the")))
@@ -626,6 +644,12 @@ def j11_anti_union(t):
     return J.add_missing(t("customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name"), t("supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name")), "c_custkey")
 
 
+@query("SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def j11_anti_union_all(t):
+    """J11 with all rows of both tables; :func:`j11_anti_union` and its SQL take even customers."""
+    return J.add_missing(t("supplier").select("s_suppkey", "s_name"), t("customer").select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name")), "s_suppkey")
+
+
 @query("SELECT topic, o_orderdate::DATE AS date, count(*) AS turns FROM orders JOIN (SELECT c_custkey, c_mktsegment AS topic FROM customer WHERE c_acctbal > 9000) ON c_custkey = o_custkey GROUP BY 1, 2 ORDER BY turns DESC, date, topic LIMIT 25")
 def j14_topic_days(t):
     c = t("customer").where("c_acctbal > 9000").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("topic"))
@@ -765,6 +789,13 @@ def v7_term(t):
     return V.t7_term(o, spells(t).where("ordinal % 2 = 1").select(F.col("o_custkey").cast("string").alias("unique_id"), "start", "end"))
 
 
+@query(f"""WITH s AS (SELECT k, a, least(coalesce(b, a + 100), a + 100) AS b FROM ({SPELLS})), d AS (SELECT DISTINCT day AS date, o_custkey FROM ({EVERY_FACT})) SELECT date, 'T7' AS test, o_custkey || ' has no term' AS message FROM d JOIN s ON k = o_custkey GROUP BY date, o_custkey HAVING NOT bool_or(date BETWEEN a AND b)""")
+def v7_term_all(t):
+    """V7 with the days of all lines and all spells, with holes after a hundred days; :func:`v7_term` and its SQL take every second spell."""
+    s = spells(t).select(F.col("o_custkey").cast("string").alias("unique_id"), "start", F.least("end", F.date_add("start", 100)).alias("end"))
+    return V.t7_term(every_fact(t).select(F.col("day").alias("date"), F.col("o_custkey").cast("string").alias("unique_id")), s)
+
+
 @query("""SELECT doc_id, instr(text, '. ') AS at FROM documents WHERE instr(text, '. ') > 0 AND length(substr(text, instr(text, '. ') + 2)) > 20""")
 def v3_rest_after_mark(t):
     rest = F.substr(F.col("text"), F.instr("text", ". ") + F.lit(2))
@@ -1009,6 +1040,13 @@ def u5_used_phrases(t):
     return d.groupBy("heading").agg(F.count("*").alias("n")).join(d.where("conv_id % 5 = 0").select("heading").distinct(), "heading", "left_anti")
 
 
+@query("SELECT heading, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations GROUP BY 1) WHERE heading NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE role = 'assistant')")
+def u5_used_phrases_all(t):
+    """U5 with the phrases of all assistants' turns as known; :func:`u5_used_phrases` and its SQL take those of every fifth conversation."""
+    d = turns(t).withColumn("heading", F.trim(F.split_part(F.trim("body"), F.lit("\n"), F.lit(1))))
+    return d.groupBy("heading").agg(F.count("*").alias("n")).join(d.where("role = 'assistant'").select("heading").distinct(), "heading", "left_anti")
+
+
 @query("SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS latest, arg_min(o_orderpriority, o_orderkey) AS first FROM orders GROUP BY 1")
 def w16_w17_latest_first(t):
     return t("orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("latest"), F.min_by("o_orderpriority", "o_orderkey").alias("first"))

@@ -8,6 +8,7 @@ import pytest
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
 from rostrum.operators import selection as L
+from rostrum.operators import windows as W
 from rostrum.queries import QUERIES
 from tests.oracle import DATA
 
@@ -66,3 +67,9 @@ def test_budget_adds_first_mention_and_caps_speakers(spark):
         if seen[who] <= max(3, round(0.15 * len(plain | {0}))):
             wanted.append(k)
     assert 0 not in plain and 0 in got and sorted(got) == wanted and len(wanted) < len(plain)
+
+
+def test_first_entries_fall_back_to_the_first_turn(spark):
+    entries = spark.sql("SELECT k, date(s) AS start, date(e) AS end FROM VALUES ('a', '1910-01-01', '1911-01-01'), ('b', '1900-01-01', '1901-01-01'), ('b', '1910-01-01', '1911-01-01'), ('c', '1900-01-01', '1901-01-01') AS t(k, s, e)")
+    turns = spark.sql("SELECT k, date(d) AS date, n AS turn_id FROM VALUES ('a', '1905-01-01', 2), ('a', '1904-01-01', 1), ('b', '1899-01-01', 3), ('b', '1900-05-05', 4) AS t(k, d, n)")
+    assert {(r.k, r.start.year, r.turn_id) for r in W.first_events(entries, turns, "k").collect()} == {("a", 1910, 1), ("b", 1900, 4)}
