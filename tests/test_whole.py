@@ -4,12 +4,14 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
 from rostrum.operators import selection as L
 from rostrum.operators import windows as W
 from rostrum.queries import QUERIES
+from rostrum.streaming import logs
 from tests.oracle import DATA
 
 
@@ -73,3 +75,13 @@ def test_first_entries_fall_back_to_the_first_turn(spark):
     entries = spark.sql("SELECT k, date(s) AS start, date(e) AS end FROM VALUES ('a', '1910-01-01', '1911-01-01'), ('b', '1900-01-01', '1901-01-01'), ('b', '1910-01-01', '1911-01-01'), ('c', '1900-01-01', '1901-01-01') AS t(k, s, e)")
     turns = spark.sql("SELECT k, date(d) AS date, n AS turn_id FROM VALUES ('a', '1905-01-01', 2), ('a', '1904-01-01', 1), ('b', '1899-01-01', 3), ('b', '1900-05-05', 4) AS t(k, d, n)")
     assert {(r.k, r.start.year, r.turn_id) for r in W.first_events(entries, turns, "k").collect()} == {("a", 1910, 1), ("b", 1900, 4)}
+
+
+def test_streamed_users_are_exact(spark, tmp_path):
+    ev = spark.range(40000).select((F.col("id") % 9000).alias("user_id"), F.when(F.col("id") % 3 > 0, "view").otherwise("click").alias("event_type"), F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 4)").alias("ts"))
+    ev = ev.unionByName(ev.limit(5).withColumn("user_id", F.lit(None).cast("long")))
+    ev.write.parquet(str(tmp_path / "in"))
+    wanted = {tuple(r) for r in ev.groupBy(F.to_date("ts"), "event_type").agg(F.count("*"), F.countDistinct("user_id")).collect()}
+    q = logs.daily_usage(spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("exact_usage").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {tuple(r) for r in spark.table("exact_usage").collect()} == wanted
