@@ -191,6 +191,7 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
     several = noded.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
     same = materialise(noded.join(several, "id").select("a", F.col("node").alias("b")).distinct(), "same")
 
+    mixed = classes.groupBy("node").agg(F.count("*").alias("k")).where("k > 1").select("node", F.lit(True).alias("mixed"))
     hubs = materialise(_hub_pairs(kept, percent), "hubs")
     sets = _wanted_sets(docs, hubs.select(F.explode(F.array("node", "hub")).alias("id")).distinct(), size, **by)
     met = materialise(verify(hubs.select(F.col("node").alias("b"), F.col("hub").alias("a")), sets, percent), "met")
@@ -199,7 +200,7 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
 
     family = met.select(F.col("b").alias("node"), F.col("a").alias("family"), F.col("both").alias("with_hub"))
     far = _across(kept, family, labels, percent)
-    near = _within(kept, family, sets, labels, percent)
+    near = _within(kept, family, sets, labels, percent, mixed)
     pairs = materialise(far.union(near).distinct(), "pairs")
     sets = _wanted_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), size, **by)
     more = materialise(verify(pairs, sets, percent).where("link").select("a", "b"), "links")
@@ -242,25 +243,28 @@ def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int)
     return met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("k"), F.min(ell).alias("ell")).where("k >= ell").select("a", "b")
 
 
-def _within(kept: DataFrame, family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one family and different components that its bounds don't rule out."""
-    n = kept.groupBy("node").agg(F.max("n").alias("n"))
+def _within(kept: DataFrame, family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, mixed: DataFrame) -> DataFrame:
+    """Pairs of one family and different components that its bounds don't rule out.
+
+    A node of several classes (``mixed``) is held to its range of sizes only: which of its texts links isn't known yet.
+    """
+    n = kept.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("low")).join(mixed, "node", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
     members = _placed(n, family, labels)
     members = members.withColumn("with_hub", F.coalesce("with_hub", F.when(F.col("family") == F.col("node"), F.col("n"))))
     #: a hub that has a hub of its own stands in that family and, as the centre, in its own
-    centres = members.select(F.col("family").alias("node")).distinct().join(members.select("node", "n", "comp", F.col("family").alias("other")), "node").where("node <> other")
-    members = members.select("family", "node", "n", "comp", "with_hub").union(centres.select(F.col("node").alias("family"), "node", "n", "comp", F.col("n").alias("with_hub")))
+    centres = members.select(F.col("family").alias("node")).distinct().join(members.select("node", "n", "low", "mixed", "comp", F.col("family").alias("other")), "node").where("node <> other")
+    members = members.select("family", "node", "n", "low", "mixed", "comp", "with_hub").union(centres.select(F.col("node").alias("family"), "node", "n", "low", "mixed", "comp", F.col("n").alias("with_hub")))
     sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
     members = materialise(members.join(sizes.select("family", "members"), "family"), "families")
     large = members.where(F.col("members") > SMALL).select("family", "node").join(sets.withColumnRenamed("id", "node"), "node").select("family", "node", F.explode("items").alias("token"))
     held = large.groupBy("family", "token").agg(F.count("*").alias("k")).where("k > 1")
     shares = large.join(held, ["family", "token"]).groupBy("family", "node").agg(F.count("*").alias("shares"))
     known = members.join(shares, ["family", "node"], "left").withColumn("shares", F.when(F.col("members") > SMALL, F.coalesce("shares", F.lit(0))).otherwise(F.col("n")))
-    x, y = (known.select("family", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "comp", "with_hub", "shares"))) for side in "ab")
+    x, y = (known.select("family", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "low", "mixed", "comp", "with_hub", "shares"))) for side in "ab")
     most = F.least("with_hub_a", "with_hub_b") + F.least(F.col("shares_a") - F.col("with_hub_a"), F.col("shares_b") - F.col("with_hub_b"))
     most = F.least(F.when(F.col("shares_a").isNotNull(), most), "n_a", "n_b")
     pairs = x.join(y, "family").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("low_a", "low_b"))
+        & (F.col("mixed_a") | F.col("mixed_b") | ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))))
     )
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
