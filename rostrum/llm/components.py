@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import materialise
+from rostrum.llm.runtime import discard, materialise
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
@@ -30,10 +30,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         large = both.where("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = materialise(
+        before, e = e, materialise(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct(),
             "edges",
         )
+        discard(before)
         now = _mark(e)
         if now == seen:
             break

@@ -210,7 +210,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     def keeper(group: tuple):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = _loaded(group, percent)
-            for b in chunks(batches, text_col, PIECE):
+            for b in chunks(batches, position, PIECE):
                 clean = np.ones(b.num_rows, bool)
                 clean[[row for row, *_ in items.search(*raw_bytes(normalise(b.column(position))))]] = False
                 yield b.filter(pa.array(clean))

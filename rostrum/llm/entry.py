@@ -41,7 +41,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("cleaned_sha256"))
 
 

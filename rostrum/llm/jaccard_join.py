@@ -16,13 +16,14 @@ verified. A pair is held to the smaller ``l`` of the two.
   that marks the others keeps most entries from being shuffled a second time.
 * Each class is first compared with one hub: of every shingle the class with most
   shared entries, of these the one it meets most often. Classes of one hub are a
-  family. Linked classes merge; blocks of one component are done.
+  family. Linked classes merge; pairs within one component are done.
 * What is left between components is joined in full. Across families, pairs meet at
-  shared shingles. Within a family they meet once, and only if the shingles that
-  each shares with any other of the family, and with the hub, leave room for a
-  link: a family of near copies then costs about as many pairs as doubtful members.
-  All pairs are verified by the size of the intersection; no link between
-  components is lost.
+  the shingles of their prefixes. Within a family, which shares most of its shingles,
+  the members outside its largest component are compared with all others: both sides
+  are cut into blocks of :data:`BLOCK` shingles, and in each pair of blocks the same
+  prefix condition decides which pairs are verified.
+* Verification is exact. Sets travel once for each block of partners, are compared in
+  a stream, and only links leave a task. No link between components is lost.
 
 Texts without words have empty sets and link with nothing, as do null texts; a
 text of fewer words than a shingle gives its whole sequence. Rows of null id take
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.llm.components import connected_components
-from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
+from rostrum.llm.runtime import bit_table, bounded_batches, chunks, discard, has_bit, materialise, raw_bytes
 from rostrum.llm.words import distinct, shingles, words
 
 #: Counts in the table of shingle frequencies.
@@ -51,8 +52,10 @@ BUCKETS = 1 << 16
 LONGEST = 8
 #: Bits of the tables that mark shared shingles and the texts that a verification needs (powers of two).
 BITS, TEXT_BITS = 1 << 22, 1 << 20
-#: Members of a family up to which its pairs are verified without further bounds.
-SMALL = 16
+#: Shingles of a family's members that are compared with as many of its outsiders in one step.
+BLOCK = 1 << 19
+#: Partners that one copy of a set serves.
+PARTNERS = 512
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -143,7 +146,7 @@ def entries(docs: DataFrame, size: int, percent: int, excess: np.ndarray, marks:
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id`` and ``items`` of the wanted ids; a table of marks of fixed size spares most others the shuffle."""
+    """``id`` and ``items`` (the set's hashes, ascending, as bytes) of the wanted ids; a table of marks of fixed size spares most others the shuffle."""
     marks, _ = bit_table(wanted, F.pmod("id", F.lit(TEXT_BITS)), TEXT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,19 +159,51 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str,
                         yield b
 
         for ids, sets in _sets(some(), size):
-            at = np.cumsum([0, *map(len, sets)])
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "items"])
 
-    sets = _texts(docs, id_col, text_col).mapInArrow(run, "id long, items array<long>")
+    sets = _texts(docs, id_col, text_col).mapInArrow(run, "id long, items binary")
     return materialise(sets.join(wanted, "id", "left_semi"), "sets")
 
 
+def common(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of an ascending set with others."""
+    at = np.cumsum([0, *map(len, sets)])
+    if not len(own) or not at[-1]:
+        return np.zeros(len(sets), np.int64)
+    items = np.concatenate(sets)
+    total = np.append(0, np.cumsum(own[np.minimum(np.searchsorted(own, items), len(own) - 1)] == items))
+    return total[at[1:]] - total[at[:-1]]
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (``a``, ``b``) with the size ``both`` of the intersection of their sets, and whether they link."""
-    b = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
-    a = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
-    joined = pairs.join(b, "b").join(a, "a").withColumn("both", F.size(F.array_intersect("items_a", "items_b")))
-    return joined.select("a", "b", "both", (100 * F.col("both") >= percent * (F.size("items_a") + F.size("items_b") - F.col("both"))).alias("link"))
+    """``pairs`` (``a``, ``b``) that link.
+
+    The set of ``a`` is sent once for each block of its partners and meets theirs one by one.
+    """
+    load = pairs.groupBy("a").agg(F.count("*").alias("load"))
+    blocks = pairs.join(load, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / PARTNERS)))
+    centres = blocks.select(F.col("a").alias("id"), "block").distinct().join(sets, "id").select(F.col("id").alias("a"), "block", F.lit(None).cast("long").alias("b"), "items")
+    others = blocks.join(sets.withColumnRenamed("id", "b"), "b").select("a", "block", "b", "items")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, centre = None, []
+        for batch in batches:
+            found = []
+            for a, block, b, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (a, block):
+                    now, centre = (a, block), []
+                own = np.frombuffer(items, np.uint64)
+                if b is None:
+                    centre.append(own)
+                    continue
+                both = common(own, centre)
+                if any(100 * k >= percent * (len(own) + len(x) - k) for k, x in zip(both.tolist(), centre, strict=True)):
+                    found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    ordered = centres.union(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    return ordered.mapInArrow(run, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,46 +212,65 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
     Two rows link when ``100 * intersection >= percent * union`` of their sets of
     ``size``-word shingles; the component is the smallest id reachable by links.
     """
+    bounded_batches(docs.sparkSession)
     by = {"id_col": id_col, "text_col": text_col}
     rows, excess = signatures(docs, size, **by)
-    classes = rows.where("cls is not null and id is not null").groupBy("cls").agg(F.min("id").alias("node"))
+    classes = materialise(rows.where("cls is not null and id is not null").groupBy("cls").agg(F.min("id").alias("node")), "classes")
     found = entries(docs, size, percent, excess, **by)
     shared = materialise(found.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token"), "shared")
     marks, _ = bit_table(shared, F.pmod("token", F.lit(BITS)), BITS)
     kept = entries(docs, size, percent, excess, marks, **by).join(shared, "token").distinct().join(classes, "cls")
     kept = kept.select("token", "node", F.shiftright("info", 8).alias("n"), (F.shiftright("info", 4) % 16).alias("level"), (F.col("info") % 16).alias("ell"))
     kept = materialise(kept, "prefixes")
+    discard(shared)
+    scratch: list[DataFrame] = []
 
     noded = rows.where("id is not null").join(classes, "cls")
     several = noded.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
     same = materialise(noded.join(several, "id").select("a", F.col("node").alias("b")).distinct(), "same")
 
-    mixed = classes.groupBy("node").agg(F.count("*").alias("k")).where("k > 1").select("node", F.lit(True).alias("mixed"))
-    hubs = materialise(_hub_pairs(kept, percent), "hubs")
-    sets = _wanted_sets(docs, hubs.select(F.explode(F.array("node", "hub")).alias("id")).distinct(), size, **by)
-    met = materialise(verify(hubs.select(F.col("node").alias("b"), F.col("hub").alias("a")), sets, percent), "met")
-    links = met.where("link").select("a", "b").union(same)
+    hubs = materialise(_hub_pairs(kept, percent, scratch), "hubs")
+    near_sets = _wanted_sets(docs, hubs.select(F.explode(F.array("node", "hub")).alias("id")).distinct(), size, **by)
+    links = materialise(verify(hubs.select(F.col("hub").alias("a"), F.col("node").alias("b")), near_sets, percent).union(same), "links")
     labels = materialise(connected_components(links), "components")
 
-    family = met.select(F.col("b").alias("node"), F.col("a").alias("family"), F.col("both").alias("with_hub"))
-    far = _across(kept, family, labels, percent)
-    near = _within(kept, family, sets, labels, percent, mixed)
-    pairs = materialise(far.union(near).distinct(), "pairs")
-    sets = _wanted_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), size, **by)
-    more = materialise(verify(pairs, sets, percent).where("link").select("a", "b"), "links")
+    family = hubs.select("node", F.col("hub").alias("family"))
+    far = materialise(_across(kept, family, labels, percent, scratch), "pairs")
+    far_sets = _wanted_sets(docs, far.select(F.explode(F.array("a", "b")).alias("id")).distinct(), size, **by)
+    n = kept.groupBy("node").agg(F.max("n").alias("n"))
+    more = materialise(verify(far, far_sets, percent).union(_within(n, family, labels, near_sets, excess, percent, scratch)), "links")
     if not more.isEmpty():
         labels = materialise(connected_components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)), "components")
 
-    out = rows.join(classes, "cls", "left").withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")))
-    out = out.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("node").alias("component_id"))
+    of = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("cls", F.coalesce("component", "node").alias("component"))
+    scratch.append(materialise(of, "classes"))
+    out = rows.join(scratch[-1], "cls", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    out = materialise(out, "groups")
+    discard(classes, kept, same, hubs, near_sets, links, far, far_sets, more, *scratch)
+    return out
+
 
+def drop_near_duplicates(docs: DataFrame, size: int, percent: int, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: that of the smallest id, null ids last.
 
-def _hub_pairs(kept: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``hub``: for each node the hub that it meets most often, if it meets one often enough to be similar to it."""
+    Rows are told apart even where they share an id or have none: of rows that are
+    equal one stays, and a text that only shares the id of a near-duplicate stays.
+    Texts without words are no one's duplicates and stay.
+    """
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")), "rows")
+    keys = rows.select("row", F.col("doc").getField(id_col).alias("id"), F.col("doc").getField(text_col).alias("text"))
+    groups = similar_groups(keys, size, percent, id_col="row")
+    least = groups.join(keys.select("row", "id"), "row").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    return rows.join(least.select(F.col("first.row").alias("row")), "row", "left_semi").select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
+def _hub_pairs(kept: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
+    """``node`` and ``hub``: for each node the hub that it meets most often, if it meets one often enough to be of its family."""
     load = kept.groupBy("node").agg(F.count("*").alias("load"))
     known = kept.join(load, "node")
     best = known.groupBy("token").agg(F.min(F.struct((-F.col("load")).alias("rank"), "node", "n", "ell")).alias("hub")).select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.ell").alias("hub_ell"))
+    best = materialise(best, "best")
+    scratch.append(best)
     pairs = kept.join(best, "token").where((F.col("node") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
     counted = pairs.groupBy("node", "hub").agg(F.count("*").alias("k"), F.min(F.least("ell", "hub_ell")).alias("ell")).where("2 * k >= ell")
     return counted.groupBy("node").agg(F.max(F.struct("k", (-F.col("hub")).alias("hub"))).alias("best")).select("node", (-F.col("best.hub")).alias("hub"))
@@ -228,11 +282,12 @@ def _placed(rows: DataFrame, family: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("comp", F.coalesce("component", "node")).withColumn("family", F.coalesce("family", "node")).drop("component")
 
 
-def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
     """Pairs of different components and families that share as many shingles as the smaller ``l`` of the two asks for."""
-    blocks = _placed(kept, family.select("node", "family"), labels)
+    blocks = _placed(kept, family, labels)
     mixed = blocks.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("family").alias("f0"), F.max("family").alias("f1")).where("c0 < c1 and f0 < f1").select("token")
     blocks = materialise(blocks.join(mixed, "token"), "blocks")
+    scratch.append(blocks)
     own = ("node", "n", "level", "ell", "comp", "family")
     x, y = (blocks.select("token", *(F.col(c).alias(f"{c}_{side}") for c in own)) for side in "ab")
     ell = F.least("ell_a", "ell_b")
@@ -243,28 +298,82 @@ def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int)
     return met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("k"), F.min(ell).alias("ell")).where("k >= ell").select("a", "b")
 
 
-def _within(kept: DataFrame, family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, mixed: DataFrame) -> DataFrame:
-    """Pairs of one family and different components that its bounds don't rule out.
+def _within(n: DataFrame, family: DataFrame, labels: DataFrame, sets: DataFrame, excess: np.ndarray, percent: int, scratch: list[DataFrame]) -> DataFrame:
+    """Links between different components of a family; both ends have its hub, with which each is compared already.
 
-    A node of several classes (``mixed``) is held to its range of sizes only: which of its texts links isn't known yet.
+    Members outside the family's largest component (the outsiders) meet all others,
+    in blocks of bounded size of either; of equal pairs of components a task reports one.
     """
-    n = kept.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("low")).join(mixed, "node", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
-    members = _placed(n, family, labels)
-    members = members.withColumn("with_hub", F.coalesce("with_hub", F.when(F.col("family") == F.col("node"), F.col("n"))))
-    #: a hub that has a hub of its own stands in that family and, as the centre, in its own
-    centres = members.select(F.col("family").alias("node")).distinct().join(members.select("node", "n", "low", "mixed", "comp", F.col("family").alias("other")), "node").where("node <> other")
-    members = members.select("family", "node", "n", "low", "mixed", "comp", "with_hub").union(centres.select(F.col("node").alias("family"), "node", "n", "low", "mixed", "comp", F.col("n").alias("with_hub")))
-    sizes = members.groupBy("family").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-    members = materialise(members.join(sizes.select("family", "members"), "family"), "families")
-    large = members.where(F.col("members") > SMALL).select("family", "node").join(sets.withColumnRenamed("id", "node"), "node").select("family", "node", F.explode("items").alias("token"))
-    held = large.groupBy("family", "token").agg(F.count("*").alias("k")).where("k > 1")
-    shares = large.join(held, ["family", "token"]).groupBy("family", "node").agg(F.count("*").alias("shares"))
-    known = members.join(shares, ["family", "node"], "left").withColumn("shares", F.when(F.col("members") > SMALL, F.coalesce("shares", F.lit(0))).otherwise(F.col("n")))
-    x, y = (known.select("family", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "low", "mixed", "comp", "with_hub", "shares"))) for side in "ab")
-    most = F.least("with_hub_a", "with_hub_b") + F.least(F.col("shares_a") - F.col("with_hub_a"), F.col("shares_b") - F.col("with_hub_b"))
-    most = F.least(F.when(F.col("shares_a").isNotNull(), most), "n_a", "n_b")
-    pairs = x.join(y, "family").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("low_a", "low_b"))
-        & (F.col("mixed_a") | F.col("mixed_b") | ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))))
-    )
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    members = materialise(_placed(n.join(family.select("node"), "node"), family, labels), "families")
+    counts = members.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    of = counts.groupBy("family").agg(F.max(F.struct("k", "comp", "n")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("comps")).where("comps > 1")
+    of = of.select("family", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).alias("parts"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("sides"))
+    placed = members.join(of, "family").withColumn("outside", F.col("comp") != F.col("main"))
+    placed = materialise(placed.join(sets.withColumnRenamed("id", "node"), "node").select("family", "node", "comp", "outside", "parts", "sides", "items"), "members")
+    scratch += [members, placed]
+    part, side = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("sides")).alias("side")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    rows = placed.select("family", part, every("sides").alias("side"), F.lit(1).alias("role"), "node", "comp", "items")
+    rows = rows.union(placed.where("outside").select("family", every("parts").alias("part"), side, F.lit(0).alias("role"), "node", "comp", "items"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, others, seen = None, _Outsiders(excess, percent), set()
+        for batch in batches:
+            found = []
+            for *key, role, node, comp, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != key:
+                    now, others, seen = key, _Outsiders(excess, percent), set()
+                own = np.frombuffer(items, np.uint64)
+                if role == 0:
+                    others.add(node, comp, own)
+                    continue
+                for a, comp_a in others.links(node, comp, own, seen):
+                    seen.add((comp_a, comp))
+                    found.append((a, node))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    key = ("family", "part", "side")
+    return rows.repartition(*key).sortWithinPartitions(*key, "role").mapInArrow(run, "a long, b long")
+
+
+class _Outsiders:
+    """Some members of a family, ready to be compared with others of it."""
+
+    def __init__(self, excess: np.ndarray, percent: int):
+        self.excess, self.percent = excess, percent
+        self.nodes, self.sets, self.token = [], [], None
+
+    def add(self, node: int, comp: int, own: np.ndarray) -> None:
+        self.nodes.append((node, comp))
+        self.sets.append(own)
+
+    def _index(self) -> None:
+        """All prefix entries in the order of their shingles."""
+        parts = [prefix(x, self.excess, self.percent) for x in self.sets]
+        token, level = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        order = np.argsort(token)
+        self.token, self.level = token[order], level[order]
+        self.owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])[order]
+        self.ell, self.n = np.array([p[2] for p in parts]), np.array([len(x) for x in self.sets])
+        self.comp = np.array([c for _, c in self.nodes])
+
+    def links(self, node: int, comp: int, own: np.ndarray, seen: set) -> Iterator[tuple[int, int]]:
+        """Those of another component that the set links with, by prefixes and then exactly."""
+        if not self.nodes or not len(own):
+            return
+        if self.token is None:
+            self._index()
+        token, level, ell = prefix(own, self.excess, self.percent)
+        low, high = (np.searchsorted(self.token, token, side) for side in ("left", "right"))
+        width = high - low
+        at = np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
+        least = np.minimum(self.ell, ell)
+        owner = self.owner[at]
+        good = (self.level[at] <= least[owner]) & (np.repeat(level, width) <= least[owner])
+        met = np.bincount(owner[good], minlength=len(self.nodes)) >= least
+        met &= (self.comp != comp) & (100 * np.minimum(self.n, len(own)) >= self.percent * np.maximum(self.n, len(own)))
+        chosen = [i for i in np.flatnonzero(met).tolist() if (self.nodes[i][1], comp) not in seen]
+        for i, both in zip(chosen, common(own, [self.sets[i] for i in chosen]).tolist(), strict=True):
+            if 100 * both >= self.percent * (len(own) + len(self.sets[i]) - both):
+                yield self.nodes[i]

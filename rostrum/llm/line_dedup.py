@@ -16,7 +16,9 @@ The hashes of these lines are sent to the tasks while there are at most
 A null text stays null and has no lines; an empty one has one blank line. Null
 sites count as no site. A text all of whose lines go becomes the empty text; the
 row stays. Repeated rows are repeated in the result. Long texts need no more than
-themselves in memory. Empty tables give empty ones; other columns pass unchanged.
+themselves in memory. Empty tables give empty ones; other columns pass unchanged,
+whatever their names: where a column ``n_lines`` or ``n_removed`` is there already,
+the new one's name starts with an underscore more.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostrum.llm.runtime import bounded_batches, chunks, materialise, spare_names
+
 MIN_SITES = 10
 #: Sketch size (log2 of registers) and the standard errors around the threshold within which lines are counted exactly.
 LOG_K, BAND = 10, 4
@@ -52,23 +56,23 @@ def spread(docs: DataFrame, min_sites: int = MIN_SITES, *, text_col: str = "text
     slack = BAND * 1.04 / (1 << LOG_K) ** 0.5
     over = estimated.where(F.col("n") > min_sites * (1 + slack) + 0.5).select("key")
     near = estimated.where(F.col("n").between(min_sites * (1 - slack) - 0.5, min_sites * (1 + slack) + 0.5)).select("key")
-    exact = seen.join(near, "key", "left_semi").groupBy("key").agg(F.countDistinct("site").alias("n")).where(F.col("n") >= min_sites).select("key")
+    #: distinct first, partly before the shuffle: a line near the threshold then has few rows, however often it stands in texts
+    exact = seen.distinct().join(near, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("key")
     return over.union(exact)
 
 
-def remove_lines(docs: DataFrame, keys: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines of ``keys``, with the further columns ``n_lines`` and ``n_removed``."""
-    from rostrum.llm.runtime import materialise
-
+def remove_lines(docs: DataFrame, keys: DataFrame, *, text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` without the lines of ``keys``; with ``counts``, further columns ``n_lines`` and ``n_removed``."""
     keys = materialise(keys, "line-keys")
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed")).schema
+    names = spare_names(docs.columns, "n_lines", "n_removed") if counts else []
+    schema = docs.select("*", *(F.lit(0).cast("long").alias(c) for c in names)).schema
     if keys.count() > SENT:
-        return _remove_joined(docs, keys, text_col).select(*schema.names)
+        return _remove_joined(docs, keys, text_col, names)
     gone = frozenset(bytes(r.key) for r in keys.collect())  # SENT rows at most
     position = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches, position, 1 << 20):
             texts, n_lines, n_removed = [], [], []
             for text in b.column(position).to_pylist():
                 lines = [] if text is None else text.split("\n")
@@ -78,29 +82,31 @@ def remove_lines(docs: DataFrame, keys: DataFrame, *, text_col: str = "text") ->
                 n_removed.append(len(lines) - len(kept))
             columns = list(b.columns)
             columns[position] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], schema.names)
+            more = [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())] if counts else []
+            yield pa.RecordBatch.from_arrays([*columns, *more], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def _remove_joined(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
+def _remove_joined(docs: DataFrame, keys: DataFrame, text_col: str, names: list[str]) -> DataFrame:
     """The same by joins: no more than one text's lines come together in a task."""
-    row = F.md5(F.to_json(F.struct(*(F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(docs.columns))), {"ignoreNullFields": "false"}))
-    marked = docs.withColumn("_row", row)
-    lines = marked.select("_row", F.posexplode(_lines(F.col(text_col))).alias("_at", "_line")).distinct()
-    kept = lines.withColumn("key", F.when(F.trim("_line") != "", _key(F.trim("_line")))).join(keys, "key", "left_anti")
-    texts = kept.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_line"))).alias("_kept"))
-    joined = marked.join(texts, "_row", "left")
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(_lines(F.col(text_col)))).cast("long")
-    left = F.coalesce(F.size("_kept"), F.lit(0)).cast("long")
-    out = joined.select("*", n_lines.alias("n_lines"), (n_lines - left).alias("n_removed"))
-    new = F.when(F.col(text_col).isNotNull(), F.coalesce(F.array_join(F.transform("_kept", lambda x: x["_line"]), "\n"), F.lit("")))
-    return out.withColumn(text_col, new)
-
-
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, *, text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """``docs`` without lines of ``min_sites`` sites and more, with ``n_lines`` and ``n_removed``."""
-    return remove_lines(docs, spread(docs, min_sites, text_col=text_col, site_col=site_col), text_col=text_col)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    marked = whole.withColumn("row", F.md5(F.to_json("doc", {"ignoreNullFields": "false"})))
+    lines = marked.select("row", F.posexplode(_lines(F.col("text"))).alias("at", "line")).distinct()
+    kept = lines.withColumn("key", F.when(F.trim("line") != "", _key(F.trim("line")))).join(keys, "key", "left_anti")
+    texts = kept.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("kept"))
+    joined = marked.join(texts, "row", "left")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text")))).cast("long")
+    left = F.coalesce(F.size("kept"), F.lit(0)).cast("long")
+    new = F.when(F.col("text").isNotNull(), F.coalesce(F.array_join(F.transform("kept", lambda x: x["line"]), "\n"), F.lit("")))
+    columns = [(new if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns]
+    return joined.select(*columns, *(x.alias(c) for x, c in zip((n_lines, n_lines - left), names, strict=False)))
+
+
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, *, text_col: str = "text", site_col: str = "source", counts: bool = True) -> DataFrame:
+    """``docs`` without lines of ``min_sites`` sites and more, with ``n_lines`` and ``n_removed`` (unless ``counts`` is false)."""
+    bounded_batches(docs.sparkSession)
+    return remove_lines(docs, spread(docs, min_sites, text_col=text_col, site_col=site_col), text_col=text_col, counts=counts)
 
 
 #: The same over ``documents`` in SQL, as query op7 returns it.

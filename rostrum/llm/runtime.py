@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,17 +11,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker; Spark's own default is 64 MB, of which a task holds several.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+    """The folder that driver and executors share, as a URI: ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Where the setting is absent (a local session, as in tests) a folder of this
-    machine is made and set, so that every later call sees the same one.
+    A path without a scheme is one of the default file system, as Spark reads it.
+    Where neither is set, a local session gets a temporary folder as its
+    checkpoint folder; on a cluster that folder would be another on each machine,
+    so the call raises.
     """
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="rostrum-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/") if "://" in at or at.startswith("file:") else "file://" + os.path.abspath(at)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="rostrum-"))
+        at = context.getCheckpointDir()
+    path = context._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -30,21 +40,49 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/rostrum/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to :data:`BATCH_BYTES`, unless it asks for less."""
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives executors."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what :func:`materialise` wrote; only where nothing lazy reads it any more."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spare_names(taken: list[str], *names: str) -> list[str]:
+    """Names for an operator's own columns that no column of the caller has, whatever its case."""
+    used = {x.lower() for x in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` (text or binary) holds about ``limit`` bytes in each; at least one row."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` (text or binary, by name or place) holds about ``limit`` bytes in each; at least one row."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        ends = offsets(batch.column(batch.schema.get_field_index(column)))
+        ends = offsets(batch.column(column))
         start = 0
         while start < n:
             stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, side="right")) - 1)

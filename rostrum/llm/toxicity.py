@@ -7,7 +7,8 @@ feature, the smoothed log ratio of its frequency in rows of either label, and a
 logistic regression on the features times these ratios; features that no more
 than :data:`RARE` rows have, or whose ratio is within noise, are left out. The
 score is the regression's probability. The sample is at most :data:`SAMPLE`
-rows, the first by a hash of the label's id, and trains in one task; counts and
+rows, the first by a hash of the label's id, and ends with the row that brings its
+texts to :data:`SAMPLE_BYTES`; it trains in one task; counts and
 weights have a fixed size. Nothing but the text enters a score.
 
 Null texts count as empty and get the score of the bias alone, as do empty ones.
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import chunks, raw_bytes
+from rostrum.llm.runtime import bounded_batches, chunks, raw_bytes, spare_names
 from rostrum.llm.words import Powers, distinct
 
 LENGTHS = (3, 4, 5, 6, 7)
@@ -36,6 +37,8 @@ SAMPLE = 8_000
 RARE = 4
 #: Standard deviations that a log ratio must stand from 0, smoothing of counts, ridge of the regression and its steps.
 NOISE, SMOOTH, RIDGE, STEPS = 3.0, 1.0, 1e-3, 300
+#: Bytes of the sample's texts after which no further row joins it, and features that a step of the regression takes at a time.
+SAMPLE_BYTES, AT_ONCE = 64 << 20, 1 << 20
 #: Bytes of text taken at a time, so that the arrays stay in a processor's cache.
 PIECE = 1 << 17
 
@@ -93,21 +96,32 @@ def fit(pieces: list[pa.Array], labels: np.ndarray) -> np.ndarray:
     ratio = np.log(p / (rows[1] + 2 * SMOOTH)) - np.log(q / (rows[0] + 2 * SMOOTH))
     wanted = (count.sum(axis=0) > RARE) & (np.abs(ratio) > NOISE * np.sqrt(1 / p + 1 / q))
     del count
-    kept = [x for piece in pieces for x in features(piece, wanted)]
-    number = np.cumsum(wanted) - 1
+    number = (np.cumsum(wanted) - 1).astype(np.int32)
+    kept = [number[x] for piece in pieces for x in features(piece, wanted)]
+    col = np.concatenate(kept) if kept else np.zeros(0, np.int32)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in kept])
+    del kept, number
     scale = ratio[wanted]
-    col = number[np.concatenate(kept)] if kept else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(y)), [len(x) for x in kept])
-    value = scale[col]
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(0, len(col), AT_ONCE):
+            yield row[i : i + AT_ONCE], col[i : i + AT_ONCE]
+
+    def by_row(weight: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(r, weight[c], len(y)) for r, c in blocks()), np.zeros(len(y)))
+
+    def by_feature(error: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(c, error[r], len(scale)) for r, c in blocks()), np.zeros(len(scale)))
+
     w, bias = np.zeros(len(scale)), float(np.log(rows[1] / rows[0]))
-    #: gradient descent with momentum; the step follows from the largest row's norm
-    step = 4 / (np.bincount(row, value**2, len(y)).mean() + 1)
+    #: gradient descent with momentum; the step follows from the rows' mean norm
+    step = 4 / (by_row(scale**2).mean() + 1)
     weight = np.where(y == 1, 0.5 / rows[1], 0.5 / rows[0])
     ahead, ahead_bias, v, vb = w.copy(), bias, w.copy(), bias
     for t in range(STEPS):
-        score = np.bincount(row, value * ahead[col], len(y)) + ahead_bias
+        score = by_row(scale * ahead) + ahead_bias
         error = weight * (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y)
-        w, bias = ahead - step * (np.bincount(col, value * error[row], len(scale)) + RIDGE * ahead), ahead_bias - step * error.sum()
+        w, bias = ahead - step * (scale * by_feature(error) + RIDGE * ahead), ahead_bias - step * error.sum()
         beta = t / (t + 3)
         ahead, ahead_bias, v, vb = w + beta * (w - v), bias + beta * (bias - vb), w, bias
     out[:-1][wanted] = w * scale
@@ -128,12 +142,13 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_co
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, y = [], []
+        pieces, y, held = [], [], 0
         for b in chunks(batches, "text", PIECE):
-            b = b.slice(0, max(0, SAMPLE - len(y)))
+            b = b.slice(0, max(0, SAMPLE - len(y)) if held < SAMPLE_BYTES else 0)
             if b.num_rows:
                 pieces.append(pa.array(b.column(0).to_pylist(), pa.string()))
                 y += b.column(1).to_pylist()
+                held += b.column(0).nbytes
         yield pa.RecordBatch.from_arrays([pa.array([fit(pieces, np.array(y)).tobytes()], pa.binary())], ["weights"])
 
     order = (F.xxhash64("id"), "id", "text", "y")
@@ -146,20 +161,39 @@ def held_out(col):
     return F.crc32(col.cast("string")) % 5 == 0
 
 
+def _scores(batches: Iterator[pa.RecordBatch], packed: bytes) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of the batches, whose last column is the text, and the scores of their rows."""
+    w = np.frombuffer(packed, np.float32)
+    wanted = w[:-1] != 0
+    for b in chunks(batches, -1, PIECE):
+        yield b, probability(b.column(b.num_columns - 1), w, wanted)
+
+
 def score(docs: DataFrame, weights: np.ndarray, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` and the score of the text."""
-    packed = weights.tobytes()
-    out = docs.select(*keep, F.col(text_col).alias("_scored_text"), F.lit(0.0).alias(name))
-    schema = out.drop("_scored_text").schema
+    bounded_batches(docs.sparkSession)
+    packed, (text,) = weights.tobytes(), spare_names([*keep, name], "text")
+    rows = docs.select(*keep, F.col(text_col).alias(text))
+    schema = docs.select(*keep, F.lit(0.0).alias(name)).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, p in _scores(batches, packed):
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, weights: np.ndarray, limit: float = 0.5, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
+    bounded_batches(docs.sparkSession)
+    packed, (text,) = weights.tobytes(), spare_names(docs.columns, "text")
+    rows = docs.select("*", F.col(text_col).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = np.frombuffer(packed, np.float32)
-        wanted = w[:-1] != 0
-        for b in chunks(batches, "_scored_text", PIECE):
-            p = probability(b.column(len(keep)), w, wanted)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(p)], [*keep, name])
+        for b, p in _scores(batches, packed):
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], docs.columns).filter(pa.array(p < limit))
 
-    return out.mapInArrow(run, schema)
+    return rows.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -50,9 +50,9 @@ class Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, 1 << 20)
+            size = max(n, 1 << 18)
             up, down = _powers(_BASE, size), _powers(_INVERSE, size)
-            if size > 1 << 22:  # a very long text: not kept
+            if size > 1 << 20:  # a very long text: not kept
                 return up, down
             cls.up, cls.down = up, down
         return cls.up, cls.down
