@@ -1,4 +1,9 @@
-"""A training corpus from raw documents: five stages, each over all that the one before kept."""
+"""A training corpus from raw documents: five stages, each over all that the one before kept.
+
+The first four return the columns of the documents they got, whatever further ones
+there are and whatever these are called; the last has a row for each document of
+the fourth. Empty tables give empty ones. Texts are taken whole, however long.
+"""
 
 from __future__ import annotations
 
@@ -15,31 +20,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below one half."""
-    weights = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, weights, keep=tuple(docs.columns), name="_score").where("_score < 0.5").drop("_score")
+    """Documents whose toxicity is below one half; null and empty texts have the score of the bias alone."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sources carry; ``n_chars`` follows the text."""
-    cleaned = line_dedup.dedup_lines(docs).drop("n_lines", "n_removed")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, without the lines that many sources carry; ``n_chars``, where it is there, follows the text.
+
+    Null texts and their ``n_chars`` are null, rows of null source count for no line.
+    """
+    cleaned = line_dedup.dedup_lines(docs, counts=False)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cleaned.withColumn("n_chars", length).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity of 0.8 and more) the document of the smallest id."""
-    groups = jaccard_join.similar_groups(docs, size=5, percent=80)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near-duplicates (five-word shingles, similarity of 0.8 and more) the document of the smallest id.
+
+    Of equal rows one stays; null and wordless texts all stay.
+    """
+    return jaccard_join.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark; null and wordless texts hold none."""
     return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, digested after a round trip."""
+    """Token ids of each row, digested after a round trip; a null text counts as empty."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
