@@ -187,11 +187,11 @@ def drop_toxic(docs: DataFrame, weights: np.ndarray, limit: float = 0.5, *, text
     """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
     bounded_batches(docs.sparkSession)
     packed, (text,) = weights.tobytes(), spare_names(docs.columns, "text")
-    rows = docs.select("*", F.col(text_col).alias(text))
+    rows, names = docs.select("*", F.col(text_col).alias(text)), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, p in _scores(batches, packed):
-            yield pa.RecordBatch.from_arrays(b.columns[:-1], docs.columns).filter(pa.array(p < limit))
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], names).filter(pa.array(p < limit))
 
     return rows.mapInArrow(run, docs.schema)
 
