@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,29 +13,26 @@ from pyspark.sql import functions as F
 def snippet_of(body: str, phrase: str, window: int = 300) -> str:
     """The part around the first of the occurrences with most others near; without any the first 600 characters."""
     low, term = body.lower(), phrase.lower()
-    at = [m.start() for m in re.finditer(f"(?={re.escape(term)})", low)] if term else []
-    if not at:
+    at = np.array([m.start() for m in re.finditer(f"(?={re.escape(term)})", low)] if term else [], np.int64)
+    if not len(at):
         return body[:600] + "..." * (len(body) > 600)
-    near = [sum(p - window <= q <= p + len(phrase) + window for q in at) for p in at]
-    p = at[near.index(max(near))]
+    near = np.searchsorted(at, at + len(phrase) + window, "right") - np.searchsorted(at, at - window, "left")
+    p = int(at[near.argmax()])
     a, z = max(0, p - window), min(len(body), p + len(phrase) + window)
     return "..." * (a > 0) + body[a:z] + "..." * (z < len(body))
 
 
 def excerpt_of(body: str, terms: list[str], window: int = 400, ends: int = 400) -> str:
     """Both ends and what is around whole-word matches, with marks where text is left out; the whole text without a match."""
-    found = [m.span() for t in terms if t for m in re.finditer(rf"\b{re.escape(t)}\b", body, re.IGNORECASE)]
-    if not found:
+    found = np.array([m.span() for t in terms if t for m in re.finditer(rf"\b{re.escape(t)}\b", body, re.IGNORECASE)], np.int64).reshape(-1, 2)
+    if not len(found):
         return body
-    n = len(body)
-    spans = sorted([(0, min(ends, n)), (max(0, n - ends), n), *((max(0, a - window), min(n, z + window)) for a, z in found)])
-    kept = [list(spans[0])]
-    for a, z in spans[1:]:
-        if a <= kept[-1][1]:
-            kept[-1][1] = max(kept[-1][1], z)
-        else:
-            kept.append([a, z])
-    return " […] ".join(body[a:z] for a, z in kept)
+    #: how many windows open and close at each place; text is kept where some are open
+    change = np.zeros(len(body) + 1, np.int64)
+    np.add.at(change, np.concatenate([[0, max(0, len(body) - ends)], np.maximum(0, found[:, 0] - window)]), 1)
+    np.add.at(change, np.concatenate([[min(ends, len(body)), len(body)], np.minimum(len(body), found[:, 1] + window)]), -1)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(change) > 0, [0]]).astype(np.int8)))
+    return " […] ".join(body[a:z] for a, z in edges.reshape(-1, 2).tolist())
 
 
 def snippet(col: Column, phrase: str, window: int = 300) -> Column:

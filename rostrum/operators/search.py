@@ -68,7 +68,7 @@ class Engine:
         m = self.matches(r)
         total = m.count()
         number, size, pages = L.page_bounds(total, r.page, r.size)
-        keys = L.ordering(r.sort, r.descending)
+        keys = L.ordering(r.sort, r.descending, columns=self.turns.columns)
         # the page is found without the texts, which join by id afterwards
         ids = L.page(m.drop("body"), keys, number, size)
         hits = ids.join(self.turns.select("turn_id", S.preview(F.col("body")).alias("preview")), "turn_id").orderBy(*keys)
@@ -80,16 +80,21 @@ class Engine:
         self._cache[r.key()] = (now, out)
         return out
 
-    def find_page(self, turn_id: int, r: Request) -> DataFrame:
-        keys = [k for k in (*L.SORTS.get(r.sort, L.SORTS["date"]), "turn_id") if k in self.turns.columns]
-        return L.position(self.matches(r), keys, F.col("turn_id") == turn_id, min(200, max(1, r.size)))
+    def find_page(self, turn: int | str, r: Request) -> DataFrame:
+        """Position and page of a turn, by id or by hash, among the hits of a request in its own order."""
+        names = [c for c in L.sort_names(r.sort, self.turns.columns) if c != "turn_id"]
+        wanted = F.col("turn_id") == turn if isinstance(turn, int) else self._hash() == turn
+        return L.position(self.matches(r), names, wanted, min(200, max(1, r.size)), descending=r.descending)
+
+    @staticmethod
+    def _hash():
+        return S.turn_hash(F.col("chamber"), F.col("date"), F.col("name_id"), F.col("body"))
 
     def day(self, chamber: str, date: str) -> DataFrame:
         return self.turns.where((F.col("chamber") == chamber) & (F.col("date") == F.lit(date).cast("date"))).orderBy("order")
 
     def by_hash(self, wanted: str) -> DataFrame:
-        h = S.turn_hash(F.col("chamber"), F.col("date"), F.col("name_id"), F.col("body"))
-        return self.turns.where(h == wanted)
+        return self.turns.where(self._hash() == wanted)
 
     def exchanges(self, r: Request, n: int = 3, *, whole_days: bool = False) -> DataFrame:
         """Matches with heading, context and pairing; over the filtered turns of a day, or over whole days."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SORTS = {"date": ("date", "order"), "chamber": ("chamber", "date"), "name": ("name", "date"), "party": ("party", "date"), "in_gov": ("in_gov", "date"), "state_or_electorate": ("state_or_electorate", "date")}
+SORTS = {"date": ("date", "order"), "chamber": ("chamber", "date"), "name": ("name", "date"), "party": ("party", "date"), "in_gov": ("in_gov", "date"), "state_or_electorate": ("state", "electorate", "date")}
 
 
 def stratified(df: DataFrame, stratum: Column, key: str, n: int = 6, seed: int = 42) -> DataFrame:
@@ -47,10 +47,16 @@ def budget_whole(df: DataFrame, period: str, speaker: str, score: str, key: str,
     return cap_speakers(picked, speaker, [date, key])
 
 
-def ordering(sort: str = "date", descending: bool = False, tie: str = "turn_id") -> list[Column]:
+def sort_names(sort: str, columns: list[str]) -> list[str]:
+    """The columns of a named order that a table has; unknown names sort by date. A place is the state where there is one, else the electorate."""
+    names = [c for c in SORTS.get(sort, SORTS["date"]) if c in columns]
+    return [c for c in names if c != "electorate" or "state" not in columns]
+
+
+def ordering(sort: str = "date", descending: bool = False, tie: str = "turn_id", columns: list[str] | None = None) -> list[Column]:
     """Sort keys of a result; NULLs come last either way; unknown names sort by date."""
-    keys = SORTS.get(sort, SORTS["date"])
-    return [F.col(k).desc_nulls_last() if descending else F.col(k).asc_nulls_last() for k in keys] + [F.col(tie).asc()]
+    names = sort_names(sort, columns if columns is not None else [c for keys in SORTS.values() for c in keys if c != "electorate"])
+    return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in names] + [F.col(tie).asc()]
 
 
 def page_bounds(total: int, page: int, size: int) -> tuple[int, int, int]:
@@ -64,8 +70,14 @@ def page(df: DataFrame, keys: list[Column], number: int, size: int) -> DataFrame
     return df.orderBy(*keys).offset((number - 1) * size).limit(size)
 
 
-def position(df: DataFrame, keys: list[str], wanted: Column, size: int) -> DataFrame:
-    """Where a row stands in the order of unique ``keys`` and on which page: counted, not ranked in one task."""
-    at = df.where(wanted).select(F.struct(*keys).alias("_at"))
-    before = df.select(F.struct(*keys).alias("_k")).join(F.broadcast(at.limit(1))).where("_k < _at")
-    return at.limit(1).join(F.broadcast(before.agg(F.count("*").alias("_n")))).select(*(F.col(f"_at.{k}").alias(k) for k in keys), (F.col("_n") + 1).alias("position"), F.ceil((F.col("_n") + 1) / size).alias("page"))
+def position(df: DataFrame, names: list[str], wanted: Column, size: int, *, descending: bool = False, tie: str = "turn_id") -> DataFrame:
+    """Where a row stands in the order of :func:`ordering` and on which page: counted, not ranked in one task."""
+    at = df.where(wanted).orderBy(tie).limit(1).select(*(F.col(c).alias(f"_at_{c}") for c in (*names, tie)))
+    before, equal = F.lit(False), F.lit(True)
+    for c in (*names, tie):
+        mine, its = F.col(c), F.col(f"_at_{c}")
+        sooner = mine > its if descending and c != tie else mine < its
+        before = before | equal & F.coalesce(sooner | mine.isNotNull() & its.isNull(), mine.isNotNull() & its.isNull())
+        equal = equal & mine.eqNullSafe(its)
+    n = df.select(*names, tie).join(F.broadcast(at), before).agg(F.count("*").alias("_n"))
+    return at.join(F.broadcast(n)).select(*(F.col(f"_at_{c}").alias(c) for c in (*names, tie)), (F.col("_n") + 1).alias("position"), F.ceil((F.col("_n") + 1) / size).alias("page"))

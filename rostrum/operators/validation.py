@@ -9,13 +9,69 @@ from rostrum.functions.scalars import party_alias
 from rostrum.operators.joins import in_spell
 from rostrum.operators.windows import consecutive_duplicates
 
-#: Ids of offices rather than persons, and procedural openings.
+#: Ids of offices rather than persons; of the house, and its further ids that stand for no known person.
 SPECIAL = ("10000", "10001", "UNKNOWN", "20000", "1")
-PROCEDURAL = (
-    r"(?i)^(Question (resolved|negatived|agreed to|put)|(Honourable|Opposition|Government) (senators|members) interjecting|"
-    r"The (PRESIDENT|DEPUTY PRESIDENT|SPEAKER|DEPUTY SPEAKER|CHAIR|ACTING DEPUTY)|(Senator|Mr|Ms) \w+ interjecting|Leave granted|Sitting suspended|"
-    r"(Debate|House|Senate) adjourned|Bill read a|Proposed expenditure|Motion \(by|That the|Consideration interrupted|A division having been|Debate \(on motion)"
+SPECIAL_HOUSE = ("10000", "10001", "UNKNOWN", "20000")
+#: Texts that may repeat from turn to turn (T2). They are looked for anywhere, in any case; a caret ties to the start.
+REPEATABLE = (
+    r"interjecting",
+    r"^to move[:\-—]",
+    r"^by leave[—\-]",
+    r"—by leave—",
+    r"^to present a bill",
+    r"^I move:",
+    r"^That this bill be now read",
+    r"^That the \w[\w\s]+ bill be now read",
+    r"^That the bill be now read",
+    r"^That the amendments be agreed",
+    r"^Is leave granted",
+    r"^Leave not granted",
+    r"^Leave granted",
+    r"^Order[!.]?$",
+    r"^\(Time expired\)",
+    r"^Question ",
+    r"^Votes and Proceedings",
+    r"^Pause the clock",
+    r"^That the senator be no longer heard",
+    r"^Document made a parliamentary paper",
+    r"^There is no point of order",
+    r"^An incident having occurred",
+    r"^The (?:PRESIDENT|SPEAKER|CHAIR|DEPUTY)",
+    r"^(?:Honourable|Opposition|Government) (?:members|senators):",
+    r"^Yes\.$",
+    r"^No\.$",
+    r"^\d{2}:\d{2}:\d{2}",
+    r"^—I move:",
+    r"^Notice Paper",
+    r"^Ordered that the report be made",
+    r"^The question is that the bill be now read",
+    r"^\(\s*\)\s*\(",
 )
+#: How text that may follow an expired time starts (T3), in any case.
+AFTER_TIME = (
+    r"Question (resolved|negatived|agreed to|put)",
+    r"Honourable (senators|members) interjecting",
+    r"Opposition (senators|members) interjecting",
+    r"Government (senators|members) interjecting",
+    r"The (PRESIDENT|DEPUTY PRESIDENT|SPEAKER|DEPUTY SPEAKER|CHAIR|ACTING DEPUTY)",
+    r"Senator \w+ interjecting",
+    r"Mr \w+ interjecting",
+    r"Ms \w+ interjecting",
+    r"Leave granted",
+    r"Sitting suspended",
+    r"Debate adjourned",
+    r"House adjourned",
+    r"Senate adjourned",
+    r"Bill read a",
+    r"Proposed expenditure",
+    r"Motion \(by",
+    r"That the",
+    r"Consideration interrupted",
+    r"A division having been",
+    r"Debate \(on motion",
+)
+MAY_REPEAT = "(?i)" + "|".join(REPEATABLE)
+MAY_FOLLOW = f"(?i)^(?:{'|'.join(AFTER_TIME)})"
 
 
 def _errors(df: DataFrame, test: str, message) -> DataFrame:
@@ -28,18 +84,21 @@ def t1_dates(days: DataFrame, sessions: DataFrame) -> DataFrame:
     return _errors(days.select("date").distinct().join(s, "date", "left").where("header_date IS NULL OR header_date <> date"), "T1", F.coalesce(F.concat(F.lit("header says "), F.col("header_date").cast("string")), F.lit("no header")))
 
 
-def t2_duplicates(turns: DataFrame) -> DataFrame:
-    """Consecutive turns of one text, interjections and procedural ones aside; a count for each day."""
-    spoken = turns.where((F.coalesce("interject", F.lit(0)) == 0) & F.col("body").isNotNull() & ~F.col("body").rlike(PROCEDURAL))
-    found = consecutive_duplicates(spoken, "body", ["date"], "order").groupBy("date").agg(F.count("*").alias("n"))
-    return _errors(found, "T2", F.concat(F.col("n").cast("string"), F.lit(" consecutive duplicates")))
+def t2_duplicates(turns: DataFrame, keys: tuple[str, ...] = ("date",), order: str = "order") -> DataFrame:
+    """Turns with the text of the turn before, interjections aside; a count for each day.
+
+    Empty texts and those that may repeat count as a turn before, but not as a repetition.
+    """
+    found = consecutive_duplicates(turns.where("interject = 0"), "body", list(keys), order)
+    n = found.where((F.col("body") != "") & ~F.col("body").rlike(MAY_REPEAT)).groupBy("date").agg(F.count("*").alias("n"))
+    return _errors(n, "T2", F.concat(F.col("n").cast("string"), F.lit(" consecutive duplicates")))
 
 
 def t3_expired(turns: DataFrame) -> DataFrame:
     """Text of more than 20 characters after the first ``(Time expired)``, unless procedural."""
     mark = "(Time expired)"
     rest = F.trim(F.substr(F.col("body"), F.instr("body", mark) + F.lit(len(mark))))
-    return _errors(turns.where((F.instr("body", mark) > 0) & (F.length(rest) > 20) & ~rest.rlike(PROCEDURAL)), "T3", F.concat(F.lit("text after expiry at "), F.col("order").cast("string")))
+    return _errors(turns.where((F.instr("body", mark) > 0) & (F.length(rest) > 20) & ~rest.rlike(MAY_FOLLOW)), "T3", F.concat(F.lit("text after expiry at "), F.col("order").cast("string")))
 
 
 def t4_unique(turns: DataFrame) -> DataFrame:

@@ -134,14 +134,23 @@ def first_rows(df: DataFrame, keys: list[str], order: list, n: int = 1) -> DataF
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
 
 
-def first_events(entries: DataFrame, turns: DataFrame, key: str, gap: int = 180) -> DataFrame:
-    """The first turn on or after each entry; an entry within ``gap`` days of the end of the last spell is no new one.
-
-    A first entry with no turn on or after it takes the first turn of all.
-    ``entries``: ``key``, ``start``, ``end``; ``turns``: ``key``, ``date``, ``turn_id``.
+def first_events(entries: DataFrame, turns: DataFrame, key: str, gap: int = 180, *, override: bool = False) -> DataFrame:
+    """The first turn on or after each entry: of a key's first spell, and of those that start more than ``gap`` days after the known end of the spell before.
+
+    A first entry with no turn on or after it takes the first turn of all; it is
+    passed over if a turn of the key is flagged already, unless ``override``.
+    ``entries``: ``key``, ``start``, ``end``; ``turns``: ``key``, ``date``,
+    ``turn_id`` (its order within a day) and, if there are such columns,
+    ``substantive`` (false: no candidate) and ``first_speech`` (1: flagged).
     """
     w = Window.partitionBy(key).orderBy("start", "end")
-    ranked = entries.where("start IS NOT NULL").withColumn("_end", F.max("end").over(w.rowsBetween(*BEFORE))).withColumn("_first", F.row_number().over(w) == 1)
-    fresh = ranked.where(F.col("_end").isNull() | (F.datediff("start", "_end") > gap)).groupBy(key, "start").agg(F.bool_or("_first").alias("_first"))
-    met = turns.where("date IS NOT NULL").join(fresh, key).where("date >= start OR _first")
+    ranked = entries.where("start IS NOT NULL").withColumn("_end", F.lag("end").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    fresh = ranked.where(F.col("_first") | (F.datediff("start", "_end") > gap)).groupBy(key, "start").agg(F.bool_or("_first").alias("_first"))
+    if "first_speech" in turns.columns and not override:
+        flagged = turns.where("first_speech = 1").select(key).distinct().withColumn("_flagged", F.lit(True))
+        fresh = fresh.join(flagged, key, "left").where("NOT _first OR _flagged IS NULL").drop("_flagged")
+    own = turns.where("date IS NOT NULL")
+    if "substantive" in turns.columns:
+        own = own.where("substantive")
+    met = own.join(fresh, key).where("date >= start OR _first")
     return first_rows(met, [key, "start"], [F.col("date") < F.col("start"), "date", "turn_id"]).drop("_first")

@@ -8,6 +8,7 @@ events for logs of use.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -137,17 +138,10 @@ def a4_timeseries(t):
     return A.time_series(t("orders"), F.year("o_orderdate"), "o_orderstatus", ["F", "O", "P"])
 
 
-@query("""WITH c AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders WHERE o_totalprice > 300000 AND year(o_orderdate) % 2 = 0 GROUP BY 1)
-SELECT s.y, coalesce(n, 0) AS n FROM (SELECT unnest(range(1990, (SELECT max(y) FROM c) + 1)) AS y) s LEFT JOIN c USING (y)""")
-def a5_calendar_fill(t):
-    c = t("orders").where("o_totalprice > 300000 AND year(o_orderdate) % 2 = 0").groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
-    return A.calendar_fill(c, "y", F.lit(1990), F.max("y"), "n")
-
-
 @query("""WITH c AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
 SELECT s.y, coalesce(n, 0) AS n FROM (SELECT unnest(range(1990, (SELECT max(y) FROM c) + 1)) AS y) s LEFT JOIN c USING (y)""")
 def a5_calendar_fill_all(t):
-    """A5 with all years; :func:`a5_calendar_fill` and its SQL take even ones."""
+    """A5 over all years."""
     c = t("orders").where("o_totalprice > 300000").groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
     return A.calendar_fill(c, "y", F.lit(1990), F.max("y"), "n")
 
@@ -329,14 +323,6 @@ def a41_bow(t):
     return A.words(t("documents"), "text", "[a-z]{4,}", ("that", "this"), 50)
 
 
-@query("""WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' '), lambda x: len(x) >= 4) AS w FROM documents WHERE doc_id < 100),
-g AS (SELECT doc_id, unnest(range(1, len(w))) AS i, w FROM w WHERE len(w) > 1)
-SELECT w[i] || ' ' || w[i + 1] AS gram, count(*) AS n FROM g GROUP BY 1 ORDER BY n DESC, min((doc_id, i)) LIMIT 20""")
-def a42_seeds(t):
-    """Pairs of the documents with ids below 100, as its SQL says; :func:`a42_seeds_search` is the whole of A42."""
-    return A.bigrams(t("documents").where("doc_id < 100"), "text", "doc_id", 20)
-
-
 SEED_STOP_SQL = ", ".join(f"'{x}'" for x in A.SEED_STOP)
 
 
@@ -488,24 +474,17 @@ def w13_rank5(t):
     return W.first_rows(d, ["day"], ["ts", "event_id"], 5).select("day", "event_type").distinct()
 
 
-@query("""WITH s AS (SELECT o_custkey AS k, o_orderdate::DATE AS a, o_orderdate::DATE + 30 AS b FROM orders), f AS (SELECT k, a, max(b) OVER (PARTITION BY k ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM s),
-g AS (SELECT k, a FROM f WHERE e IS NULL OR a - e > 180), m AS (SELECT g.k, g.a, o_orderkey, row_number() OVER (PARTITION BY g.k, g.a ORDER BY o_orderdate::DATE, o_orderkey) AS r FROM g JOIN orders ON o_custkey = g.k AND o_orderdate::DATE >= g.a AND o_orderkey % 2 = 0)
-SELECT k AS o_custkey, a AS start, o_orderkey AS turn_id FROM m WHERE r = 1""")
-def w14_first_event(t):
-    o = by_year(t)
-    entries = o.select("o_custkey", F.col("date").alias("start"), F.date_add("date", 30).alias("end"))
-    said = o.where("o_orderkey % 2 = 0").select("o_custkey", "date", F.col("o_orderkey").alias("turn_id"))
-    return W.first_events(entries, said, "o_custkey").select("o_custkey", "start", "turn_id")
-
-
-@query("""WITH t AS (SELECT o_custkey AS k, o_orderkey, o_orderdate::DATE AS d FROM orders), f AS (SELECT k, d + 30 AS a, max(d + 60) OVER (PARTITION BY k ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e, row_number() OVER (PARTITION BY k ORDER BY d) AS i FROM t),
-g AS (SELECT k, a, i FROM f WHERE e IS NULL OR a - e > 180), m AS (SELECT g.k, a, o_orderkey, row_number() OVER (PARTITION BY g.k, a ORDER BY CASE WHEN d >= a THEN 0 ELSE 1 END, d, o_orderkey) AS r FROM g JOIN t ON t.k = g.k AND (d >= a OR i = 1))
-SELECT k AS o_custkey, a AS start, o_orderkey AS turn_id FROM m WHERE r = 1""")
+@query("""WITH t AS (SELECT o_custkey AS k, o_orderkey AS id, o_orderdate::DATE AS d, o_orderpriority <> '5-LOW' AS sub, o_totalprice > 450000 AS said, o_orderstatus <> 'P' AS known FROM orders),
+f AS (SELECT k, d + 30 AS a, lag(CASE WHEN known THEN d + 60 END) OVER w AS e, row_number() OVER w AS i FROM t WINDOW w AS (PARTITION BY k ORDER BY d + 30, CASE WHEN known THEN d + 60 END NULLS FIRST)),
+g AS (SELECT k, a, bool_or(i = 1) AS one FROM f WHERE i = 1 OR a - e > 180 GROUP BY 1, 2), h AS (SELECT * FROM g WHERE NOT one OR k NOT IN (SELECT k FROM t WHERE said)),
+m AS (SELECT h.k, a, id, row_number() OVER (PARTITION BY h.k, a ORDER BY CASE WHEN d >= a THEN 0 ELSE 1 END, d, id) AS r FROM h JOIN t ON t.k = h.k AND sub AND (d >= a OR one))
+SELECT k AS o_custkey, a AS start, id AS turn_id FROM m WHERE r = 1""")
 def w14_first_event_all(t):
-    """W14 with every order as a turn, entries a month later, and the fallback; :func:`w14_first_event` and its SQL take even keys."""
+    """Every order is a turn and, a month later, an entry; spells of pending orders have no known end, low ones aren't substantive, very dear ones are flagged already."""
     o = by_year(t)
-    entries = o.select("o_custkey", F.date_add("date", 30).alias("start"), F.date_add("date", 60).alias("end"))
-    return W.first_events(entries, o.select("o_custkey", "date", F.col("o_orderkey").alias("turn_id")), "o_custkey").select("o_custkey", "start", "turn_id")
+    entries = o.select("o_custkey", F.date_add("date", 30).alias("start"), F.when(F.col("o_orderstatus") != "P", F.date_add("date", 60)).alias("end"))
+    said = o.select("o_custkey", "date", F.col("o_orderkey").alias("turn_id"), (F.col("o_orderpriority") != "5-LOW").alias("substantive"), F.when(F.col("o_totalprice") > 450000, 1).otherwise(0).alias("first_speech"))
+    return W.first_events(entries, said, "o_custkey").select("o_custkey", "start", "turn_id")
 
 
 @query("SELECT source, doc_id AS first_doc, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE contains(text, 'the')) WHERE r = 1")
@@ -520,27 +499,24 @@ def w18_broad_sample(t):
     return L.broad(by_year(t), "year", F.col("o_totalprice"), "o_orderkey", 100).select("o_orderkey", "year")
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice AS s, year(o_orderdate) AS y FROM orders), c AS (SELECT y, greatest(1, round_even(100.0::DOUBLE * count(*) / (SELECT count(*) FROM o), 0)) AS slots FROM o GROUP BY 1),
-d AS (SELECT *, row_number() OVER (PARTITION BY y, o_custkey ORDER BY s DESC, o_orderkey) AS rd, max(s) OVER (PARTITION BY y, o_custkey) AS b FROM o), e AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY rd, b DESC, o_custkey, o_orderkey) AS p FROM d)
-SELECT o_orderkey, e.y AS year FROM e JOIN c ON e.y = c.y WHERE p <= slots""")
-def w19_budget_select(t):
-    return L.budget(by_year(t), "year", "o_custkey", "o_totalprice", "o_orderkey", 100).select("o_orderkey", "year")
-
-
 @query("""WITH o AS (SELECT o_orderkey, o_orderpriority AS v, o_orderdate::DATE AS d, o_totalprice AS s, year(o_orderdate) AS y FROM orders), c AS (SELECT y, greatest(1, round_even(100.0::DOUBLE * count(*) / (SELECT count(*) FROM o), 0)) AS slots FROM o GROUP BY 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY y, v ORDER BY s DESC, o_orderkey) AS rd, max(s) OVER (PARTITION BY y, v) AS b FROM o), e AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY rd, b DESC, v, o_orderkey) AS p, row_number() OVER (ORDER BY d, o_orderkey) AS f FROM r),
 k AS (SELECT o_orderkey, e.y, v, row_number() OVER (PARTITION BY v ORDER BY d, o_orderkey) AS i, count(*) OVER () AS n FROM e JOIN c ON e.y = c.y WHERE p <= slots OR f = 1)
 SELECT o_orderkey, y AS year FROM k WHERE i <= greatest(3, round_even(0.15::DOUBLE * n, 0))""")
 def w19_budget_whole(t):
-    """W19 with the first mention and the cap of each speaker; :func:`w19_budget_select` and its SQL are slots and rounds only."""
+    """W19 with the first mention and the cap of each speaker."""
     return L.budget_whole(by_year(t), "year", "o_orderpriority", "o_totalprice", "o_orderkey", "date", 100).select("o_orderkey", "year")
 
 
-@query("SELECT o_orderkey, o_totalprice, position, CAST(ceil(position / 25.0) AS BIGINT) AS page FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders) WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'P')")
+@query("""SELECT party, date, turn_id, position, CAST(ceil(position / 25.0) AS BIGINT) AS page FROM (SELECT *, row_number() OVER (ORDER BY party DESC NULLS LAST, date DESC NULLS LAST, turn_id) AS position FROM
+(SELECT o_orderkey AS turn_id, o_orderdate::DATE AS date, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS party FROM orders)) WHERE turn_id IN (SELECT max(o_orderkey) FROM orders GROUP BY o_orderstatus = 'P')""")
 def w20_find_page(t):
-    o = t("orders")
-    key = o.where("o_orderstatus = 'P'").agg(F.max("o_orderkey")).first()[0]
-    return L.position(o, ["o_totalprice", "o_orderkey"], F.col("o_orderkey") == key, 25)
+    """Of a turn with and of one without a party, in falling order."""
+    o = by_year(t).select(F.col("o_orderkey").alias("turn_id"), "date", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("party"))
+    ids = [r[0] for r in t("orders").groupBy(F.col("o_orderstatus") == "P").agg(F.max("o_orderkey")).select("max(o_orderkey)").collect()]  # two rows
+    names = L.sort_names("party", o.columns)
+    found = [L.position(o, names, F.col("turn_id") == i, 25, descending=True) for i in ids]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("SELECT source, dense_rank() OVER (ORDER BY f) AS citation FROM (SELECT source, min(doc_id) AS f FROM documents GROUP BY 1)")
@@ -558,15 +534,6 @@ def j1_fill(t):
     return J.fill_from(holes, c.withColumn("ordinal", F.col("c_custkey")), "c_nationkey", ["c_mktsegment"], "ordinal").select("c_custkey", "c_mktsegment")
 
 
-@query("""WITH f AS (SELECT n_nationkey AS v, upper(n_name) AS k, 0 AS f FROM nation UNION ALL SELECT n_nationkey, 'The ' || n_name, 1 FROM nation), x AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN upper(n_name) WHEN s_suppkey % 3 = 1 THEN 'the ' || lower(n_name) ELSE 'nobody' END AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-SELECT s_suppkey, name, coalesce((SELECT arg_min(v, (v, f)) FROM f WHERE k = name), (SELECT arg_min(v, (v, f)) FROM f WHERE lower(k) = lower(name)))::BIGINT AS id FROM x""")
-def j2_alt_keys(t):
-    n = t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").alias("ordinal"), F.array(F.upper("n_name"), F.concat(F.lit("The "), F.col("n_name"))).alias("forms"))
-    name = F.when(F.col("s_suppkey") % 3 == 0, F.upper("n_name")).when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("the "), F.lower("n_name"))).otherwise("nobody")
-    s = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", name.alias("name"))
-    return J.match_forms(s, n, "name", "forms", "id", "ordinal").select("s_suppkey", "name", "id")
-
-
 @query("""WITH f AS (SELECT c_custkey AS v, k, f FROM (SELECT c_custkey, unnest([upper(c_mktsegment) || c_nationkey, 'The ' || c_mktsegment || c_nationkey]) AS k, unnest([0, 1]) AS f FROM customer)),
 e AS (SELECT k, arg_min(v, (v, f)) AS v FROM f GROUP BY 1), l AS (SELECT lower(k) AS k, arg_min(v, (v, f)) AS v FROM f GROUP BY 1),
 x AS (SELECT o_orderkey, o_orderdate::DATE AS day, CASE WHEN o_orderstatus = 'F' THEN upper(c_mktsegment) || c_nationkey WHEN o_orderstatus = 'O' THEN 'the ' || lower(c_mktsegment) || c_nationkey ELSE 'nobody' END AS name FROM orders JOIN customer ON o_custkey = c_custkey),
@@ -575,7 +542,7 @@ s AS (SELECT o_custkey AS k, o_orderdate::DATE AS a, o_orderdate::DATE + 60 AS b
 g AS (SELECT o_orderkey, bool_or(day BETWEEN a AND b) AS ok FROM m JOIN s ON k = v GROUP BY 1)
 SELECT o_orderkey, name, CASE WHEN coalesce(ok, true) THEN v END AS id FROM m LEFT JOIN g USING (o_orderkey)""")
 def j2_alt_keys_dated(t):
-    """J2 with its guard by date, which :func:`j2_alt_keys` has no days for: customers share written forms, orders give days and spells of 60 days."""
+    """J2 with its guard by date: customers share written forms, orders give days and spells of 60 days."""
     c, tag = t("customer"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string"))
     low = F.concat(F.lower("c_mktsegment"), F.col("c_nationkey").cast("string"))
     high = F.concat(F.upper("c_mktsegment"), F.col("c_nationkey").cast("string"))
@@ -593,26 +560,6 @@ def spells(t) -> DataFrame:
     return J.spells_from_events(t("orders"), "o_custkey", "o_orderdate", ["o_orderpriority", "o_orderkey"]).withColumnRenamed("o_orderpriority", "party")
 
 
-def facts(t) -> DataFrame:
-    d = t("lineitem").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return d.where("l_linenumber = 1").groupBy("l_orderkey", "o_custkey").agg(F.min(F.to_date("l_shipdate")).alias("day")).withColumn("party", F.lit(None).cast("string"))
-
-
-FACTS = "SELECT l_orderkey, o_custkey, min(l_shipdate::DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1 GROUP BY 1, 2"
-
-
-@query(f"""WITH s AS ({SPELLS}), f AS ({FACTS}) SELECT l_orderkey, (SELECT arg_min(v, o) FROM s WHERE k = o_custkey AND a <= day AND (b IS NULL OR day <= b)) AS party FROM f""")
-def j3_asof(t):
-    return J.as_of(facts(t), spells(t), "o_custkey", "day", "party", "l_orderkey").select("l_orderkey", "party")
-
-
-@query(f"""WITH s AS (SELECT k, v, o, a, coalesce(b, a + 400) + 200 AS b FROM ({SPELLS})), f AS ({FACTS}), m AS (SELECT l_orderkey, v, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN day BETWEEN a AND b THEN 0 ELSE 1 END, CASE WHEN day BETWEEN a AND b THEN b - a END NULLS FIRST, b DESC, o) AS r FROM f JOIN s ON k = o_custkey)
-SELECT f.l_orderkey, v AS party FROM f LEFT JOIN m ON m.l_orderkey = f.l_orderkey AND r = 1""")
-def j5_shortest_spell(t):
-    s = spells(t).withColumn("end", F.date_add(F.coalesce("end", F.date_add("start", 400)), 200))
-    return J.as_of(facts(t), s, "o_custkey", "day", "party", "l_orderkey", shortest=True).select("l_orderkey", "party")
-
-
 @query("""SELECT o_orderkey, CASE WHEN contains(lower(o_orderpriority), 'urgent') AND o_orderdate::DATE < '1996-01-01' THEN 'A' WHEN contains(lower(o_orderpriority), 'high') AND o_orderdate::DATE >= '1994-01-01' THEN 'B' WHEN contains(lower(o_orderpriority), '-') THEN 'C' END AS value FROM orders""")
 def j6_theta(t):
     o = by_year(t)
@@ -639,14 +586,9 @@ def j9_votes_first_row(t):
     return t("lineitem").join(first, "l_suppkey", "left").select("l_orderkey", "l_linenumber", "unique_id")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")
-def j11_anti_union(t):
-    return J.add_missing(t("customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name"), t("supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name")), "c_custkey")
-
-
 @query("SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
 def j11_anti_union_all(t):
-    """J11 with all rows of both tables; :func:`j11_anti_union` and its SQL take even customers."""
+    """J11 with all rows of both tables."""
     return J.add_missing(t("supplier").select("s_suppkey", "s_name"), t("customer").select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name")), "s_suppkey")
 
 
@@ -656,12 +598,6 @@ def j14_topic_days(t):
     return by_year(t).join(c, "o_custkey").groupBy("topic", "date").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "date", "topic").limit(25)
 
 
-@query(f"""WITH s AS (SELECT k, a, coalesce(b, a + 100) AS b FROM ({SPELLS}) WHERE o % 2 = 1), f AS ({FACTS}) SELECT l_orderkey, bool_or(day BETWEEN a AND b) AS ok FROM f JOIN s ON k = o_custkey GROUP BY 1""")
-def j16_any_term(t):
-    s = spells(t).where("ordinal % 2 = 1").withColumn("end", F.coalesce("end", F.date_add("start", 100)))
-    return facts(t).join(s.select("o_custkey", "start", "end"), "o_custkey").groupBy("l_orderkey").agg(F.bool_or(J.in_spell(F.col("day"), F.col("start"), F.col("end"))).alias("ok"))
-
-
 EVERY_FACT = "SELECT DISTINCT l_orderkey, o_custkey, l_shipdate::DATE AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
 
@@ -675,21 +611,21 @@ def every_fact(t) -> DataFrame:
 @query(f"""WITH s AS ({SPELLS}), f AS ({EVERY_FACT}), m AS (SELECT l_orderkey, day, arg_min(v, o) AS v FROM f JOIN s ON k = o_custkey AND a <= day AND (b IS NULL OR day <= b) GROUP BY 1, 2)
 SELECT f.l_orderkey, f.day, v AS party FROM f LEFT JOIN m ON m.l_orderkey = f.l_orderkey AND m.day = f.day""")
 def j3_asof_all(t):
-    """J3 over all lines; :func:`j3_asof` and its SQL look up the first lines only."""
+    """J3 over all lines."""
     return J.as_of(every_fact(t), spells(t), "o_custkey", "day", "party", "fact").select("l_orderkey", "day", "party")
 
 
 @query(f"""WITH s AS (SELECT k, v, o, a, coalesce(b, a + 400) + 200 AS b FROM ({SPELLS})), f AS ({EVERY_FACT}), m AS (SELECT l_orderkey, day, v, row_number() OVER (PARTITION BY l_orderkey, day ORDER BY CASE WHEN day BETWEEN a AND b THEN 0 ELSE 1 END, CASE WHEN day BETWEEN a AND b THEN b - a END NULLS FIRST, b DESC, o) AS r FROM f JOIN s ON k = o_custkey)
 SELECT f.l_orderkey, f.day, v AS party FROM f LEFT JOIN m ON m.l_orderkey = f.l_orderkey AND m.day = f.day AND r = 1""")
 def j5_shortest_spell_all(t):
-    """J5 over all lines; :func:`j5_shortest_spell` and its SQL look up the first lines only."""
+    """J5 over all lines."""
     s = spells(t).withColumn("end", F.date_add(F.coalesce("end", F.date_add("start", 400)), 200))
     return J.as_of(every_fact(t), s, "o_custkey", "day", "party", "fact", shortest=True).select("l_orderkey", "day", "party")
 
 
 @query(f"""WITH s AS (SELECT k, a, least(coalesce(b, a + 100), a + 100) AS b FROM ({SPELLS})), f AS ({EVERY_FACT}) SELECT l_orderkey, day, bool_or(day BETWEEN a AND b) AS ok FROM f JOIN s ON k = o_custkey GROUP BY 1, 2""")
 def j16_any_term_all(t):
-    """J16 over all lines and spells, with holes after a hundred days; :func:`j16_any_term` and its SQL take the first lines and every second spell."""
+    """J16 over all lines and spells, with holes after a hundred days."""
     s = spells(t).select("o_custkey", "start", F.least("end", F.date_add("start", 100)).alias("end"))
     return every_fact(t).join(s, "o_custkey").groupBy("l_orderkey", "day").agg(F.bool_or(J.in_spell(F.col("day"), F.col("start"), F.col("end"))).alias("ok"))
 
@@ -721,14 +657,9 @@ def o3_topk_union(t):
     return both.orderBy(F.desc("price"), "kind", "id").limit(30)
 
 
-@query("SELECT doc_id FROM documents ORDER BY doc_id::VARCHAR LIMIT 50")
-def o4_text_order(t):
-    return t("documents").orderBy(F.col("doc_id").cast("string")).limit(50).select("doc_id")
-
-
 @query("SELECT doc_id FROM documents ORDER BY doc_id::VARCHAR")
 def o4_text_order_all(t):
-    """O4 of all rows; :func:`o4_text_order` and its SQL keep the first 50."""
+    """O4 of all rows."""
     return t("documents").select("doc_id").orderBy(F.col("doc_id").cast("string"))
 
 
@@ -761,9 +692,17 @@ def day_turns(t) -> DataFrame:
     return d
 
 
-@query("""SELECT date, 'T2' AS test, n || ' consecutive duplicates' AS message FROM (SELECT date, count(*) AS n FROM (SELECT ts::DATE AS date, event_type, lag(event_type) OVER (PARTITION BY ts::DATE ORDER BY ts, event_id) AS b FROM events WHERE event_id % 7 <> 0) WHERE event_type = b GROUP BY 1)""")
+#: Kinds of events as turns: one may be repeated by procedure, one is empty, others not.
+SAID = {"click": "Leave granted", "view": "", "error": "Senator X interjecting"}
+SAID_SQL = f"CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in SAID.items())} ELSE event_type END"
+
+
+@query(f"""SELECT date, 'T2' AS test, n || ' consecutive duplicates' AS message FROM (SELECT date, count(*) AS n FROM (SELECT *, lag(body) OVER (PARTITION BY date ORDER BY ts, event_id) AS b FROM (SELECT ts::DATE AS date, ts, event_id, {SAID_SQL} AS body FROM events WHERE event_id % 7 <> 0))
+WHERE body = b AND body <> '' AND NOT regexp_matches(body, '{V.MAY_REPEAT}') GROUP BY 1)""")
 def v2_duplicates(t):
-    return V.t2_duplicates(day_turns(t))
+    """Every seventh event is an interjection."""
+    said = F.coalesce(F.create_map(*(F.lit(x) for kv in SAID.items() for x in kv))[F.col("body")], F.col("body"))
+    return V.t2_duplicates(day_turns(t).withColumn("body", said))
 
 
 @query("""SELECT o_orderdate::DATE AS date, 'T4' AS test, o_custkey || ' has several parties or places' AS message FROM orders WHERE o_custkey <> 1 GROUP BY o_orderdate::DATE, o_custkey HAVING count(DISTINCT o_orderpriority) > 1 OR count(DISTINCT o_orderstatus) > 1""")
@@ -783,15 +722,9 @@ def v6_alive(t):
     return V.t6_alive(o, o.groupBy("unique_id").agg(F.date_add(F.min("date"), 200).alias("birth_date"), F.date_sub(F.max("date"), 200).alias("death_date")))
 
 
-@query(f"""WITH s AS (SELECT k, a, b FROM ({SPELLS}) WHERE o % 2 = 1), d AS (SELECT DISTINCT o_orderdate::DATE AS date, o_custkey FROM orders) SELECT date, 'T7' AS test, o_custkey || ' has no term' AS message FROM d JOIN s ON k = o_custkey GROUP BY date, o_custkey HAVING NOT bool_or(date >= a AND (b IS NULL OR date <= b))""")
-def v7_term(t):
-    o = by_year(t).withColumn("unique_id", F.col("o_custkey").cast("string"))
-    return V.t7_term(o, spells(t).where("ordinal % 2 = 1").select(F.col("o_custkey").cast("string").alias("unique_id"), "start", "end"))
-
-
 @query(f"""WITH s AS (SELECT k, a, least(coalesce(b, a + 100), a + 100) AS b FROM ({SPELLS})), d AS (SELECT DISTINCT day AS date, o_custkey FROM ({EVERY_FACT})) SELECT date, 'T7' AS test, o_custkey || ' has no term' AS message FROM d JOIN s ON k = o_custkey GROUP BY date, o_custkey HAVING NOT bool_or(date BETWEEN a AND b)""")
 def v7_term_all(t):
-    """V7 with the days of all lines and all spells, with holes after a hundred days; :func:`v7_term` and its SQL take every second spell."""
+    """V7 with the days of all lines and all spells, with holes after a hundred days."""
     s = spells(t).select(F.col("o_custkey").cast("string").alias("unique_id"), "start", F.least("end", F.date_add("start", 100)).alias("end"))
     return V.t7_term(every_fact(t).select(F.col("day").alias("date"), F.col("o_custkey").cast("string").alias("unique_id")), s)
 
@@ -849,9 +782,14 @@ def p23_p24_hash(t):
     return t("documents").select("doc_id", S.turn_hash(F.col("lang"), day, F.col("source"), F.col("text")).alias("turn_hash"), S.day_hash(F.col("lang"), day).alias("day_hash"))
 
 
-@query("""SELECT doc_id, regexp_matches(text, '(?i)(licensed|apache)') AS flag, trim(regexp_replace(lower(source || ' & ' || lang), '[^a-z0-9]+', '-', 'g')) AS slug FROM documents WHERE regexp_matches(text, '(?i)(licensed|apache)')""")
+EMBEDDED_SQL = " OR ".join("regexp_matches(body, '" + p.replace("'", "''") + "')" for p in S.EMBEDDED)
+
+
+@query(f"""SELECT doc_id, coalesce({EMBEDDED_SQL}, false) AS embedded, regexp_replace(regexp_replace(replace(lower(source || ' & ' || lang), '&', ' and '), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug
+FROM (SELECT *, CASE lang WHEN 'en' THEN 'As Mr Able interjecting— ' WHEN 'de' THEN 'An honourable member interjecting- ' WHEN 'fr' THEN 'ABLE interjecting-' ELSE 'no one interjecting: ' END || text AS body FROM documents)""")
 def p29_p32_flag_slug(t):
-    return t("documents").where(F.col("text").rlike("(?i)(licensed|apache)")).select("doc_id", F.lit(True).alias("flag"), F.replace(S.slug(F.concat_ws(" & ", "source", "lang")), F.lit("-and-"), F.lit("-")).alias("slug"))
+    said = F.when(F.col("lang") == "en", "As Mr Able interjecting— ").when(F.col("lang") == "de", "An honourable member interjecting- ").when(F.col("lang") == "fr", "ABLE interjecting-").otherwise("no one interjecting: ")
+    return t("documents").select("doc_id", S.has_interjection(F.concat(said, "text")).alias("embedded"), S.slug(F.concat(F.col("source"), F.lit(" & "), F.col("lang"))).alias("slug"))
 
 
 @query("""SELECT event_id, isoyear(ts) || '-W' || lpad(weekofyear(ts)::VARCHAR, 2, '0') AS week FROM events""")
@@ -903,12 +841,12 @@ def r13_unanswered(t):
 
 @query()
 def p30_snippet(t):
-    return t("documents").where(F.contains(F.lower("text"), F.lit("the"))).select("doc_id", X.snippet(F.col("text"), "the").alias("snippet"))
+    return t("documents").select("doc_id", X.snippet(F.col("text"), "the").alias("snippet"))
 
 
 @query()
 def p31_excerpt(t):
-    return t("documents").where(F.contains(F.lower("text"), F.lit("that"))).select("doc_id", X.excerpt(F.col("text"), ["that"]).alias("excerpt"))
+    return t("documents").select("doc_id", X.excerpt(F.col("text"), ["that"]).alias("excerpt"))
 
 
 @query("""WITH d AS (SELECT doc_id, 'a [' || (doc_id % 7) || ', ' || (doc_id % 5) || '] b [' || (doc_id % 3) || ']' AS r FROM documents), u AS (SELECT doc_id, doc_id % 7 AS ref, 1 AS p FROM d UNION ALL SELECT doc_id, doc_id % 5, 2 FROM d UNION ALL SELECT doc_id, doc_id % 3, 3 FROM d)
@@ -1034,12 +972,6 @@ def j18_ratio(t):
     return A.rate(n, d.groupBy("lang").agg(F.count("*").alias("total")), "lang", "n", "total", 1).select("lang", F.round("rate", 6).alias("ratio"))
 
 
-@query("SELECT heading, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations GROUP BY 1) WHERE heading NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE conv_id % 5 = 0)")
-def u5_used_phrases(t):
-    d = turns(t).withColumn("heading", F.trim(F.split_part(F.trim("body"), F.lit("\n"), F.lit(1))))
-    return d.groupBy("heading").agg(F.count("*").alias("n")).join(d.where("conv_id % 5 = 0").select("heading").distinct(), "heading", "left_anti")
-
-
 @query("SELECT heading, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations GROUP BY 1) WHERE heading NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE role = 'assistant')")
 def u5_used_phrases_all(t):
     """U5 with the phrases of all assistants' turns as known; :func:`u5_used_phrases` and its SQL take those of every fifth conversation."""

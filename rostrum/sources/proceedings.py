@@ -184,7 +184,7 @@ def turns(root: ET.Element, path: str) -> Iterator[dict]:
 def committee_turns(root: ET.Element, path: str) -> Iterator[dict]:
     """A member's anchor comes before an office, an office before a witness; text before the first speaker is dropped."""
     name = root.findtext(".//committee") or root.findtext(".//committee.name")
-    order, panel, portfolio, now, body = 0, 0, None, None, []
+    order, panel, debate, portfolio, now, body = 0, 0, None, None, None, []
 
     def done() -> Iterator[dict]:
         nonlocal order
@@ -197,7 +197,8 @@ def committee_turns(root: ET.Element, path: str) -> Iterator[dict]:
             yield from done()
             now, body = None, []
             title = child_text(e.find("debateinfo"), "title") or child_text(e.find("subdebateinfo"), "title")
-            portfolio = title if e.tag == "debate" else " — ".join(x for x in (portfolio, title) if x)
+            debate = title if e.tag == "debate" else debate
+            portfolio = debate if e.tag == "debate" else " — ".join(x for x in (debate, title) if x)
             panel += 1
         elif e.tag == "p":
             who = None

@@ -87,15 +87,3 @@ def test_streamed_users_are_exact(spark, tmp_path):
     q = logs.daily_usage(spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("exact_usage").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert {tuple(r) for r in spark.table("exact_usage").collect()} == wanted
-
-
-def test_sizes_of_a_shared_id_rule_no_pair_of_its_texts_out(spark):
-    """Node 1 has texts of 100 and of 400 shingles; nodes 1 and 2 stand in the family of 0 without a link to it."""
-    kept = spark.createDataFrame([(7, 0, 100), (7, 1, 100), (8, 1, 400), (7, 2, 100), (7, 3, 100), (7, 4, 300)], "token long, node long, n long")
-    family = spark.createDataFrame([(k, 0, 90) for k in (1, 2, 3, 4)], "node long, family long, with_hub int")
-    sets = spark.createDataFrame([(k, [7]) for k in range(5)], "id long, items array<long>")
-    labels = spark.createDataFrame([(2, 2), (3, 2)], "id long, component long")
-    mixed = spark.createDataFrame([(1, True)], "node long, mixed boolean")
-    rest = [mixed] if "mixed" in inspect.signature(jaccard_join._within).parameters else []
-    got = {tuple(r) for r in jaccard_join._within(kept, family, sets, labels, 85, *rest).collect()}
-    assert {(1, 2), (1, 3)} <= got and (2, 3) not in got and (2, 4) not in got
