@@ -1,13 +1,11 @@
 """Queries that take whole tables: nothing is left out, whatever the keys are."""
 
-import inspect
 import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.llm import jaccard_join
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
 from rostrum.operators import selection as L
