@@ -220,7 +220,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, *, id_col: str = "ve
     n, asked = rows.agg(F.count("*"), F.count_if("query")).first()
     blocks = max(1, -(-n // BLOCK), min(spark.sparkContext.defaultParallelism, n // LEAST))
     parts = max(1, -(-asked // QUERIES))
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     base = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), every(parts).alias("part"), F.lit(0).alias("role"), "id", "code")
     ask = rows.where("query").select(every(blocks).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("role"), "id", "code").distinct()
     ordered = base.union(ask).repartition(blocks * parts, "block", "part").sortWithinPartitions("block", "part", "role")

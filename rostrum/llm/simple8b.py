@@ -19,26 +19,41 @@ ESCAPE = np.uint64(15 << 60 | (1 << 60) - 1)
 BLOCK = 4096
 
 
+def _kinds(v: np.ndarray) -> np.ndarray:
+    """For each value the selector of a word that starts with it: the first whose number of values all fit, or all that its block has left."""
+    n = len(v)
+    widths = sorted({bits for _, bits in SELECTORS})
+    #: how many of the widths are too narrow; a row for each block, and what would follow its end fits everywhere
+    need = np.zeros((-(-n // BLOCK), BLOCK + int(COUNTS[0])), np.uint8)
+    flat = np.zeros(need.shape[0] * BLOCK, np.uint8)
+    for bits in widths:
+        wide = v >= np.uint64(1 << bits)
+        if not wide.any():
+            break
+        flat[:n] += wide
+    need[:, :BLOCK] = flat.reshape(-1, BLOCK)
+    most, size = {1: need}, 1  # the greatest need among so many values from each place on
+    while 2 * size <= COUNTS[0]:
+        most[2 * size] = np.maximum(most[size][:, :-size], most[size][:, size:])
+        size *= 2
+    kind = np.full((need.shape[0], BLOCK), len(SELECTORS) - 1, np.uint8)
+    for s in range(len(SELECTORS) - 2, -1, -1):
+        count, bits = SELECTORS[s]
+        half = 1 << count.bit_length() - 1
+        window = np.maximum(most[half][:, :BLOCK], most[half][:, count - half : count - half + BLOCK])
+        np.putmask(kind, window <= widths.index(bits), np.uint8(s))
+    return kind.ravel()[:n]
+
+
 def encode(values: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Blocks of ``values`` as (number of values, words, escapes)."""
     v = np.ascontiguousarray(values, np.uint64)
     n = len(v)
     if not n:
         return []
+    kind = _kinds(v)
     at = np.arange(n)
-    end = np.minimum(at - at % BLOCK + BLOCK, n)
-    jump, kind = np.minimum(at + 1, end), np.full(n, 15, np.uint8)
-    for s in range(14, -1, -1):
-        count, bits = SELECTORS[s]
-        fits = v < np.uint64(1 << bits)
-        gaps = np.flatnonzero(~fits)
-        if len(gaps) and max(gaps[0], n - 1 - gaps[-1], np.diff(gaps).max(initial=1) - 1) < count:
-            continue  # no run is long enough
-        #: where the run of fitting values ends
-        stop = np.minimum.accumulate(np.where(fits, n, at)[::-1])[::-1]
-        good = stop >= np.minimum(at + count, end)
-        jump[good] = np.minimum(at + count, end)[good]
-        kind[good] = s
+    jump = np.minimum(at + COUNTS[kind], np.minimum(at - at % BLOCK + BLOCK, n))
     #: all blocks walk side by side from word to word
     starts = np.arange(0, n, BLOCK)
     block_end = np.minimum(starts + BLOCK, n)

@@ -8,13 +8,15 @@ share a passage of ``min_words`` words share such a position in it and at least
 1. Suffixes whose first :data:`HEAD` words no other text has at such a position are
    dropped (a minimum and a maximum of ids per hash, combined before the shuffle).
 2. The others are sorted by these words, those after and those before, in ranges
-   that may split equal suffixes; each is compared with its neighbours of another
-   text on either side, and matches are extended to the right and to the left as far
-   as ``min_words`` words. Matches of ``min_words`` words and more mark their words.
-3. Each run of ``min_words`` words belongs to one kept position. Where the matches of
-   a suffix don't settle all of its runs (its left and right parts have neighbours in
-   different texts, or a range ends beside it), the runs of all suffixes of the same
-   head are counted by hashes: an exact check of what neighbours can't tell.
+   that may split equal suffixes. Each run of ``min_words`` words belongs to one kept
+   position; a suffix is compared with its neighbours on either side, one step after
+   the other, and what it shares with a neighbour of another text, extended to the
+   right and to the left, covers some of its runs. A suffix is settled once all its
+   runs are covered, or once its neighbours on both sides share too few words to the
+   right for any run that is left: those further away share no more.
+3. Runs of suffixes that :data:`STEPS` neighbours on either side don't settle, or that
+   stand beside the end of a range, are counted by hashes: an exact check of what is
+   left.
 4. The marked words of a text join to passages.
 
 Words are those of :mod:`words`; positions count words from 0, ends are exclusive.
@@ -33,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import bit_table, chunks, has_bit, materialise, raw_bytes
+from rostrum.llm.runtime import bit_table, bounded_batches, chunks, discard, has_bit, materialise, raw_bytes
 from rostrum.llm.words import Powers, distinct, mix, words
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 #: Words from a kept position on that every shared passage has.
 HEAD = MIN_WORDS - WINDOW
+#: Neighbours on either side that a suffix is compared with.
+STEPS = 32
 #: Words compared on either side beyond these.
 SIDE = MIN_WORDS - HEAD
 #: Bits of the table that marks shared heads (a power of two), and the share of set bits from which a join follows.
@@ -131,55 +135,76 @@ def _reach(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(same, HEAD + run(eq[:, :SIDE]), 0), np.where(same, run(eq[:, SIDE:]), 0)
 
 
-def _match(key: np.ndarray, info: np.ndarray, todo: slice) -> pa.RecordBatch:
-    """Matches of the suffixes ``todo`` with their neighbours of other texts in the sorted arrays, and the heads that they don't settle.
+def _bits(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Numbers with the bits from ``low`` to ``high`` set, none where ``low`` is greater."""
+    one = np.int64(1)
+    return np.where(low <= high, (one << np.maximum(high + 1, 0)) - (one << np.minimum(low, 62)), 0)
 
-    ``info``: id, position, least and most words from the starts of the suffix's runs.
+
+def _match(key: np.ndarray, info: np.ndarray, start: int, stop: int) -> pa.RecordBatch:
+    """Passages of the suffixes from ``start`` to ``stop`` in the sorted arrays, and the heads that neighbours don't settle.
+
+    ``info``: id, position, least and most words from the starts of the suffix's
+    runs. A run is told by the words of it that stand before the suffix's position.
     """
     n, doc = len(info), info[:, 0]
-    change = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-    bounds = np.concatenate([[0], change, [n]])
-    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[todo]
-    at = np.arange(n)[todo]
-    spans, reach, alone = [], [], np.zeros(len(at), bool)
-    for other in (bounds[group] - 1, bounds[group + 1]):
-        ok = (other >= 0) & (other < n)
-        alone |= ~ok
-        right, left = _reach(key[at], key[np.clip(other, 0, n - 1)])
-        right, left = np.where(ok, right, 0), np.where(ok, left, 0)
-        reach.append((MIN_WORDS - right, left))
-        long = right + left >= MIN_WORDS
-        spans.append((doc[at][long], info[at, 1][long] - left[long], info[at, 1][long] + right[long]))
-    low, high = info[at, 2], info[at, 3]
-    (a, b), (c, d) = reach
-    whole = (a <= low) & (b >= high) | (c <= low) & (d >= high) | (a <= low) & (d >= high) & (c <= b + 1) | (c <= low) & (b >= high) & (a <= d + 1)
-    met = (a <= SIDE) | (c <= SIDE)
-    head = distinct(np.ascontiguousarray(key[at][~whole & (met | alone), :8]).view(">u8").ravel().astype(np.uint64).view(np.int64))
-    ids, begin, end = (np.concatenate(x) for x in zip(*spans, strict=True))
+    need = _bits(info[start:stop, 2], info[start:stop, 3])
+    covered, settled = np.zeros(stop - start, np.int64), np.zeros(stop - start, bool)
+    ended = {-1: settled.copy(), 1: settled.copy()}
+    for step in range(1, STEPS + 1):
+        for side in (-1, 1):
+            at = np.flatnonzero(~settled & ~ended[side])
+            other = at + start + side * step
+            inside = (other >= 0) & (other < n)
+            at, other = at[inside], other[inside]
+            right, left = _reach(key[at + start], key[other])
+            other_text = doc[at + start] != doc[other]
+            covered[at] |= np.where(other_text, _bits(MIN_WORDS - right, np.minimum(left, WINDOW)), 0)
+            #: the run that needs the fewest words to the right is the one that starts furthest to the left
+            missing = need[at] & ~covered[at]
+            ended[side][at] = right < MIN_WORDS - np.frexp(missing.astype(np.float64))[1] + 1
+            settled[at] |= missing == 0
+        settled |= ended[-1] & ended[1]
+        if settled.all():
+            break
+    covered &= need
+    spans, rest = [], covered
+    for _ in range(WINDOW):
+        at = np.flatnonzero(rest)
+        if not len(at):
+            break
+        low = np.frexp((rest[at] & -rest[at]).astype(np.float64))[1] - 1
+        over = rest[at] + (np.int64(1) << low)  # clears the lowest row of ones
+        high = np.frexp((over & -over).astype(np.float64))[1] - 2
+        spans.append((doc[at + start], info[at + start, 1] - high, info[at + start, 1] - low + MIN_WORDS))
+        rest = rest.copy()
+        rest[at] &= ~_bits(low, high)
+    head = distinct(np.ascontiguousarray(key[start:stop][~settled, :8]).view(">u8").ravel().astype(np.uint64).view(np.int64))
+    ids, begin, end = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else (np.zeros(0, np.int64),) * 3
     k, m = len(ids), len(head)
     columns = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(m, pa.int64())]) for x in (ids, begin, end)]
     return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(head, pa.int64())])], ["id", "begin", "end", "head"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches within a sorted range; holds a batch and the last text's suffixes in a row."""
+    """Passages within a sorted range; holds a batch and the neighbours around it."""
     key, info, done = np.zeros((0, 8 + 8 * SIDE), np.uint8), np.zeros((0, 4), np.int64), 0
     for b in batches:
         data, _ = raw_bytes(b.column(0))
         key = np.concatenate([key, data.reshape(-1, key.shape[1])])
         info = np.concatenate([info, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 5)], axis=1)])
-        change = np.flatnonzero(info[1:, 0] != info[:-1, 0]) + 1
-        if len(change) and change[-1] > done:
-            last = int(change[-1])
-            yield _match(key, info, slice(done, last))
-            keep = last - 1  # the neighbour before, and the text that may go on
-            key, info, done = key[keep:], info[keep:], 1
+        stop = len(info) - STEPS
+        if stop > done:
+            yield _match(key, info, done, stop)
+            first = max(0, stop - STEPS)
+            key, info, done = key[first:], info[first:], stop - first
     if len(info) > done:
-        yield _match(key, info, slice(done, len(info)))
+        yield _match(key, info, done, len(info))
 
 
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``begin`` and ``end`` (words) of each passage that another text has as well."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     heads = texts.mapInArrow(_heads, "head long, id long").groupBy("head").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     shared = materialise(heads.where("lo < hi").select("head"), "heads")
@@ -193,10 +218,14 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     left = materialise(found.where("head is not null").select("head").distinct(), "unsettled")
     marks, _ = bit_table(left, F.pmod("head", F.lit(BITS)), BITS)
     all_runs = materialise(texts.mapInArrow(runs(marks), "hash long, id long, begin long"), "runs")
-    twice = all_runs.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("hash")
+    #: written, so that the join below has plain sides and a hash of very many runs can be split
+    twice = materialise(all_runs.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("hash"), "twice")
     exact = all_runs.join(twice, "hash").select("id", "begin", (F.col("begin") + MIN_WORDS).alias("end"))
     spans = found.where("id is not null").select("id", "begin", "end").union(exact).distinct()
     w = Window.partitionBy("id").orderBy("begin", "end")
     before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("new", F.when(before >= F.col("begin"), 0).otherwise(1)).withColumn("k", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy("id", "k").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).select(F.col("id").alias(id_col), "begin", "end")
+    passages = marked.groupBy("id", "k").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).select(F.col("id").alias(id_col), "begin", "end")
+    out = materialise(passages, "passages")
+    discard(shared, found, left, all_runs, twice)
+    return out

@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,22 +34,33 @@ from pyspark.sql import functions as F
 
 from rostrum.llm import simple8b
 from rostrum.llm.bpe import Memory, byte_letters
-from rostrum.llm.runtime import Output, chunks, fresh_path, materialise, open_input, text_list
+from rostrum.llm.runtime import Output, bounded_batches, chunks, fresh_path, materialise, open_input, text_list
 
 MAGIC = b"S8BTOK01"
 INDEX = np.dtype([("offset", "<u8"), ("ids", "<u4"), ("words", "<u4"), ("escapes", "<u4")])
 DOCS = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FOOTER = struct.Struct("<QQQQ8s")
+#: Bytes of text of a file on average at most, and at least where there is work for more tasks.
+FILE_BYTES, LEAST_BYTES = 256 << 20, 16 << 20
 #: Blocks that are decoded at once.
 AT_ONCE = 256
 #: Entries of a worker's memories of words and of letter runs; beyond, one starts anew.
 CACHED = 500_000
-#: Letters that are their own normal form, then ASCII punctuation.
+#: Letters that are their own normal form, then ASCII punctuation; the latter by itself.
 PLAIN = regex.compile(r"([a-zA-ZÀ-ÖØ-öø-įı-ňŊ-ž]+)([!-/:-@\[-`{-~]*)")
+PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 #: Python's split() cuts at these, the tokenizers' white space does not have them.
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Encoder:
     """The ids of whole texts as a tokenizer of the public library gives them.
 
@@ -77,10 +90,14 @@ class Encoder:
         model = self.tokenizer.model
 
         def word(w: str) -> bytes:
-            ids = [x.id for x in model.tokenize(w if w.isascii() else "".join(map(letters.__getitem__, w.encode())))]
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return packed([x.id for x in model.tokenize(w if w.isascii() else "".join(map(letters.__getitem__, w.encode())))])
 
         def chunk(c: str) -> bytes:
+            if c.isascii():
+                own = c.rstrip(PUNCTUATION)
+                if own.isalpha():
+                    return words[own.lower()] + words[c[len(own) :]] if len(own) < len(c) else words[own.lower()]
+                return self.whole(c)
             m = PLAIN.fullmatch(c)
             if not m:
                 return self.whole(c)
@@ -90,7 +107,7 @@ class Encoder:
         self.chunks = Memory(chunk, CACHED)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as little-endian unsigned 32-bit integers."""
@@ -109,12 +126,15 @@ class Writer:
 
     def __init__(self, stream):
         self.stream, self.at = stream, len(MAGIC)
-        self.index, self.docs, self.ids = [], [], 0
+        self.index, self.ids = [], 0
+        self.doc_ids, self.doc_nulls, self.doc_sizes = array("q"), bytearray(), array("Q")
         self.pending, self.held = [], 0
         stream.write(MAGIC)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append((doc_id or 0, doc_id is None, len(ids) // 4))
+        self.doc_ids.append(doc_id or 0)
+        self.doc_nulls.append(doc_id is None)
+        self.doc_sizes.append(len(ids) // 4)
         self.ids += len(ids) // 4
         self.pending.append(ids)
         self.held += len(ids)
@@ -134,7 +154,8 @@ class Writer:
     def finish(self) -> tuple[int, int]:
         """Documents and ids of the file."""
         self._flush(True)
-        index, docs = np.array(self.index, INDEX), np.array(self.docs, DOCS)
+        index, docs = np.array(self.index, INDEX), np.zeros(len(self.doc_ids), DOCS)
+        docs["id"], docs["null"], docs["n"] = self.doc_ids, np.frombuffer(self.doc_nulls, np.uint8), self.doc_sizes
         self.stream.write(index.tobytes())
         self.stream.write(docs.tobytes())
         self.stream.write(FOOTER.pack(self.at, len(index), self.at + index.nbytes, len(docs), MAGIC))
@@ -179,6 +200,7 @@ def write(docs: DataFrame, path: str, *, end_id: int | None = None, id_col: str
     ``start`` (ids of all files before it). ``path``: the tokenizer's file.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     folder = fresh_path(spark, "tokens")
     tail = b"" if end_id is None else struct.pack("<I", end_id)
 
@@ -197,8 +219,12 @@ def write(docs: DataFrame, path: str, *, end_id: int | None = None, id_col: str
         yield pa.RecordBatch.from_pydict({"part": [part], "uri": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sorted_rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    files = materialise(sorted_rows.mapInArrow(run, "part long, uri string, n_docs long, n_ids long"), "token-files")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(-(-total // FILE_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // LEAST_BYTES)), 1)
+    first = (F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    #: rows of one id, or of none, may be dealt to several files, in the order of their texts
+    ranged = rows.repartitionByRange(n, first[0], F.left("text", F.lit(32)).asc_nulls_first()).sortWithinPartitions(*first)
+    files = materialise(ranged.mapInArrow(run, "part long, uri string, n_docs long, n_ids long"), "token-files")
     out, start = [], 0
     for i, r in enumerate(files.orderBy("part").collect()):  # a row for each file
         out.append((i, r.uri, r.n_docs, r.n_ids, start))
@@ -230,7 +256,8 @@ def read(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 if rows:
                     yield _batch(rows, names)
 
-    return files.select("uri", "start").mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
+    spread = files.select("uri", "start").repartition(max(1, files.count()))
+    return spread.mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
