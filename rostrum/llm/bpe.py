@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import text_list
+from rostrum.llm.runtime import bounded_batches, chunks, text_list
 
 #: Fixed value: the pattern of byte-level pretokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,7 +36,7 @@ SETTLED = regex.compile(r"[\x00-ԯ -⁯₠-₽←-⇿　-ゖ゙-ヿ一-龥가-
 #: White space for which pretokens aren't looked for chunk by chunk.
 OTHER_SPACE = regex.compile(r"[^\S \n]")
 #: Entries of a worker's memory of chunks and of pretokens; beyond, it starts anew.
-CACHED = 400_000
+CACHED = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -174,10 +174,11 @@ def load(path: str) -> Bpe:
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``ids`` (the token ids of the whole text), a row for each row of ``docs``."""
     kind = docs.schema[id_col].dataType
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in chunks(batches, 1):
             ids = [np.frombuffer(bpe.encode_bytes(t), "<u4").astype(np.int32) for t in text_list(b.column(1))]
             ends = np.cumsum([0, *map(len, ids)])
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
@@ -205,10 +206,11 @@ def round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     unsigned 32-bit integers), ``decoded_sha256`` (of the decoded text in UTF-8).
     """
     kind = docs.schema[id_col].dataType
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in chunks(batches, 1):
             n, ids_sha, text_sha = [], [], []
             for text in b.column(1):
                 ids = bpe.encode_bytes(text.as_py() or "")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import chunks, raw_bytes
+from rostrum.llm.runtime import bounded_batches, chunks, raw_bytes
 from rostrum.llm.words import Powers, mix
 
 PERCENT = 8
@@ -38,7 +38,7 @@ GROUP_BYTES = 4 << 20
 GRAM = 4
 #: Bytes of a piece that are hashed: the largest of these that the piece has.
 HASHED = (1, 2, 3, 4, 6, 8, 10, 12, 16, 24, 32, 48, 64)
-#: Bits of the table that sorts out most places.
+#: Most bits of the tables that sort out most places.
 TABLE = 22
 PIECE = 1 << 18
 _BYTE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,19 +103,20 @@ class Items:
         self.tables = []
         for size, pieces in sorted(by_size.items()):
             keys = np.array([int(_hashes(np.frombuffer(x, np.uint8), size)[0]) for x in pieces], np.uint64)
-            seen = np.zeros(1 << TABLE, bool)
-            seen[keys >> np.uint64(64 - TABLE)] = True
+            bits = np.uint64(64 - min(TABLE, max(12, len(keys).bit_length() + 7)))
+            seen = np.zeros(1 << 64 - int(bits), bool)
+            seen[keys >> bits] = True
             order = np.argsort(keys)
-            self.tables.append((size, seen, keys[order], [list(pieces.values())[i] for i in order.tolist()]))
+            self.tables.append((size, bits, seen, keys[order], [list(pieces.values())[i] for i in order.tolist()]))
 
     def places(self, data: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int]]]:
         """By row and item: the byte where a piece was found, and the piece's first character in the item."""
         out = defaultdict(list)
-        for size, seen, keys, pieces in self.tables:
+        for size, bits, seen, keys, pieces in self.tables:
             if len(data) < size:
                 continue
             h = _hashes(data, size)
-            where = np.flatnonzero(seen[h >> np.uint64(64 - TABLE)])
+            where = np.flatnonzero(seen[h >> bits])
             k = np.minimum(np.searchsorted(keys, h[where]), len(keys) - 1)
             good = keys[k] == h[where]
             where, k = where[good], k[good]
@@ -161,7 +162,7 @@ def _hashes(data: np.ndarray, size: int) -> np.ndarray:
     return mix((total[size:] - total[:-size]) * down[: len(data) - size + 1])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _loaded(items: tuple, percent: int) -> Items:
     return Items(list(items), percent)
 
@@ -180,6 +181,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT
 
     ``begin`` and ``end`` count characters of the normalised text.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "item_id", "distance", "begin", "end"]
 
@@ -204,6 +206,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
+    bounded_batches(docs.sparkSession)
     position = docs.columns.index(text_col)
     out = docs
 

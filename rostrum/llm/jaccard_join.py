@@ -15,8 +15,8 @@ verified. A pair is held to the smaller ``l`` of the two.
   maximum per shingle, combined before the shuffle; a table of :data:`BITS` bits
   that marks the others keeps most entries from being shuffled a second time.
 * Each class is first compared with one hub: of every shingle the class with most
-  shared entries, of these the one it meets most often. Classes of one hub are a
-  family. Linked classes merge; pairs within one component are done.
+  shared entries, of these the one it meets most often. Linked classes merge; classes
+  whose hubs are in one component are a family. Pairs within one component are done.
 * What is left between components is joined in full. Across families, pairs meet at
   the shingles of their prefixes. Within a family, which shares most of its shingles,
   the members outside its largest component are compared with all others: both sides
@@ -50,8 +50,8 @@ from rostrum.llm.words import distinct, shingles, words
 BUCKETS = 1 << 16
 #: Longest extension of a prefix.
 LONGEST = 8
-#: Bits of the tables that mark shared shingles and the texts that a verification needs (powers of two).
-BITS, TEXT_BITS = 1 << 22, 1 << 20
+#: Bits of the table that marks shared shingles, and most bits of that of the texts that a verification needs (powers of two).
+BITS, TEXT_BITS = 1 << 22, 1 << 27
 #: Shingles of a family's members that are compared with as many of its outsiders in one step.
 BLOCK = 1 << 19
 #: Partners that one copy of a set serves.
@@ -146,23 +146,26 @@ def entries(docs: DataFrame, size: int, percent: int, excess: np.ndarray, marks:
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id`` and ``items`` (the set's hashes, ascending, as bytes) of the wanted ids; a table of marks of fixed size spares most others the shuffle."""
-    marks, _ = bit_table(wanted, F.pmod("id", F.lit(TEXT_BITS)), TEXT_BITS)
+    """``id`` and ``items`` (the set's hashes, ascending, as bytes) of the wanted ids and of a few others: those that share a mark with one.
+
+    The marks are about eight bits for each wanted id, up to :data:`TEXT_BITS`.
+    """
+    bits = min(TEXT_BITS, max(1 << 20, 1 << (8 * wanted.count()).bit_length()))
+    marks, _ = bit_table(wanted, F.pmod("id", F.lit(bits)), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def some() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 b = b.filter(b.column(0).is_valid())
                 if b.num_rows:
-                    b = b.filter(pa.array(has_bit(marks, b.column(0).to_numpy().astype(np.int64).view(np.uint64) % np.uint64(TEXT_BITS))))
+                    b = b.filter(pa.array(has_bit(marks, b.column(0).to_numpy().astype(np.int64).view(np.uint64) % np.uint64(bits))))
                     if b.num_rows:
                         yield b
 
         for ids, sets in _sets(some(), size):
             yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "items"])
 
-    sets = _texts(docs, id_col, text_col).mapInArrow(run, "id long, items binary")
-    return materialise(sets.join(wanted, "id", "left_semi"), "sets")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, items binary")
 
 
 def common(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -175,15 +178,18 @@ def common(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (``a``, ``b``) that link.
+def to_verify(pairs: DataFrame) -> DataFrame:
+    """The roles of nodes in the verification of ``pairs`` (``a``, ``b``): ``id`` is wanted in the block ``block`` of ``a``, as ``b`` or (null) as ``a`` itself."""
+    load = pairs.groupBy("a").agg(F.count("*").alias("load"))
+    blocks = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / PARTNERS)).alias("block"), "b")
+    return blocks.select(F.col("b").alias("id"), "a", "block", "b").union(blocks.select(F.col("a").alias("id"), "a", "block", F.lit(None).cast("long").alias("b")).distinct())
+
+
+def verify(roles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a`` and ``b`` of :func:`to_verify` that link.
 
     The set of ``a`` is sent once for each block of its partners and meets theirs one by one.
     """
-    load = pairs.groupBy("a").agg(F.count("*").alias("load"))
-    blocks = pairs.join(load, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / PARTNERS)))
-    centres = blocks.select(F.col("a").alias("id"), "block").distinct().join(sets, "id").select(F.col("id").alias("a"), "block", F.lit(None).cast("long").alias("b"), "items")
-    others = blocks.join(sets.withColumnRenamed("id", "b"), "b").select("a", "block", "b", "items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, centre = None, []
@@ -202,7 +208,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
-    ordered = centres.union(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    ordered = sets.join(roles, "id").select("a", "block", "b", "items").repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
     return ordered.mapInArrow(run, "a long, b long")
 
 
@@ -230,15 +236,17 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
     same = materialise(noded.join(several, "id").select("a", F.col("node").alias("b")).distinct(), "same")
 
     hubs = materialise(_hub_pairs(kept, percent, scratch), "hubs")
-    near_sets = _wanted_sets(docs, hubs.select(F.explode(F.array("node", "hub")).alias("id")).distinct(), size, **by)
-    links = materialise(verify(hubs.select(F.col("hub").alias("a"), F.col("node").alias("b")), near_sets, percent).union(same), "links")
+    roles = materialise(to_verify(hubs.where("may").select(F.col("hub").alias("a"), F.col("node").alias("b"))), "roles")
+    sets = _wanted_sets(docs, roles.select("id").distinct(), size, **by)
+    links = materialise(verify(roles, sets, percent).union(same), "links")
     labels = materialise(connected_components(links), "components")
 
-    family = hubs.select("node", F.col("hub").alias("family"))
-    far = materialise(_across(kept, family, labels, percent, scratch), "pairs")
-    far_sets = _wanted_sets(docs, far.select(F.explode(F.array("a", "b")).alias("id")).distinct(), size, **by)
-    n = kept.groupBy("node").agg(F.max("n").alias("n"))
-    more = materialise(verify(far, far_sets, percent).union(_within(n, family, labels, near_sets, excess, percent, scratch)), "links")
+    placed = materialise(_placed(kept.groupBy("node").agg(F.max("n").alias("n")), hubs, labels), "placed")
+    pairs = materialise(_across(kept, placed, percent, scratch), "pairs")
+    far = materialise(to_verify(pairs), "roles")
+    near = materialise(_family_blocks(placed, scratch), "blocks")
+    sets = materialise(_wanted_sets(docs, far.select("id").union(near.select("id")).distinct(), size, **by), "sets")
+    more = materialise(verify(far, sets, percent).union(_within(near, sets, excess, percent)), "links")
     if not more.isEmpty():
         labels = materialise(connected_components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)), "components")
 
@@ -246,7 +254,7 @@ def similar_groups(docs: DataFrame, size: int, percent: int, *, id_col: str = "d
     scratch.append(materialise(of, "classes"))
     out = rows.join(scratch[-1], "cls", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
     out = materialise(out, "groups")
-    discard(classes, kept, same, hubs, near_sets, links, far, far_sets, more, *scratch)
+    discard(classes, kept, same, hubs, roles, links, placed, pairs, far, near, sets, more, *scratch)
     return out
 
 
@@ -265,7 +273,7 @@ def drop_near_duplicates(docs: DataFrame, size: int, percent: int, *, id_col: st
 
 
 def _hub_pairs(kept: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
-    """``node`` and ``hub``: for each node the hub that it meets most often, if it meets one often enough to be of its family."""
+    """``node``, ``hub`` and ``may``: for each node the hub that it meets most often, if it meets one often enough to be of its family, and whether they may link."""
     load = kept.groupBy("node").agg(F.count("*").alias("load"))
     known = kept.join(load, "node")
     best = known.groupBy("token").agg(F.min(F.struct((-F.col("load")).alias("rank"), "node", "n", "ell")).alias("hub")).select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.ell").alias("hub_ell"))
@@ -273,18 +281,21 @@ def _hub_pairs(kept: DataFrame, percent: int, scratch: list[DataFrame]) -> DataF
     scratch.append(best)
     pairs = kept.join(best, "token").where((F.col("node") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
     counted = pairs.groupBy("node", "hub").agg(F.count("*").alias("k"), F.min(F.least("ell", "hub_ell")).alias("ell")).where("2 * k >= ell")
-    return counted.groupBy("node").agg(F.max(F.struct("k", (-F.col("hub")).alias("hub"))).alias("best")).select("node", (-F.col("best.hub")).alias("hub"))
+    best = counted.groupBy("node").agg(F.max(F.struct("k", (-F.col("hub")).alias("hub"), "ell")).alias("best"))
+    return best.select("node", (-F.col("best.hub")).alias("hub"), (F.col("best.k") >= F.col("best.ell")).alias("may"))
 
 
-def _placed(rows: DataFrame, family: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rows`` of nodes with the component and the family of each (its own where it has none)."""
-    out = rows.join(labels.withColumnRenamed("id", "node"), "node", "left").join(family, "node", "left")
-    return out.withColumn("comp", F.coalesce("component", "node")).withColumn("family", F.coalesce("family", "node")).drop("component")
+def _placed(nodes: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``nodes`` with ``comp``, the component of each, and ``family``: that of its hub, or its own."""
+    of = labels.select(F.col("id").alias("node"), "component")
+    hub = hubs.select("node", "hub").join(of.withColumnRenamed("node", "hub").withColumnRenamed("component", "_c"), "hub", "left").select("node", F.coalesce("_c", "hub").alias("family"))
+    out = nodes.join(of, "node", "left").join(hub, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    return out.withColumn("family", F.coalesce("family", "comp")).drop("component")
 
 
-def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
+def _across(kept: DataFrame, placed: DataFrame, percent: int, scratch: list[DataFrame]) -> DataFrame:
     """Pairs of different components and families that share as many shingles as the smaller ``l`` of the two asks for."""
-    blocks = _placed(kept, family, labels)
+    blocks = kept.join(placed.select("node", "comp", "family"), "node")
     mixed = blocks.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("family").alias("f0"), F.max("family").alias("f1")).where("c0 < c1 and f0 < f1").select("token")
     blocks = materialise(blocks.join(mixed, "token"), "blocks")
     scratch.append(blocks)
@@ -298,23 +309,31 @@ def _across(kept: DataFrame, family: DataFrame, labels: DataFrame, percent: int,
     return met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("k"), F.min(ell).alias("ell")).where("k >= ell").select("a", "b")
 
 
-def _within(n: DataFrame, family: DataFrame, labels: DataFrame, sets: DataFrame, excess: np.ndarray, percent: int, scratch: list[DataFrame]) -> DataFrame:
-    """Links between different components of a family; both ends have its hub, with which each is compared already.
+def _family_blocks(placed: DataFrame, scratch: list[DataFrame]) -> DataFrame:
+    """The roles of the nodes of families of several components in their comparison.
 
-    Members outside the family's largest component (the outsiders) meet all others,
-    in blocks of bounded size of either; of equal pairs of components a task reports one.
+    Members outside a family's largest component (the outsiders) meet all others:
+    members are cut into parts and outsiders into sides of about :data:`BLOCK`
+    shingles, and each part meets each side. Columns: ``id``, ``family``, ``comp``,
+    ``part``, ``side``, ``role`` (0: as an outsider, 1: as a member).
     """
-    members = materialise(_placed(n.join(family.select("node"), "node"), family, labels), "families")
-    counts = members.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    counts = materialise(placed.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("n")), "counts")
+    scratch.append(counts)
     of = counts.groupBy("family").agg(F.max(F.struct("k", "comp", "n")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("comps")).where("comps > 1")
     of = of.select("family", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).alias("parts"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("sides"))
-    placed = members.join(of, "family").withColumn("outside", F.col("comp") != F.col("main"))
-    placed = materialise(placed.join(sets.withColumnRenamed("id", "node"), "node").select("family", "node", "comp", "outside", "parts", "sides", "items"), "members")
-    scratch += [members, placed]
-    part, side = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("sides")).alias("side")
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    rows = placed.select("family", part, every("sides").alias("side"), F.lit(1).alias("role"), "node", "comp", "items")
-    rows = rows.union(placed.where("outside").select("family", every("parts").alias("part"), side, F.lit(0).alias("role"), "node", "comp", "items"))
+    of = materialise(of, "families")
+    scratch.append(of)
+    members = placed.join(of, "family")
+    part, side = F.pmod(F.xxhash64("node"), F.col("parts")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("sides"))
+    every = lambda c, f: F.transform(F.sequence(F.lit(0).cast("long"), F.col(c) - 1), f)
+    place = lambda p, s, r: F.struct(p.alias("part"), s.alias("side"), F.lit(r).alias("role"))
+    roles = every("sides", lambda x: place(part, x, 1))
+    roles = F.when(F.col("comp") != F.col("main"), F.concat(roles, every("parts", lambda x: place(x, side, 0)))).otherwise(roles)
+    return members.select(F.col("node").alias("id"), "family", "comp", F.explode(roles).alias("at")).select("id", "family", "comp", "at.*")
+
+
+def _within(roles: DataFrame, sets: DataFrame, excess: np.ndarray, percent: int) -> DataFrame:
+    """Links between different components of a family, from :func:`_family_blocks`; of equal pairs of components a task reports one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, others, seen = None, _Outsiders(excess, percent), set()
@@ -334,6 +353,7 @@ def _within(n: DataFrame, family: DataFrame, labels: DataFrame, sets: DataFrame,
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
     key = ("family", "part", "side")
+    rows = sets.join(roles, "id").select(*key, "role", F.col("id").alias("node"), "comp", "items")
     return rows.repartition(*key).sortWithinPartitions(*key, "role").mapInArrow(run, "a long, b long")
 
 

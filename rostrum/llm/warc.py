@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.runtime import Output, chunks, fresh_path, materialise, open_input
+from rostrum.llm.runtime import Output, bounded_batches, chunks, fresh_path, materialise, open_input
 
 #: Uncompressed bytes after which a frame is closed, and compressed bytes after which a bundle is.
 FRAME, BUNDLE = 1 << 18, 1 << 29
@@ -150,6 +150,7 @@ class Reader:
 
 def write(pages: DataFrame, *, min_revisit: int = 0) -> DataFrame:
     """Write the bundles of ``pages`` (``page_id``, ``url``, ``html``); returns ``uri`` and ``n_records`` of each."""
+    bounded_batches(pages.sparkSession)
     folder = fresh_path(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     key = F.sha2(F.col("html"), 256)
