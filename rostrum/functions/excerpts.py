@@ -59,9 +59,34 @@ def citations(reports: DataFrame, key: str, text: str) -> DataFrame:
     return first.withColumn("number", F.row_number().over(Window.partitionBy(key).orderBy("_at"))).drop("_at")
 
 
+def rewritten(reports: DataFrame, key: str, text: str, before: str = "<sup>", after: str = "</sup>") -> DataFrame:
+    """``reports`` with ``rewritten``: in each ``[n, m]`` group the ids give way to their numbers of :func:`citations`."""
+    group = r"\[(\d+(?:\s*,\s*\d+)*)\]"
+    numbers = citations(reports, key, text).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ref", "number"))).alias("_numbers"))
+    parts, ids = F.split(text, group, -1), F.regexp_extract_all(text, F.lit(group), F.lit(1))
+    numbered = lambda g: F.array_join(F.transform(F.split(g, r"\s*,\s*"), lambda x: F.element_at("_numbers", x.cast("long")).cast("string")), ", ")
+    marked = F.transform(F.arrays_zip(F.slice(parts, F.lit(1), F.size(ids)).alias("p"), ids.alias("g")), lambda x: F.concat(x["p"], F.lit(before), numbered(x["g"]), F.lit(after)))
+    return reports.join(numbers, key, "left").withColumn("rewritten", F.concat(F.array_join(marked, ""), F.element_at(parts, -1))).drop("_numbers")
+
+
+def references(reports: DataFrame, key: str, text: str, known: DataFrame, ref: str, label: str) -> DataFrame:
+    """The list of each report: ``number`` and ``label`` of the ids it cites."""
+    return citations(reports, key, text).join(known.select(F.col(ref).alias("ref"), label), "ref").select(key, "number", label)
+
+
 def citation_faults(reports: DataFrame, key: str, text: str, known: DataFrame, ref: str) -> DataFrame:
-    """Ids that don't exist, and groups of more than three."""
+    """Ids that don't exist, groups of more than three, and brackets that are no group of ids."""
+    group = r"\[(\d+(?:\s*,\s*\d+)*)\]"
     used = citations(reports, key, text)
     unknown = used.join(known.select(F.col(ref).alias("ref")), "ref", "left_anti").select(key, F.concat(F.lit("unknown "), F.col("ref").cast("string")).alias("fault"))
-    groups = reports.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"\[(\d+(?:\s*,\s*\d+)*)\]"), F.lit(1))).alias("g"))
-    return unknown.union(groups.where(F.size(F.split("g", ",")) > 3).select(key, F.concat(F.lit("too many: "), F.col("g")).alias("fault")))
+    groups = reports.select(key, F.explode(F.regexp_extract_all(text, F.lit(group), F.lit(1))).alias("g"))
+    many = groups.where(F.size(F.split("g", ",")) > 3).select(key, F.concat(F.lit("too many: "), F.col("g")).alias("fault"))
+    raw = reports.select(key, F.explode(F.regexp_extract_all(F.regexp_replace(text, group, ""), F.lit(r"\[[^\]]*\]?"), F.lit(0))).alias("b"))
+    return unknown.union(many).union(raw.select(key, F.concat(F.lit("raw bracket: "), F.col("b")).alias("fault")))
+
+
+def list_faults(reports: DataFrame, key: str, text: str, listed: DataFrame, ref: str = "ref") -> DataFrame:
+    """Ids that a report cites and its list lacks, or the other way round. ``listed``: ``key`` and the id."""
+    cited, have = citations(reports, key, text).select(key, "ref"), listed.select(key, F.col(ref).cast("long").alias("ref"))
+    lacking = cited.subtract(have).select(key, F.concat(F.lit("not listed "), F.col("ref").cast("string")).alias("fault"))
+    return lacking.union(have.subtract(cited).select(key, F.concat(F.lit("not cited "), F.col("ref").cast("string")).alias("fault")))

@@ -164,20 +164,65 @@ def parliament(year: Column) -> Column:
     return first_of([(year <= y, F.lit(39 + i)) for i, y in enumerate(PARLIAMENT_ENDS)], F.when(year.isNotNull(), 39 + len(PARLIAMENT_ENDS)))
 
 
+#: First year of each labelled parliament, and the half-open ranges of years by number.
+PARLIAMENT_LABELS = ((1998, "39th"), (2001, "40th"), (2004, "41st"), (2007, "42nd"), (2010, "43rd"), (2013, "44th"), (2016, "45th"), (2019, "46th"), (2022, "47th"))
+PARLIAMENT_TERMS = ((36, 1996, 1998), (37, 1998, 2001), (38, 2001, 2004), (39, 2004, 2007), (40, 2007, 2010), (41, 2010, 2013), (42, 2013, 2016), (43, 2016, 2019), (44, 2019, 2022), (45, 2022, 2025), (46, 2025, 2028))
+#: Numbers that newer files count from one again.
+PARLIAMENT_NUMBERS = {1: 46, 2: 47, 3: 48}
+
+
+def parliament_label(year: Column) -> Column:
+    """The label of the last parliament that had begun."""
+    return first_of([(year >= y, F.lit(label)) for y, label in reversed(PARLIAMENT_LABELS)], F.when(year.isNotNull(), "pre-39th"))
+
+
+def parliament_term(year: Column) -> Column:
+    """The parliament whose years hold this one; 46 outside of all."""
+    return first_of([((year >= a) & (year < b), F.lit(n)) for n, a, b in PARLIAMENT_TERMS], F.when(year.isNotNull(), 46))
+
+
+def parliament_number(number: Column) -> Column:
+    return first_of([(number == k, F.lit(v)) for k, v in PARLIAMENT_NUMBERS.items()], number)
+
+
+def place(state_col: Column, electorate: Column) -> Column:
+    """The state where there is one, else the electorate."""
+    return F.coalesce(F.nullif(clean(state_col), F.lit("")), F.nullif(clean(electorate), F.lit("")))
+
+
+def reference_label(chamber: Column, day: Column, speaker: Column, heading: Column, summary: Column, most: int = 80) -> Column:
+    """A short label of a turn for a list of references."""
+    said = F.coalesce(F.nullif(F.nullif(F.trim(heading), F.lit("")), F.lit("nan")), F.trim(F.coalesce(summary, F.lit(""))))
+    text = F.when(F.length(said) > most, F.concat(F.rtrim(F.left(said, F.lit(most))), F.lit("…"))).otherwise(said)
+    who = F.coalesce(F.nullif(F.trim(speaker), F.lit("")), F.lit("Unknown Speaker"))
+    return F.concat(F.when(chamber == "senate", "Senate").otherwise("House"), F.lit(" Hansard, "), day.cast("string"), F.lit(", "), who, F.lit(", "), text)
+
+
 def chamber_name(col: Column) -> Column:
     t = F.lower(col)
     return F.when(t.contains("joint"), "Joint").when(t.contains("senate"), "Senate").when(t.contains("house") | t.contains("representatives"), "House").otherwise(col)
 
 
+#: First day of each government and its parties, as committees count.
+COMMITTEE_GOVERNMENTS = (
+    ("1996-03-02", ("LP", "NP", "NATS", "CLP", "LNP", "NatsWA", "NAT")),
+    ("2007-11-24", ("ALP",)),
+    ("2013-09-07", ("LP", "NP", "NATS", "CLP", "LNP", "NatsWA", "NAT")),
+    ("2022-05-21", ("ALP",)),
+)
+
+
 def in_government(day: Column, party_col: Column, scheme: str = "corpus") -> Column:
-    """1 if the party governs on the day, else 0."""
+    """1 if the party governs on the day, else 0; in the scheme ``committee`` null without a party or before the first government."""
+    if scheme == "committee":
+        ruled = first_of([(day >= F.lit(a).cast("date"), party_col.isin(*p).cast("int")) for a, p in reversed(COMMITTEE_GOVERNMENTS)])
+        return F.when(party_col != "", ruled)
     return first_of([((day >= F.lit(a).cast("date")) & (day < F.lit(b).cast("date")) & party_col.isin(*p), F.lit(1)) for a, b, p in GOVERNMENTS[scheme]], F.lit(0))
 
 
 def word_count(col: Column) -> Column:
-    """Runs of other characters than white space."""
-    t = F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), r"(?U)\s+", " "))
-    return F.when(t == "", 0).otherwise(F.size(F.split(t, " "))).cast("long")
+    """Runs of other characters than white space: one pass over the text, nothing built."""
+    return F.coalesce(F.regexp_count(col, F.lit(r"(?U)\S+")), F.lit(0)).cast("long")
 
 
 def occurrences(col: Column, terms: list[str]) -> Column:

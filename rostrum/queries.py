@@ -17,12 +17,14 @@ from rostrum.functions import excerpts as X
 from rostrum.functions import scalars as S
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
+from rostrum.operators import reports as R
 from rostrum.operators import selection as L
 from rostrum.operators import validation as V
 from rostrum.operators import windows as W
 from rostrum.plans import filters, lang
 from rostrum.session import table
-from rostrum.sources import proceedings
+from rostrum.sources import proceedings, tables, tokens
+from rostrum.sources.tables import links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,6 +79,15 @@ def f3_fts_phrase(t):
     return t("documents").where(lang.compile_tree(lang.parse("'of-the' OR ción"), F.col("text"), "token")).select("doc_id")
 
 
+@query("""SELECT doc_id FROM documents WHERE contains(' ' || trim(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ', ' of the ')
+OR contains(' ' || trim(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ', ' cion ')""")
+def s15_f3_token_table(t):
+    """The token table is written, then postings answer without reading a text."""
+    docs = t("documents")
+    path = tokens.build(docs, "doc_id", "text", tables.scratch(docs.sparkSession, "tokens"))
+    return tokens.Tokens(docs.sparkSession, path).ids(lang.parse("'of-the' OR ción")).withColumnRenamed("id", "doc_id")
+
+
 @query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'the') THEN 'the' END, CASE WHEN contains(lower(text), 'der') THEN 'der' END, CASE WHEN contains(lower(text), 'que') THEN 'que' END], lambda x: x IS NOT NULL), ' | ') AS matched
 FROM documents WHERE contains(lower(text), 'the') OR contains(lower(text), 'der') OR contains(lower(text), 'que')""")
 def f8_matched_terms(t):
@@ -93,8 +104,9 @@ SELECT 'thesh' AS org, lang, source, (length(text) - length(replace(text, 'thesh
 UNION ALL SELECT 'license', lang, source, (length(text) - length(replace(text, 'License', ''))) / 7 + (length(text) - length(replace(text, 'Licensed', ''))) / 8 FROM documents WHERE contains(text, 'License') OR contains(text, 'Licensed')
 UNION ALL SELECT 'einung', lang, source, (length(text) - length(replace(text, 'Einung', ''))) / 6 + (length(text) - length(replace(text, 'einung', ''))) / 6 FROM documents WHERE contains(text, 'Einung') OR contains(text, 'einung')) GROUP BY org""")
 def a11_mention_summary(t):
-    """Mentions of each organisation under all its names."""
-    orgs = F.filter(F.array(*(F.struct(F.lit(o).alias("org"), S.occurrences(F.col("text"), a).alias("m")) for o, a in ALIASES.items())), lambda x: x["m"] > 0)
+    """Mentions of each organisation under all its names; names are counted only in texts that hold them."""
+    count = lambda a: F.when(reduce(lambda x, y: x | y, (F.contains("text", F.lit(n)) for n in a)), S.occurrences(F.col("text"), a)).otherwise(0)
+    orgs = F.filter(F.array(*(F.struct(F.lit(o).alias("org"), count(a).alias("m")) for o, a in ALIASES.items())), lambda x: x["m"] > 0)
     d = t("documents").select("lang", "source", F.explode(orgs).alias("x")).select("lang", "source", "x.*")
     return d.groupBy("org").agg(F.count("*").alias("turns"), F.sum("m").alias("mentions"), r4(F.avg("m"), "mean_mentions"), F.count_if(F.col("lang") == "en").alias("n_en"), F.countDistinct("source").alias("speakers"))
 
@@ -160,9 +172,9 @@ def a7_counts_by_range(t):
     return by_year(t).withColumn("parliament", p).where("parliament IS NOT NULL").groupBy("parliament").agg(F.count("*").alias("n"))
 
 
-@query("SELECT lang, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources, min(n_chars) AS least, max(n_chars) AS most, count(DISTINCT source) AS n_sources, count(*) AS n FROM documents GROUP BY 1")
+@query("SELECT lang, array_to_string(list_sort(list(DISTINCT source)), ',') AS members, min(n_chars) AS least, max(n_chars) AS most, count(DISTINCT source) AS n_members, count(*) AS n FROM documents GROUP BY 1")
 def a8_a10_sets_and_ranges(t):
-    return t("documents").groupBy("lang").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"), F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.countDistinct("source").alias("n_sources"), F.count("*").alias("n"))
+    return R.sets_and_ranges(t("documents"), ["lang"], "source", "n_chars")
 
 
 @query("""SELECT lang, count(*) FILTER (WHERE toxic = 0) AS "0", count(*) FILTER (WHERE toxic = 1) AS "1" FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
@@ -198,9 +210,7 @@ def a18_mode(t):
 @query("""SELECT label, count(*) AS n FROM (SELECT CASE WHEN f > 0 AND o > 0 THEN 'Both (' || f || '/' || o || ')' WHEN f > 0 THEN 'Closed' ELSE 'Open' END AS label FROM
 (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus <> 'F') AS o FROM orders GROUP BY 1)) GROUP BY 1""")
 def a19_conditional_label(t):
-    n = t("orders").groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderstatus") != "F").alias("o"))
-    label = F.when((F.col("f") > 0) & (F.col("o") > 0), F.format_string("Both (%d/%d)", "f", "o")).when(F.col("f") > 0, "Closed").otherwise("Open")
-    return n.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+    return R.conditional_label(t("orders"), ["o_custkey"], F.col("o_orderstatus") == "F").groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT source, count(*) AS turns, max(coalesce(toxic, 0))::BIGINT AS first_speech, count(*) FILTER (WHERE quality = 1) AS questions, count(DISTINCT lang) AS days, sum(w)::BIGINT AS words, round(avg(w), 4) AS mean_words
@@ -266,9 +276,13 @@ def a29_heatmap(t):
     return A.row_percentages(d, "c_mktsegment", "year").select("year", "c_mktsegment", F.round(F.col("pct") / 100, 6).alias("share"))
 
 
-@query("""WITH c AS (SELECT o_custkey AS period, count(*) AS n FROM orders GROUP BY 1) SELECT period, n, round((SELECT avg(n) FROM c), 4) AS mean FROM c WHERE n > 1.5 * (SELECT avg(n) FROM c)""")
+@query("""WITH o AS (SELECT o_custkey AS period, o_orderpriority AS name, o_orderstatus AS side FROM orders), c AS (SELECT period, count(*) AS n FROM o GROUP BY 1), s AS (SELECT period, n, (SELECT avg(n) FROM c) AS m FROM c WHERE n > 2 * (SELECT avg(n) FROM c)),
+k AS (SELECT period, name, side, count(*) AS k, row_number() OVER (PARTITION BY period ORDER BY count(*) DESC, name, side) AS r FROM o WHERE name <> '5-LOW' GROUP BY 1, 2, 3)
+SELECT s.period, any_value(n) AS n, round(any_value(m), 1) AS mean, round(any_value(n) / any_value(m), 1) AS ratio, coalesce(string_agg(name || ' (' || side || '): ' || k, '; ' ORDER BY r), '') AS speakers FROM s LEFT JOIN k ON k.period = s.period AND r <= 3 GROUP BY 1""")
 def a30_spikes(t):
-    return A.spikes(t("orders").withColumnRenamed("o_custkey", "period"), "period", 1.5).withColumn("mean", F.round("mean", 4))
+    """A30 with the first speakers: customers are periods, priorities speakers."""
+    d = t("orders").select(F.col("o_custkey").alias("period"), F.col("o_orderpriority").alias("name"), F.col("o_orderstatus").alias("side"))
+    return R.spikes(d, "period", "name", "side", F.col("name") == "5-LOW")
 
 
 @query("""SELECT o_custkey, string_agg(y || '(' || n || ')', ' ' ORDER BY y) AS series, sum(n)::BIGINT AS n FROM (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1""")
@@ -299,8 +313,7 @@ def a36_common_name(t):
 
 @query("""SELECT n_regionkey, string_agg(n_name || ':' || members, ';' ORDER BY n_name) AS tree FROM (SELECT n_regionkey, n_name, string_agg(s_name, ',' ORDER BY s_name) AS members FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1""")
 def a37_nested(t):
-    d = t("nation").join(t("supplier"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey", "n_name").agg(F.array_join(F.array_sort(F.collect_list("s_name")), ",").alias("m"))
-    return d.groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_name", "m"))), lambda x: F.concat(x["n_name"], F.lit(":"), x["m"])), ";").alias("tree"))
+    return R.nested(t("nation").join(t("supplier"), F.col("s_nationkey") == F.col("n_nationkey")), "n_regionkey", "n_name", "s_name")
 
 
 PARLIAMENT_SQL = "CASE WHEN y <= 1999 THEN 39 WHEN y <= 2001 THEN 40 WHEN y <= 2004 THEN 41 ELSE 42 END"
@@ -315,7 +328,7 @@ def a39_range_minmax(t):
 @query("""SELECT c_mktsegment AS topic, string_agg(DISTINCT strftime(o_orderdate, '%Y-%m'), ',' ORDER BY strftime(o_orderdate, '%Y-%m')) AS months FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 400000 GROUP BY 1""")
 def a40_topic_dates(t):
     d = t("orders").where("o_totalprice > 400000").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return d.groupBy(F.col("c_mktsegment").alias("topic")).agg(F.array_join(F.array_sort(F.collect_set(F.date_format("o_orderdate", "yyyy-MM"))), ",").alias("months"))
+    return R.topic_months(d.withColumnRenamed("c_mktsegment", "topic"), "topic", "o_orderdate")
 
 
 @query("""SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM documents) WHERE word NOT IN ('that', 'this') GROUP BY 1 ORDER BY n DESC, word LIMIT 50""")
@@ -348,29 +361,44 @@ def a43_headings(t):
 s AS (SELECT unnest(range((SELECT max(day) FROM c) - INTERVAL 89 DAY, (SELECT max(day) FROM c) + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS day)
 SELECT day, coalesce(n, 0) AS n, coalesce(users, 0) AS users, coalesce(hits, 0) AS hits, coalesce(hit_pct, 0) AS hit_pct FROM s LEFT JOIN c USING (day)""")
 def a44_usage(t):
-    c = t("events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.count_if(F.col("event_type") == "click").alias("hits"), r4(F.avg(F.when(F.col("event_type") == "click", 1.0).otherwise(0.0)) * 100, "hit_pct"))
-    days = c.agg(F.max("day").alias("b")).select(F.explode(F.sequence(F.date_sub("b", 89), "b")).alias("day"))
-    return days.join(c, "day", "left").na.fill(0)
+    return R.usage(t("events"), F.to_date("ts"), "user_id", F.col("event_type") == "click").withColumn("hit_pct", F.round("hit_pct", 4))
 
 
-@query("""SELECT user_id, count(*) FILTER (WHERE k % 2 = 0) AS good, count(*) FILTER (WHERE k % 2 = 1) AS bad, min(ts) AS first_seen, max(ts) AS last_seen FROM (SELECT user_id, ts, json_extract_string(props, '$.k')::BIGINT AS k FROM events) GROUP BY 1""")
+@query("""WITH e AS (SELECT user_id, ts, event_type, json_extract_string(props, '$.k')::BIGINT AS k FROM events), c AS (SELECT user_id, code, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, code) AS r FROM
+(SELECT user_id, unnest([event_type, 'k' || (k % 3)]) AS code FROM e WHERE k IS NOT NULL) GROUP BY 1, 2), i AS (SELECT user_id, string_agg(code || ':' || n, ',' ORDER BY r) AS issues FROM c WHERE r <= 3 GROUP BY 1)
+SELECT e.user_id, count(*) FILTER (WHERE k % 2 = 0) AS good, count(*) FILTER (WHERE NOT (k % 2 = 0)) AS bad, min(ts) AS first_seen, max(ts) AS last_seen, coalesce(any_value(issues), '') AS issues FROM e LEFT JOIN i USING (user_id) GROUP BY 1""")
 def a45_feedback(t):
+    """Notes of users with issue codes; the three commonest codes of each."""
     d = t("events").withColumn("k", F.get_json_object("props", "$.k").try_cast("long"))
-    return d.groupBy("user_id").agg(F.count_if(F.col("k") % 2 == 0).alias("good"), F.count_if(F.col("k") % 2 == 1).alias("bad"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+    codes = F.when(F.col("k").isNotNull(), F.array("event_type", F.concat(F.lit("k"), (F.col("k") % 3).cast("string"))))
+    return R.feedback(d, ["user_id"], F.col("k") % 2 == 0, "ts", codes)
+
 
+A48 = """a AS (SELECT o_orderdate::DATE AS date, o_custkey AS who, o_orderkey % 10 AS w, o_orderpriority AS p FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_orderdate::DATE AS date, o_custkey AS who, o_orderkey % 10 AS w, o_orderpriority AS p FROM orders WHERE o_orderstatus <> 'F'),
+s AS (SELECT greatest(min(a.date), (SELECT min(date) FROM b)) AS lo, least(max(a.date), (SELECT max(date) FROM b)) AS hi FROM a), x AS (SELECT a.* FROM a, s WHERE date BETWEEN lo AND hi), y AS (SELECT b.* FROM b, s WHERE date BETWEEN lo AND hi),
+r AS (SELECT m.n::DOUBLE / k.n AS r FROM (SELECT date, count(DISTINCT who) AS n FROM x GROUP BY 1) m JOIN (SELECT date, count(DISTINCT who) AS n FROM y GROUP BY 1) k USING (date))"""
 
-@query("""SELECT c.year, n_en AS a, n_de AS b, round(n_en::DOUBLE / n_de, 6) AS ratio FROM (SELECT year(o_orderdate) AS year, count(*) AS n_en FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) c JOIN (SELECT year(o_orderdate) AS year, count(*) AS n_de FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) d USING (year)""")
+
+@query(f"""WITH {A48} SELECT 'complete' AS what, 'p' AS key, (SELECT round(100.0 * count(CASE WHEN p <> '5-LOW' THEN p END) / count(*), 4)::DOUBLE FROM a) AS a, (SELECT round(100.0 * count(CASE WHEN p <> '5-LOW' THEN p END) / count(*), 4)::DOUBLE FROM b) AS b
+UNION ALL SELECT 'words', v.y::VARCHAR, v.n, u.n FROM (SELECT year(date) AS y, sum(w)::DOUBLE AS n FROM x GROUP BY 1) v JOIN (SELECT year(date) AS y, sum(w)::DOUBLE AS n FROM y GROUP BY 1) u USING (y)
+UNION ALL SELECT 'interjections', 'pct', (SELECT round(100 * avg(CASE WHEN p = '1-URGENT' THEN 1.0 ELSE 0.0 END), 4) FROM x), (SELECT round(100 * avg(CASE WHEN p = '1-URGENT' THEN 1.0 ELSE 0.0 END), 4) FROM y)
+UNION ALL SELECT 'speakers', unnest(['mean', 'p5', 'median', 'p95']), unnest([round(avg(r), 4), round(quantile_cont(r, 0.05), 4), round(quantile_cont(r, 0.5), 4), round(quantile_cont(r, 0.95), 4)]), NULL FROM r""")
 def a48_compare(t):
-    """Two corpora by year, where both have rows."""
+    """Closed and other orders as two corpora, customers as speakers."""
+    d = by_year(t).select("date", "o_orderstatus", F.col("o_custkey").alias("who"), (F.col("o_orderkey") % 10).alias("w"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("p"))
+    closed = F.col("o_orderstatus") == "F"
+    return R.compare(d.where(closed), d.where(~closed), F.col("w"), "who", F.coalesce(F.col("p") == "1-URGENT", F.lit(False)), ["p"])
+
+
+@query("""SELECT c.year, a, b, round(a::DOUBLE / b, 6) AS ratio FROM (SELECT year(o_orderdate) AS year, count(*) AS a FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) c JOIN (SELECT year(o_orderdate) AS year, count(*) AS b FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) d USING (year)""")
+def j15_ratio_by_year(t):
     o = by_year(t)
-    a, b = (o.where(F.col("o_orderstatus") == s).groupBy("year").agg(F.count("*").alias(n)) for s, n in (("F", "a"), ("O", "b")))
-    return a.join(b, "year").withColumn("ratio", F.round(F.col("a") / F.col("b"), 6))
+    return R.by_key_ratio(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), "year").withColumn("ratio", F.round("ratio", 6))
 
 
 @query("SELECT round(100.0 * count(text) / count(*), 4) AS text, round(100.0 * count(toxic) / count(*), 4) AS toxic, round(100.0 * count(quality) / count(*), 4) AS quality FROM documents LEFT JOIN labels USING (doc_id)")
 def p39_completeness(t):
-    d = t("documents").join(t("labels"), "doc_id", "left")
-    return d.agg(*(r4(100.0 * F.count(c) / F.count("*"), c) for c in ("text", "toxic", "quality")))
+    return R.completeness(t("documents").join(t("labels"), "doc_id", "left"), ["text", "toxic", "quality"])
 
 
 @query("""SELECT side, lang, round(100.0 * n / greatest(sum(n) OVER (PARTITION BY side), 1), 4) AS pct FROM (SELECT CASE WHEN toxic = 1 THEN 'gov' ELSE 'opp' END AS side, lang, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2)""")
@@ -386,11 +414,12 @@ def a53_top6_rolling(t):
     return W.rolling_mean(d, "n", "y", 1, ["source"]).withColumn("rolling", F.round("rolling", 4))
 
 
-@query("""SELECT conv_id, count(*) AS turns, arg_min(text, turn) FILTER (WHERE role = 'user') AS question, arg_min(text, turn) FILTER (WHERE role = 'assistant') AS answer, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1""")
+@query("""WITH c AS (SELECT *, coalesce(text, '') AS body, contains(lower(coalesce(text, '')), 'the') AS m FROM conversations)
+SELECT conv_id, count(*) AS turns, coalesce(arg_min(body, turn) FILTER (WHERE role = 'user'), arg_min(body, turn)) AS question, coalesce(arg_min(body, turn) FILTER (WHERE role = 'assistant'), arg_max(body, turn)) AS answer, string_agg(role || ': ' || body, chr(10) ORDER BY turn) AS transcript,
+CASE WHEN bool_or(role = 'user' AND m) AND bool_or(role = 'assistant' AND m) THEN 'both' WHEN bool_or(role = 'user' AND m) THEN 'question' WHEN bool_or(role = 'assistant' AND m) THEN 'answer' ELSE '' END AS org_mentioned_in FROM c GROUP BY 1""")
 def a55_exchange_assembly(t):
-    d = turns(t)
-    rows = F.array_sort(F.collect_list(F.struct("order", "role", "body")))
-    return d.groupBy("conv_id").agg(F.count("*").alias("turns"), F.min_by("body", F.when(F.col("role") == "user", F.col("order"))).alias("question"), F.min_by(F.when(F.col("role") == "assistant", F.col("body")), F.when(F.col("role") == "assistant", F.col("order"))).alias("answer"), F.array_join(F.transform(rows, lambda x: F.concat(x["role"], F.lit(": "), x["body"])), "\n").alias("transcript")).withColumn("question", F.col("question"))
+    d = turns(t).withColumn("match_source", F.when(F.contains(F.lower("body"), F.lit("the")), "search").otherwise("context"))
+    return R.assembled(d, "conv_id", "order", F.col("role") == "user", F.col("role") == "assistant", F.concat("role", F.lit(": "), "body"), "body", "match_source")
 
 
 # windows
@@ -489,8 +518,7 @@ def w14_first_event_all(t):
 
 @query("SELECT source, doc_id AS first_doc, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE contains(text, 'the')) WHERE r = 1")
 def w15_first_mention(t):
-    d = t("documents").where(F.contains("text", F.lit("the")))
-    return d.groupBy("source").agg(F.min("doc_id").alias("first_doc"), F.min_by("n_chars", "doc_id").alias("n_chars"))
+    return R.first_mentions(t("documents").where(F.contains("text", F.lit("the"))), "source", "doc_id", ["n_chars"]).select("source", F.col("doc_id").alias("first_doc"), "n_chars")
 
 
 @query("""WITH y AS (SELECT year, row_number() OVER (ORDER BY year) AS k, count(*) OVER () AS n FROM (SELECT DISTINCT year(o_orderdate) AS year FROM orders)), t AS (SELECT year, greatest(1, 100 // n) + CASE WHEN 100 >= n AND k <= 100 % n THEN 1 ELSE 0 END AS take FROM y),
@@ -521,8 +549,7 @@ def w20_find_page(t):
 
 @query("SELECT source, dense_rank() OVER (ORDER BY f) AS citation FROM (SELECT source, min(doc_id) AS f FROM documents GROUP BY 1)")
 def w21_citations(t):
-    first = t("documents").groupBy("source").agg(F.min("doc_id").alias("f"))
-    return first.select("source", F.dense_rank().over(Window.orderBy("f")).alias("citation"))
+    return R.citation_numbers(t("documents"), "source", "doc_id")
 
 
 # joins
@@ -571,7 +598,7 @@ def j6_theta(t):
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW')")
 def j7_semi_anti(t):
     o = t("orders").withColumnRenamed("o_custkey", "c_custkey")
-    return t("customer").join(o.where("o_orderstatus = 'P'"), "c_custkey", "left_semi").join(o.where("o_orderpriority = '5-LOW'"), "c_custkey", "left_anti").select("c_custkey")
+    return R.members_of(t("customer"), "c_custkey", o.where("o_orderstatus = 'P'"), o.where("o_orderpriority = '5-LOW'")).select("c_custkey")
 
 
 @query("SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
@@ -595,7 +622,7 @@ def j11_anti_union_all(t):
 @query("SELECT topic, o_orderdate::DATE AS date, count(*) AS turns FROM orders JOIN (SELECT c_custkey, c_mktsegment AS topic FROM customer WHERE c_acctbal > 9000) ON c_custkey = o_custkey GROUP BY 1, 2 ORDER BY turns DESC, date, topic LIMIT 25")
 def j14_topic_days(t):
     c = t("customer").where("c_acctbal > 9000").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("topic"))
-    return by_year(t).join(c, "o_custkey").groupBy("topic", "date").agg(F.count("*").alias("turns")).orderBy(F.desc("turns"), "date", "topic").limit(25)
+    return R.topic_days(by_year(t), c, "o_custkey", 25)
 
 
 EVERY_FACT = "SELECT DISTINCT l_orderkey, o_custkey, l_shipdate::DATE AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -653,24 +680,25 @@ def o1_o2_sorted_page(t):
 
 @query("SELECT kind, id, price FROM (SELECT 'o' AS kind, o_orderkey AS id, o_totalprice AS price FROM orders UNION ALL SELECT 'p', p_partkey, p_retailprice FROM part) ORDER BY price DESC, kind, id LIMIT 30")
 def o3_topk_union(t):
-    both = t("orders").select(F.lit("o").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")).unionByName(t("part").select(F.lit("p").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price")))
-    return both.orderBy(F.desc("price"), "kind", "id").limit(30)
+    parts = [t("orders").select(F.lit("o").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")), t("part").select(F.lit("p").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"))]
+    return R.top_of_all(parts, [F.desc("price"), F.col("kind"), F.col("id")], 30)
 
 
 @query("SELECT doc_id FROM documents ORDER BY doc_id::VARCHAR")
 def o4_text_order_all(t):
     """O4 of all rows."""
-    return t("documents").select("doc_id").orderBy(F.col("doc_id").cast("string"))
+    return R.in_text_order(t("documents").select("doc_id"), "doc_id")
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey, 'a' AS side FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT o_custkey, 'b' FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)")
 def u3_difference(t):
-    return t("customer").select("c_custkey").subtract(t("orders").select("o_custkey"))
+    """Both ways."""
+    return R.differences(t("customer").select("c_custkey"), t("orders").select(F.col("o_custkey").alias("c_custkey")))
 
 
 @query("SELECT doc_id, lang, NULL::BIGINT AS page_id FROM documents UNION ALL SELECT NULL, NULL, page_id FROM pages")
 def u1_union(t):
-    return t("documents").select("doc_id", "lang").unionByName(t("pages").select("page_id"), allowMissingColumns=True)
+    return R.bound([t("documents").select("doc_id", "lang"), t("pages").select("page_id")])
 
 
 @query("SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':42'), doc_id) AS r FROM documents) WHERE r <= 6")
@@ -810,31 +838,28 @@ def p35_json(t):
 @query("""WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS link, unnest(range(1, 1 + len(regexp_extract_all(html, 'href="(/[^"]*)"', 1)))) AS pos FROM pages) SELECT page_id, pos, link FROM r""")
 def s13_links(t):
     """Links of pages in their order."""
-    links = F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))
-    return t("pages").select("page_id", F.posexplode(links).alias("pos", "link")).select("page_id", (F.col("pos") + 1).alias("pos"), "link")
+    return links(t("pages"), "page_id", "html")
 
 
 @query("""SELECT l_orderkey, r AS ayes, a AS noes, CASE WHEN r > a THEN 'aye' WHEN r < a THEN 'noe' ELSE 'tie' END AS result FROM (SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'R') AS r, count(*) FILTER (WHERE l_returnflag = 'A') AS a FROM lineitem GROUP BY 1)""")
 def x20_x22_division_result(t):
-    d = t("lineitem").groupBy("l_orderkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("ayes"), F.count_if(F.col("l_returnflag") == "A").alias("noes"))
-    return d.withColumn("result", F.when(F.col("ayes") > F.col("noes"), "aye").when(F.col("ayes") < F.col("noes"), "noe").otherwise("tie"))
+    return R.division_result(t("lineitem"), ["l_orderkey"], "l_returnflag", "R", "A")
 
 
-@query("""SELECT doc_id, i AS at, part FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part, unnest(range(1, 1 + len(string_split(text, chr(10))))) AS i FROM documents) WHERE trim(part) <> ''""")
+@query("""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS at, part FROM (SELECT doc_id, unnest(string_split(replace(text, '. ', '.' || chr(1) || ' '), chr(1))) AS part, unnest(range(1, 1 + len(string_split(replace(text, '. ', '.' || chr(1) || ' '), chr(1))))) AS i FROM documents) WHERE trim(part, ' ') <> ''""")
 def r2_separate_rows(t):
-    """A text's rows, numbered."""
-    return t("documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "part")).where("trim(part) <> ''").select("doc_id", (F.col("i") + 1).alias("at"), "part")
+    """A text's sentences, cut where one ends without losing a sign, numbered anew."""
+    return R.split_rows(t("documents"), "doc_id", "text", r"(?<=\.)(?= )")
 
 
 @query("""SELECT l_orderkey, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS "A", sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS "N", sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS "R" FROM lineitem GROUP BY 1""")
 def r10_wide(t):
-    return t("lineitem").groupBy("l_orderkey").pivot("l_returnflag", ["A", "N", "R"]).agg(F.sum("l_quantity"))
+    return R.wide_rows(t("lineitem"), "l_orderkey", "l_returnflag", ["A", "N", "R"], "l_quantity")
 
 
 @query("""SELECT conv_id, turn AS "order" FROM (SELECT *, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM conversations) WHERE role = 'user' AND coalesce(nx, '') <> 'assistant'""")
 def r13_unanswered(t):
-    d = turns(t).withColumn("nx", F.lead("role").over(W.day(["conv_id"], "order")))
-    return d.where("role = 'user' AND coalesce(nx, '') <> 'assistant'").select("conv_id", "order")
+    return R.without_answer(turns(t), ["conv_id"], "order", "role", "user", "assistant").select("conv_id", "order")
 
 
 # excerpts, citations and trees: no SQL, held against plain Python in the tests
@@ -892,8 +917,7 @@ def a16_flag_share(t):
 
 @query("SELECT max_by(year, (n, -year)) AS peak, max(n) AS n FROM (SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1)")
 def a22_peak_overall(t):
-    n = by_year(t).groupBy("year").agg(F.count("*").alias("n"))
-    return n.agg(F.max_by("year", F.struct("n", -F.col("year"))).alias("peak"), F.max("n").alias("n"))
+    return R.peak(by_year(t), "year")
 
 
 @query("""WITH d AS (SELECT DISTINCT o_orderdate::DATE AS date FROM orders WHERE o_totalprice > 400000) SELECT c_mktsegment, string_agg(y || '(' || n || ')', ' ' ORDER BY y) AS series, sum(n)::BIGINT AS n FROM (SELECT c_mktsegment, year(o_orderdate) AS y, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE IN (SELECT date FROM d) GROUP BY 1, 2) GROUP BY 1""")
@@ -911,24 +935,18 @@ def a38_parliaments(t):
 
 @query("SELECT year(o_orderdate) AS year, count(*) FILTER (WHERE o_orderstatus = 'F') AS answered, count(*) FILTER (WHERE o_orderstatus <> 'F') AS unanswered FROM orders GROUP BY 1")
 def a46_answered(t):
-    said = F.when(F.col("o_orderstatus") == "F", "True").otherwise("no")
-    yes = F.lower(said).isin("true", "yes", "1")
-    return by_year(t).groupBy("year").agg(F.count_if(yes).alias("answered"), F.count_if(~yes).alias("unanswered"))
+    return R.answered(by_year(t), ["year"], F.when(F.col("o_orderstatus") == "F", "True").otherwise("no"))
 
 
 @query("SELECT v.i, v.p AS priority, count(o_orderkey) AS n FROM (VALUES (1, '5-LOW'), (2, '1-URGENT'), (3, 'absent')) v(i, p) LEFT JOIN orders ON o_orderpriority = v.p GROUP BY 1, 2")
 def a47_ordered_counts(t):
-    o = t("orders")
-    keys = o.sparkSession.createDataFrame([(1, "5-LOW"), (2, "1-URGENT"), (3, "absent")], "i int, priority string")
-    n = o.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
-    return F.broadcast(keys).join(n, "priority", "left").na.fill(0, ["n"]).select("i", "priority", "n")
+    return R.ordered_counts(t("orders").withColumnRenamed("o_orderpriority", "priority"), "priority", ["5-LOW", "1-URGENT", "absent"])
 
 
-@query("""SELECT round(100.0 * count(*) FILTER (WHERE toxic = 1) / count(toxic), 4) AS pct_negative, (SELECT arg_max(lang, (n, lang)) FROM (SELECT lang, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1)) AS top_lang FROM documents JOIN labels USING (doc_id)""")
+@query("""SELECT round(100.0 * count(*) FILTER (WHERE toxic = 1) / count(toxic), 4) AS pct_negative, (SELECT arg_max(lang, (n, lang)) FROM (SELECT lang, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1)) AS top_lang,
+(SELECT arg_max(source, (n, source)) FROM (SELECT source, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE source IS NOT NULL GROUP BY 1)) AS top_source FROM documents JOIN labels USING (doc_id)""")
 def a51_a52_headline(t):
-    d = t("documents").join(t("labels"), "doc_id")
-    top = d.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max_by("lang", F.struct("n", "lang")).alias("top_lang"))
-    return d.agg(r4(100.0 * F.count_if(F.col("toxic") == 1) / F.count("toxic"), "pct_negative")).join(F.broadcast(top))
+    return R.headline(t("documents").join(t("labels"), "doc_id"), F.col("toxic") == 1, "toxic", ["lang", "source"])
 
 
 @query("SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1 ORDER BY conv_id LIMIT 20")
@@ -938,23 +956,20 @@ def a54_first20(t):
 
 @query("SELECT doc_id, concat_ws(' | ', doc_id, source, CASE WHEN n_chars > 2000 THEN substr(text, 1, 60) END) AS record FROM documents")
 def a56_record(t):
-    return t("documents").select("doc_id", F.concat_ws(" | ", F.col("doc_id").cast("string"), "source", F.when(F.col("n_chars") > 2000, F.substring("text", 1, 60))).alias("record"))
+    return t("documents").select("doc_id", R.record([F.col("doc_id").cast("string"), F.col("source")], "text", F.col("n_chars") > 2000, 60).alias("record"))
 
 
-@query("""SELECT 'lang' AS what, lang AS key, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT * FROM (SELECT 'source', source, count(*) AS n FROM documents WHERE NOT starts_with(source, 'src1') GROUP BY 2 ORDER BY n DESC, source LIMIT 15)""")
+@query("""SELECT 'lang' AS what, lang AS key, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY 2 UNION ALL SELECT 'lang x toxic', coalesce(lang, 'none') || ' x ' || coalesce(toxic::VARCHAR, 'none'), count(*) FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'speakers', source, count(*) AS n FROM documents WHERE NOT starts_with(lower(source), 'src1') GROUP BY 2 ORDER BY n DESC, source LIMIT 15)""")
 def a57_stats_block(t):
-    d = t("documents")
-    a = d.groupBy(F.lit("lang").alias("what"), F.col("lang").alias("key")).agg(F.count("*").alias("n"))
-    b = A.top(d.where(~F.startswith("source", F.lit("src1"))), ["source"], 15).select(F.lit("source").alias("what"), F.col("source").alias("key"), "n")
-    return a.union(b)
+    return R.stats_block(t("documents").join(t("labels"), "doc_id", "left"), ["lang"], [("lang", "toxic")], "source", "src1")
 
 
-@query("SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE NOT (toxic IS NULL AND regexp_matches(coalesce(text, ''), '(?i)licensed')) AND NOT regexp_matches(text, '(?i)adjourned|^bill read a')")
+@query("""SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE NOT (toxic IS NULL AND regexp_matches(coalesce(text, ''), '(?i)licensed')) AND NOT coalesce(regexp_matches(text, '(?i)adjourned|^bill read a'), false) AND lower(source) <> 'procedural text'""")
 def f21_f25_exclusions(t):
     """procedural texts and false positives go."""
-    d = t("documents").join(t("labels"), "doc_id", "left")
-    wrong = F.col("toxic").isNull() & F.coalesce(F.col("text"), F.lit("")).rlike("(?i)licensed")
-    return d.where(~wrong & ~F.col("text").rlike(r"(?i)adjourned|^bill read a")).select("doc_id")
+    d = t("documents").join(t("labels"), "doc_id", "left").withColumn("error", F.lit(None).cast("string"))
+    return R.excluded(d, "source", "text", "toxic", "text", "licensed", r"(?i)adjourned|^bill read a", "error").select("doc_id")
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN n_name ELSE coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 'own' END, n_name) END AS electorate FROM supplier JOIN nation ON s_nationkey = n_nationkey")
@@ -972,16 +987,16 @@ def j18_ratio(t):
     return A.rate(n, d.groupBy("lang").agg(F.count("*").alias("total")), "lang", "n", "total", 1).select("lang", F.round("rate", 6).alias("ratio"))
 
 
-@query("SELECT heading, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS heading, count(*) AS n FROM conversations GROUP BY 1) WHERE heading NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE role = 'assistant')")
+@query("SELECT phrase, n FROM (SELECT trim(string_split(trim(text), chr(10))[1]) AS phrase, count(*) AS n FROM conversations GROUP BY 1) WHERE phrase NOT IN (SELECT trim(string_split(trim(text), chr(10))[1]) FROM conversations WHERE role = 'assistant')")
 def u5_used_phrases_all(t):
-    """U5 with the phrases of all assistants' turns as known; :func:`u5_used_phrases` and its SQL take those of every fifth conversation."""
-    d = turns(t).withColumn("heading", F.trim(F.split_part(F.trim("body"), F.lit("\n"), F.lit(1))))
-    return d.groupBy("heading").agg(F.count("*").alias("n")).join(d.where("role = 'assistant'").select("heading").distinct(), "heading", "left_anti")
+    """U5 with the phrases of all assistants' turns as known."""
+    d = turns(t).withColumn("phrase", F.trim(F.split_part(F.trim("body"), F.lit("\n"), F.lit(1))))
+    return R.unused(d, F.col("phrase"), d.where("role = 'assistant'"))
 
 
 @query("SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS latest, arg_min(o_orderpriority, o_orderkey) AS first FROM orders GROUP BY 1")
 def w16_w17_latest_first(t):
-    return t("orders").groupBy("o_custkey").agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("latest"), F.min_by("o_orderpriority", "o_orderkey").alias("first"))
+    return R.latest_and_first(t("orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderstatus", "o_orderpriority", "o_orderkey")
 
 
 @query("SELECT conv_id, turn AS \"order\", row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ref_id FROM conversations")
@@ -1013,24 +1028,105 @@ def p15_p26_p28_turn_text(t):
 
 @query("SELECT source, n, repeat('█', greatest(1, floor(n * least(1.0, 40.0 / m))::INTEGER)) AS bar FROM (SELECT source, count(*) AS n, max(count(*)) OVER () AS m FROM documents GROUP BY 1)")
 def s24_bars(t):
-    from rostrum.sources.tables import bars
-
-    return bars(t("documents").groupBy("source").agg(F.count("*").alias("n")), "source", "n")
+    return tables.bars(t("documents").groupBy("source").agg(F.count("*").alias("n")), "source", "n")
 
 
 @query("SELECT p_partkey, coalesce(suppliers, '') AS suppliers FROM part LEFT JOIN (SELECT l_partkey, string_agg(DISTINCT l_suppkey::VARCHAR, ',' ORDER BY l_suppkey::VARCHAR) AS suppliers FROM lineitem WHERE l_quantity > 45 GROUP BY 1) ON l_partkey = p_partkey")
 def r9_list_column(t):
-    s = t("lineitem").where("l_quantity > 45").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_join(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))), ",").alias("suppliers"))
-    return t("part").join(s, "p_partkey", "left").select("p_partkey", F.coalesce("suppliers", F.lit("")).alias("suppliers"))
+    s = t("lineitem").where("l_quantity > 45").withColumnRenamed("l_partkey", "p_partkey")
+    return R.with_list(t("part").select("p_partkey"), s, "p_partkey", "l_suppkey", "suppliers")
 
 
 @query("SELECT l_orderkey, l_linenumber, unnest(['quantity', 'discount']) AS name, unnest([l_quantity, l_discount]) AS value FROM lineitem")
 def r1_long(t):
     """Wide to long."""
-    return t("lineitem").unpivot(["l_orderkey", "l_linenumber"], [F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount")], "name", "value")
+    return R.long_rows(t("lineitem"), ["l_orderkey", "l_linenumber"], {"l_quantity": "quantity", "l_discount": "discount"})
 
 
 @query()
 def sa3_sample(t):
-    """A quarter of the rows, by a seed."""
-    return t("documents").sample(0.25, 42).select("doc_id")
+    """A quarter of the rows, by a seed: the same ones however the table is cut."""
+    return R.sampled(t("documents"), "doc_id", 0.25).select("doc_id")
+
+
+TITLES = ("Water Bill", "QUESTIONS WITHOUT NOTICE", " budget ", "Health Act, Water Act", "Treaty on Rivers", "Weather", "")
+
+
+@query("""SELECT topic, string_agg(DISTINCT strftime(d, '%Y-%m-%d'), ',' ORDER BY strftime(d, '%Y-%m-%d')) AS days FROM (SELECT upper(trim(['Water Bill', 'QUESTIONS WITHOUT NOTICE', ' budget ', 'Health Act, Water Act', 'Treaty on Rivers', 'Weather', ''][1 + o_custkey % 7])) AS topic, o_orderdate::DATE AS d, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS level FROM orders)
+WHERE topic IN ('WATER BILL', 'TREATY ON RIVERS') OR level = 0 AND topic IN ('HEALTH ACT, WATER ACT', 'WEATHER') GROUP BY 1""")
+def f24_topic_calendar(t):
+    """upper topics that aren't procedural, and lower ones of legislation; the SQL names those that should be left."""
+    topic = F.element_at(F.array(*map(F.lit, TITLES)), (F.col("o_custkey") % 7 + 1).cast("int"))
+    return R.topic_calendar(by_year(t).select("date", F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).alias("level"), topic.alias("topic")))
+
+
+@query("""SELECT round(avg(r), 4) AS mean, round(quantile_cont(r, 0.05), 4) AS p5, round(quantile_cont(r, 0.5), 4) AS median, round(quantile_cont(r, 0.95), 4) AS p95 FROM (SELECT l_extendedprice / l_quantity AS r FROM lineitem)""")
+def a24_ratio_figures(t):
+    return R.ratio_figures(t("lineitem").select((F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("ratio")))
+
+
+@query("""SELECT o_orderkey, CASE WHEN y >= 2022 THEN '47th' WHEN y >= 2019 THEN '46th' WHEN y >= 2016 THEN '45th' WHEN y >= 2013 THEN '44th' WHEN y >= 2010 THEN '43rd' WHEN y >= 2007 THEN '42nd' WHEN y >= 2004 THEN '41st' WHEN y >= 2001 THEN '40th' WHEN y >= 1998 THEN '39th' ELSE 'pre-39th' END AS label,
+CASE WHEN y BETWEEN 1996 AND 1997 THEN 36 WHEN y BETWEEN 1998 AND 2000 THEN 37 WHEN y BETWEEN 2001 AND 2003 THEN 38 WHEN y BETWEEN 2004 AND 2006 THEN 39 WHEN y BETWEEN 2007 AND 2009 THEN 40 WHEN y BETWEEN 2010 AND 2012 THEN 41 WHEN y BETWEEN 2013 AND 2015 THEN 42 WHEN y BETWEEN 2016 AND 2018 THEN 43 WHEN y BETWEEN 2019 AND 2021 THEN 44 WHEN y BETWEEN 2022 AND 2024 THEN 45 ELSE 46 END AS term,
+CASE o_custkey % 5 WHEN 0 THEN 46 WHEN 1 THEN 46 WHEN 2 THEN 47 WHEN 3 THEN 48 ELSE 4 END AS number FROM (SELECT *, year(o_orderdate) + o_custkey % 40 AS y FROM orders)""")
+def p16_p37_parliaments(t):
+    """By label, by half-open ranges, and repaired numbers."""
+    y, k = F.col("year") + F.col("o_custkey") % 40, F.col("o_custkey") % 5
+    return by_year(t).select("o_orderkey", S.parliament_label(y).alias("label"), S.parliament_term(y).alias("term"), S.parliament_number(F.when(k == 0, 46).otherwise(k)).alias("number"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN p IS NULL OR d < '1996-03-02' THEN NULL WHEN d >= '1996-03-02' AND d < '2007-11-24' AND p IN ('LP', 'NatsWA') THEN 1 WHEN d >= '2007-11-24' AND d < '2013-09-07' AND p = 'ALP' THEN 1 WHEN d >= '2013-09-07' AND d < '2022-05-21' AND p IN ('LP', 'NatsWA') THEN 1 WHEN d >= '2022-05-21' AND p = 'ALP' THEN 1 ELSE 0 END AS in_gov
+FROM (SELECT o_orderkey, (o_orderdate + to_months(CAST(o_custkey % 15 AS INTEGER) * 12))::DATE AS d, CASE o_orderkey % 4 WHEN 0 THEN 'LP' WHEN 1 THEN 'ALP' WHEN 2 THEN 'NatsWA' END AS p FROM orders)""")
+def p18_committee_in_gov(t):
+    """P18 as committees count: days before the first government and rows without a party have none."""
+    k = F.col("o_orderkey") % 4
+    p = F.when(k == 0, "LP").when(k == 1, "ALP").when(k == 2, "NatsWA")
+    return by_year(t).select("o_orderkey", S.in_government(F.add_months("date", (F.col("o_custkey") % 15 * 12).cast("int")), p, "committee").alias("in_gov"))
+
+
+@query("""SELECT c_custkey, coalesce(nullif(CASE WHEN c_nationkey % 3 = 0 THEN '' WHEN c_nationkey % 3 = 1 THEN c_mktsegment END, ''), nullif(c_name, 'nan')) AS place FROM customer""")
+def p27_place(t):
+    k = F.col("c_nationkey") % 3
+    return t("customer").select("c_custkey", S.place(F.when(k == 0, "").when(k == 1, F.col("c_mktsegment")), F.col("c_name")).alias("place"))
+
+
+@query("""SELECT doc_id, CASE WHEN lang = 'en' THEN 'Senate' ELSE 'House' END || ' Hansard, 2020-01-02, ' || coalesce(nullif(trim(source), ''), 'Unknown Speaker') || ', ' || CASE WHEN length(trim(text)) > 80 THEN rtrim(substr(trim(text), 1, 80)) || '…' ELSE trim(text) END AS label FROM documents WHERE text IS NOT NULL""")
+def p38_reference_label(t):
+    chamber = F.when(F.col("lang") == "en", "senate").otherwise("house")
+    return t("documents").where("text IS NOT NULL").select("doc_id", S.reference_label(chamber, F.lit("2020-01-02"), F.col("source"), F.lit(None).cast("string"), F.col("text")).alias("label"))
+
+
+@query("""WITH d AS (SELECT doc_id, doc_id % 7 AS a, doc_id % 5 AS b, doc_id % 3 AS c FROM documents), n AS (SELECT *, 1 AS na, CASE WHEN b = a THEN 1 ELSE 2 END AS nb FROM d), m AS (SELECT *, CASE WHEN c = a THEN 1 WHEN c = b THEN nb ELSE 1 + greatest(na, nb) END AS nc FROM n)
+SELECT doc_id, 'a <sup>' || na || ', ' || nb || '</sup> b <sup>' || nc || '</sup>.' AS rewritten FROM m""")
+def p36_rewrite(t):
+    """Groups of ids become their numbers by first occurrence."""
+    part = lambda k: (F.col("doc_id") % k).cast("string")
+    d = t("documents").select("doc_id", F.concat(F.lit("a ["), part(7), F.lit(", "), part(5), F.lit("] b ["), part(3), F.lit("].")).alias("r"))
+    return X.rewritten(d, "doc_id", "r").select("doc_id", "rewritten")
+
+
+@query("""SELECT coalesce(c_custkey, o_custkey) AS c_custkey, n, p, n IS NOT NULL AND p IS NOT NULL AS both FROM (SELECT c_custkey, c_mktsegment AS n FROM customer WHERE c_acctbal > 0) FULL JOIN (SELECT o_custkey, max(o_orderpriority) AS p FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
+def r7_linked(t):
+    a = t("customer").where("c_acctbal > 0").select("c_custkey", F.col("c_mktsegment").alias("n"))
+    return R.linked(a, t("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("p")), "c_custkey")
+
+
+@query("""SELECT c_custkey, coalesce(CASE WHEN s_acctbal > 0 THEN s_name END, c_name) AS c_name, coalesce(n_name, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey LEFT JOIN nation ON n_nationkey = s_nationkey""")
+def r11_corrected(t):
+    """Suppliers of a customer's number correct its name (if they owe nothing) and segment."""
+    fix = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey"), "left").select(F.col("s_suppkey").alias("c_custkey"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("c_name"), F.col("n_name").alias("c_mktsegment"), F.lit(1).alias("ordinal"))
+    return R.corrected(t("customer").select("c_custkey", "c_name", "c_mktsegment"), fix, ["c_custkey"], ["c_name", "c_mktsegment"])
+
+
+@query("""WITH c AS (SELECT *, contains(lower(coalesce(text, '')), 'the') OR contains(lower(coalesce(text, '')), 'que') OR role = 'user' AS q FROM conversations), l AS (SELECT *, coalesce(lag(q) OVER (PARTITION BY conv_id ORDER BY turn), false) AS b FROM c)
+SELECT conv_id, turn AS "order", q::BIGINT AS question, (CASE WHEN q THEN 0 WHEN b THEN 1 WHEN role = 'assistant' THEN 1 ELSE 0 END)::BIGINT AS answer FROM l""")
+def r13_repaired_flags(t):
+    d = turns(t).select("conv_id", "order", "body", F.when(F.col("role") == "user", 1).otherwise(0).alias("question"), F.when(F.col("role") == "assistant", 1).otherwise(0).alias("answer"))
+    return R.repaired_flags(d, ["conv_id"], "order", "body", ["the", "que"]).select("conv_id", "order", "question", "answer")
+
+
+@query("""SELECT event_id FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 1""")
+def r6_bad_stamps(t):
+    """Hours beyond a day and words are no times."""
+    e = F.col("event_id")
+    stamp = F.when(e % 3 == 0, F.concat(F.lit("25:"), F.date_format("ts", "mm"))).when(e % 5 == 1, "noon").when(e % 7 == 0, F.lit(None).cast("string")).otherwise(F.date_format("ts", "HH:mm:ss"))
+    return R.bad_stamps(t("events").withColumn("stamp", stamp), "stamp").select("event_id")

@@ -1,18 +1,19 @@
 """XML of proceedings as tables: turns, committee turns, topics, divisions, votes and headers.
 
 Files are read by Spark's ``binaryFile`` source and parsed one at a time in Arrow
-batches. A file that isn't well-formed gives one row with ``error`` and nothing
-else. All four layouts come down to one walk in document order that yields events;
+batches. A file that isn't well-formed is read as far as its tags make sense; where
+that gives nothing, it has one row with ``error``. All four layouts come down to one walk in document order that yields events;
 what differs is how an element names its speaker and where its text stands:
 
 * nested layout (2.0 and 2.1): speeches hold a ``talk.start`` and, inside, interjections and continuations;
 * running layout (2.2): a ``talk.text`` of paragraphs in which typed anchors change the speaker;
-* committee layout: paragraphs whose anchors or spans name a member, an office or a witness;
+* committee layout: paragraphs whose anchors or spans name a member, an office or a witness, or talks with a name block;
 * capital-letter layout (older records): attributes name the speaker.
 """
 
 from __future__ import annotations
 
+import html
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 TURNS = "path string, date string, order int, row_type string, name string, name_id string, party string, place string, time_stamp string, page_no int, in_gov int, first_speech int, question int, answer int, q_in_writing int, div_flag int, section int, body string, error string"
-COMMITTEE = "path string, order int, name string, name_id string, witness_flag int, committee_name string, portfolio string, panel_no int, time_stamp string, body string, error string"
+COMMITTEE = "path string, order int, name string, name_id string, witness_flag int, page_no int, committee_name string, portfolio string, panel_no int, time_stamp string, body string, error string"
 TOPICS = "path string, date string, section int, order int, level int, debate_id string, parent_id string, topic string, cognate string, gvt_business int, error string"
 DIVISIONS = "path string, date string, division_no int, question string, ayes_count int, noes_count int, result string, error string"
 VOTES = "path string, date string, division_no int, name string, name_id string, vote string, error string"
@@ -181,6 +182,23 @@ def turns(root: ET.Element, path: str) -> Iterator[dict]:
         yield {"date": day, "order": i, "question": int(kind == "question"), "answer": int(kind == "answer"), "q_in_writing": 0, "div_flag": 0, "in_gov": 0, "first_speech": 0} | r
 
 
+#: Ids that stand for no person in a talk.
+NO_PERSON = ("10000", "unknown", "0", "")
+#: A paragraph that only tells the time.
+CLOCK = re.compile(r"(?i)\[?\(?\s*\d{1,2}[:.]\d{2}\s*(?:[ap]\.?m\.?)?\s*\)?\]?")
+
+
+def talk(e: ET.Element) -> tuple[dict | None, list[str]]:
+    """The speaker of a talk and its paragraphs, of the talk's start and after it; times and leading dashes go. No speaker without a name block."""
+    talker = e.find("talk.start/talker")
+    if talker is None:
+        return None, []
+    person, page = child_text(talker, "name.id"), child_text(talker, "page.no")
+    who = {"name": child_text(talker, "name") or "", "name_id": None if (person or "") in NO_PERSON else person, "witness_flag": int(child_text(talker, "witness.data") == "1"), "page_no": int(page) if page and page.isdigit() else None}
+    texts = (re.sub(r"^[\s:—–\-]+", "", text_of(x)) for x in (*e.findall("talk.start/para"), *e.findall("para")))
+    return who, [t for t in texts if t and not CLOCK.fullmatch(t)]
+
+
 def committee_turns(root: ET.Element, path: str) -> Iterator[dict]:
     """A member's anchor comes before an office, an office before a witness; text before the first speaker is dropped."""
     name = root.findtext(".//committee") or root.findtext(".//committee.name")
@@ -200,6 +218,11 @@ def committee_turns(root: ET.Element, path: str) -> Iterator[dict]:
             debate = title if e.tag == "debate" else debate
             portfolio = debate if e.tag == "debate" else " — ".join(x for x in (debate, title) if x)
             panel += 1
+        elif e.tag == "talk":
+            yield from done()
+            now, body = talk(e)
+            yield from done()
+            now, body = None, []
         elif e.tag == "p":
             who = None
             for a in e.iter("a"):
@@ -279,6 +302,48 @@ def headers(root: ET.Element, path: str) -> Iterator[dict]:
         yield {"version": root.get("version", "unknown"), "date": child_text(h, "date"), "parliament_no": child_text(h, "parliament.no"), "session_no": child_text(h, "session.no"), "period_no": child_text(h, "period.no"), "chamber": child_text(h, "chamber"), "page_no": child_text(h, "page.no"), "proof": child_text(h, "proof")}
 
 
+#: A tag, a comment or declaration, or a text; a sign that opens nothing is text.
+_PIECE = re.compile(r"<(?P<end>/)?(?P<tag>[A-Za-z_][\w.:-]*)(?P<rest>(?:\s+[\w.:-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*)\s*(?P<empty>/)?>|<[!?][^>]*>|(?P<text>[^<]+|<)", re.S)
+_ATTRIBUTE = re.compile(r"([\w.:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
+
+
+def recovered(content: bytes) -> ET.Element | None:
+    """The tree of a file with errors: stray signs are text, an end closes what was opened inside, and ends that nothing opened are passed over."""
+    text = re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f]", "", content.decode("utf-8", "replace"))
+    builder, open_, seen = ET.TreeBuilder(), [], False
+    for m in _PIECE.finditer(text):
+        if m["text"] is not None:
+            if open_:
+                builder.data(html.unescape(m["text"]))
+        elif m["tag"] and m["end"]:
+            while m["tag"] in open_:
+                last = open_.pop()
+                builder.end(last)
+                if last == m["tag"]:
+                    break
+        elif m["tag"] and (open_ or not seen):
+            seen = True
+            builder.start(m["tag"], {k: html.unescape(x or y) for k, x, y in _ATTRIBUTE.findall(m["rest"])})
+            if m["empty"]:
+                builder.end(m["tag"])
+            else:
+                open_.append(m["tag"])
+    for tag in reversed(open_):
+        builder.end(tag)
+    return builder.close() if seen else None
+
+
+def tree(content: bytes) -> tuple[ET.Element, str | None]:
+    """The root of a file and what is wrong with it; one that isn't well-formed is recovered, and one without any element raises."""
+    try:
+        return ET.fromstring(content), None
+    except ET.ParseError as e:
+        root = recovered(content)
+        if root is None:
+            raise
+        return root, str(e)
+
+
 TABLES: dict[str, tuple[Callable, str]] = {"turns": (turns, TURNS), "committee": (committee_turns, COMMITTEE), "topics": (topics, TOPICS), "divisions": (divisions, DIVISIONS), "votes": (votes, VOTES), "headers": (headers, HEADERS)}
 
 
@@ -294,7 +359,9 @@ def parse(files: DataFrame, what: str) -> DataFrame:
             out = []
             for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 try:
-                    out += [{"path": path} | r for r in rows(ET.fromstring(content or b""), path or "")]
+                    root, wrong = tree(content or b"")
+                    found = [{"path": path} | r for r in rows(root, path or "")]
+                    out += found or [{"path": path, "error": wrong}] * (wrong is not None)
                 except ET.ParseError as e:
                     out.append({"path": path, "error": str(e)})
             yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in out], kinds[f.dataType.simpleString()]) for f in fields], [f.name for f in fields])

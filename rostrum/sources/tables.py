@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,16 @@ from pyspark.sql import functions as F
 from rostrum.functions.scalars import bar, capped
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); on a local session without one, a temporary folder."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="rostrum-")
+    return f"{at.rstrip('/')}/rostrum/{name}-{uuid.uuid4().hex}"
+
+
 def read_days(spark: SparkSession, path: str) -> DataFrame:
     """All daily files of a folder as one table; the date of a file that has none comes from its name."""
     df = spark.read.option("mergeSchema", "true").parquet(path)
@@ -26,7 +37,9 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """A CSV lookup, all texts, in the order of the file as ``ordinal``."""
     df = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    #: splits of a file have ascending blocks; of several files the name decides
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return df.withColumn("ordinal", place)
 
 
 def write_both(df: DataFrame, path: str) -> None:
@@ -59,6 +72,12 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def links(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Links within the site, in the order of the page."""
+    found = F.regexp_extract_all(html, F.lit('href="(/[^"]*)"'), F.lit(1))
+    return pages.select(key, F.posexplode(found).alias("pos", "link")).select(key, (F.col("pos") + 1).alias("pos"), "link")
+
+
 def bars(counts: DataFrame, label: str, n: str) -> DataFrame:
     """Lines of a text summary: label, count and a bar."""
     most = counts.agg(F.max(n).alias("_m"))

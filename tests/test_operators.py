@@ -4,9 +4,11 @@ import random
 
 from pyspark.sql import functions as F
 
+from rostrum.functions import excerpts as X
 from rostrum.functions import scalars as S
 from rostrum.operators import aggregates as A
 from rostrum.operators import joins as J
+from rostrum.operators import reports as R
 from rostrum.operators import selection as L
 from rostrum.operators import validation as V
 from rostrum.operators import windows as W
@@ -165,3 +167,78 @@ def test_tables_and_streams(spark, tmp_path):
 def _days(d, tmp_path):
     d.write.parquet(str(tmp_path / "in"))
     return str(tmp_path / "in")
+
+
+def test_find_page_is_the_page_of_the_hits(spark):
+    rows = [(i, ["senate", "house"][i % 2], f"2001-01-{1 + i % 9:02d}", i, ["ALP", None, "GRN", "LP"][i % 4], [None, "NSW", "Vic"][i % 3], "water here" if i % 5 else "dry") for i in range(60)]
+    turns = spark.createDataFrame(rows, "turn_id int, chamber string, date string, order int, party string, state string, body string").withColumn("date", F.to_date("date")).withColumn("name_id", F.lit("n"))
+    e = Engine(turns)
+    for sort in ("date", "party", "state_or_electorate", "chamber"):
+        for descending in (False, True):
+            pages = {k: [x.turn_id for x in e.search(Request("water", sort=sort, descending=descending, page=k, size=10)).hits.collect()] for k in range(1, 6)}
+            for turn in (1, 33, 58):
+                page = e.find_page(turn, Request("water", sort=sort, descending=descending, size=10)).first().page
+                assert turn in pages[page], (sort, descending, turn)
+    wanted = turns.where("turn_id = 33").select(Engine._hash().alias("h")).first().h
+    assert e.find_page(wanted, Request("water", size=10)).count() == 1
+
+
+def test_search_by_token_table(spark, tmp_path):
+    from rostrum.sources import tokens
+
+    bodies = ["Water policy, the budget.", "the water-policy of the day", "WATÉR", "policy water", "", None, "budget the", "no such thing"]
+    turns = spark.createDataFrame([(i, "senate", "2001-01-01", i, 0, 0, b) for i, b in enumerate(bodies)], "turn_id int, chamber string, date string, order int, question int, answer int, body string").withColumn("date", F.to_date("date")).withColumn("name_id", F.lit("n"))
+    path = tokens.build(turns, "turn_id", "body", str(tmp_path / "tokens"), buckets=8)
+    plain, table = Engine(turns), Engine(turns, tokens=tokens.Tokens(spark, path, 8), folder=str(tmp_path / "matches"))
+    for text in ("water", "'water policy'", "'the budget' OR 'water policy'", "water & policy", "'...'", "absent", "(water OR budget) AND the"):
+        for exact in (False, True):
+            a, b = (e.search(Request(text, case_sensitive=exact)) for e in (plain, table))
+            assert [x.turn_id for x in a.hits.collect()] == [x.turn_id for x in b.hits.collect()] and a.total == b.total
+            assert sorted(map(tuple, a.facets.collect())) == sorted(map(tuple, b.facets.collect()))
+    r = table.search(Request("water"))
+    assert {x.turn_id: x.matched_terms for x in r.matches.collect()} == {0: "water", 1: "water", 2: "", 3: "water"}
+    assert r.seeds.count() > 0 and "inputs" not in r.matches.columns and "body" not in r.matches.columns
+    found = {(x.what, x.value) for x in plain.metadata().collect()}
+    assert {("first_day", "2001-01-01"), ("senate_rows", "8")} <= found
+    assert plain.aliases("water", ["water bill", "Dam", "dam", "rivers"]) == ["Dam", "rivers"]
+    day = turns.select(S.day_hash(F.col("chamber"), F.col("date")).alias("h")).first().h
+    assert plain.day_by_hash(day).count() == 8 and plain.day_by_hash("none").count() == 0
+
+
+def test_repetitions_and_entries(spark):
+    said = ["A", "Leave granted", "A", "", "", "B", "B", "order!", "Order!", "Order!", "Order!", "C", None, "C", "D", "D"]
+    turns = spark.createDataFrame([("2000-01-01", i, 0, b) for i, b in enumerate(said)] + [("2000-01-01", 99, 1, "D"), ("2000-01-02", 1, 0, "D")], "date string, order int, interject int, body string")
+    assert [r.message for r in V.t2_duplicates(turns).collect()] == ["2 consecutive duplicates"]  # B and D
+    day = lambda *cols: (F.to_date(c).alias(c) for c in cols)
+    entries = spark.createDataFrame([("a", "2000-01-01", None), ("a", "2005-01-01", "2006-01-01"), ("a", "2006-03-01", "2007-01-01"), ("a", "2008-01-01", None), ("b", "2000-01-01", "2001-01-01"), ("b", "2003-01-01", None)], "k string, start string, end string").select("k", *day("start", "end"))
+    turns = spark.createDataFrame([("a", "2004-01-01", 1, True, 0), ("a", "2008-02-01", 2, False, 0), ("a", "2008-02-02", 3, True, 0), ("b", "1999-01-01", 4, True, 1), ("b", "2003-02-01", 5, True, 0)], "k string, date string, turn_id int, substantive boolean, first_speech int").select("k", *day("date"), "turn_id", "substantive", "first_speech")
+    got = lambda **kw: {(r.k, r.start.year, r.turn_id) for r in W.first_events(entries, turns, "k", **kw).collect()}
+    assert got() == {("a", 2000, 1), ("a", 2008, 3), ("b", 2003, 5)}  # an unknown end before 2005 makes no entry; b's first one is flagged
+    assert got(override=True) == {("a", 2000, 1), ("a", 2008, 3), ("b", 2000, 5), ("b", 2003, 5)}
+
+
+def test_talks_and_recovery(spark):
+    talk = lambda name, person, witness, *paras: f"<talk><talk.start><talker><name>{name}</name><name.id>{person}</name.id><page.no>3</page.no><witness.data>{witness}</witness.data></talker></talk.start>{''.join(f'<para>{p}</para>' for p in paras)}</talk>"
+    text = f"<committee><committee.name>Econ</committee.name><debate><debateinfo><title>Health</title></debateinfo><subdebate.1><subdebateinfo><title>A</title></subdebateinfo>{talk('Chair', '10000', 0, '[10.30 am]', '—Welcome', 'More')}</subdebate.1><subdebate.1><subdebateinfo><title>B</title></subdebateinfo>{talk('Dr X', 'Q7', 1, 'Hi')}{talk('Silent', 'Q8', 0)}</subdebate.1></debate></committee>"
+    broken = text.replace("More", "More & <b>more").replace("</committee>", "")
+    files = spark.createDataFrame([("a.xml", text.encode()), ("b.xml", broken.encode()), ("c.xml", b"no tags")], "path string, content binary")
+    rows = proceedings.parse(files, "committee").collect()
+    want = [("Chair", None, 0, 3, "Health — A", "Welcome\n\nMore"), ("Dr X", "Q7", 1, 3, "Health — B", "Hi")]
+    assert [(r.name, r.name_id, r.witness_flag, r.page_no, r.portfolio, r.body) for r in rows if r.path == "a.xml"] == want
+    assert [(r.name, r.body) for r in rows if r.path == "b.xml"] == [("Chair", "Welcome\n\nMore & more"), ("Dr X", "Hi")]
+    assert [r.error is not None for r in rows if r.path == "c.xml"] == [True]
+
+
+def test_report_parts(spark):
+    reports = spark.createDataFrame([(1, "a [7, 3] b [3] c"), (2, "none"), (3, "x [9, 8, 7, 6] [stray]")], "k int, text string")
+    assert [r.rewritten for r in X.rewritten(reports, "k", "text").orderBy("k").collect()] == ["a <sup>1, 2</sup> b <sup>2</sup> c", "none", "x <sup>1, 2, 3, 4</sup> [stray]"]
+    known = spark.createDataFrame([(i, f"label {i}") for i in (3, 7, 9, 8)], "ref int, label string")
+    assert sorted((r.k, r.number, r.label) for r in X.references(reports, "k", "text", known, "ref", "label").collect())[:2] == [(1, 1, "label 7"), (1, 2, "label 3")]
+    assert sorted((r.k, r.fault) for r in X.citation_faults(reports, "k", "text", known, "ref").collect()) == [(3, "raw bracket: [stray]"), (3, "too many: 9, 8, 7, 6"), (3, "unknown 6")]
+    listed = spark.createDataFrame([(1, 7), (1, 5)], "k int, ref int")
+    assert sorted(r.fault for r in X.list_faults(reports.where("k = 1"), "k", "text", listed).collect()) == ["not cited 5", "not listed 3"]
+    load = R.workload(spark, {"easy": (3.0, ["a"]), "worst": (1.0, ["b", "c"])}, 200).collect()
+    assert len(load) == 200 and {r.expression for r in load} == {"a", "b", "c"} and load == R.workload(spark, {"easy": (3.0, ["a"]), "worst": (1.0, ["b", "c"])}, 200).collect()
+    df = spark.range(10_000)
+    a, b = (sorted(r.id for r in R.sampled(d, "id", 0.25).collect()) for d in (df, df.repartition(7)))
+    assert a == b and 2300 < len(a) < 2700
