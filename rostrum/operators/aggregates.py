@@ -90,6 +90,27 @@ def latency(df: DataFrame, by: list[str], col: str, failed: Column, slow: float)
     )
 
 
+#: Seconds and percents within which a load test passes.
+LIMITS = {"p50": 0.5, "p95": 3.0, "p99": 8.0, "error_rate": 0.005, "degraded_rate": 0.05}
+
+
+def graded(figures: DataFrame, limits: dict[str, float] = LIMITS) -> DataFrame:
+    """``grade``: PASS, or FAIL with the figures that are over their limit."""
+    over = F.array_compact(F.array(*(F.when(F.col(c) >= v, F.lit(c)) for c, v in limits.items())))
+    return figures.withColumn("grade", F.when(F.size(over) == 0, "PASS").otherwise(F.concat(F.lit("FAIL: "), F.array_join(over, ","))))
+
+
+def speaker_table(df: DataFrame, speaker: str, words: Column, day: str, n: int = 40, *, party: str = "party", gender: str = "gender") -> DataFrame:
+    """The n speakers of most turns: turns, commonest party and gender, first speech, questions, interjections, days and words."""
+    d = df.withColumn("_w", words)
+    g = d.groupBy(speaker).agg(
+        F.count("*").alias("turns"), mode(party).alias("party"), mode(gender).alias("gender"), F.max(F.coalesce("first_speech", F.lit(0))).alias("first_speech"),
+        F.count_if(F.col("question") == 1).alias("questions"), F.count_if(F.col("interject") == 1).alias("interjections"), F.countDistinct(day).alias("days"),
+        F.sum("_w").alias("words"), F.avg("_w").alias("mean_words"),
+    )
+    return g.orderBy(F.desc("turns"), speaker).limit(n)
+
+
 def drift(df: DataFrame, order: list[str], col: str, part: float = 0.1) -> DataFrame:
     """Mean of the last part of the rows over that of the first; ranks come from a global sort, not from one task's window."""
     n = df.count()

@@ -47,6 +47,19 @@ def budget_whole(df: DataFrame, period: str, speaker: str, score: str, key: str,
     return cap_speakers(picked, speaker, [date, key])
 
 
+def affordable(df: DataFrame, text: str, period: str, speaker: str, score: str, key: str, date: str, tokens: int, most: int | None = 500) -> DataFrame:
+    """All rows if their texts (four characters a token) fit a budget and they are no more than ``most``; else :func:`budget_whole` with as many slots as the budget has for a text of mean length.
+
+    ``most`` None: the budget alone counts. Both the sum and the number are taken over all rows.
+    """
+    r = df.agg(F.sum(F.floor(F.length(text) / 4)).alias("t"), F.count("*").alias("n")).first()
+    total = r.t or 0
+    if total <= tokens and (most is None or r.n <= most):
+        return df
+    slots = max(1, int(tokens / max(total / max(r.n, 1), 1)))
+    return budget_whole(df, period, speaker, score, key, date, slots if most is None else min(slots, most))
+
+
 def sort_names(sort: str, columns: list[str]) -> list[str]:
     """The columns of a named order that a table has; unknown names sort by date. A place is the state where there is one, else the electorate."""
     names = [c for c in SORTS.get(sort, SORTS["date"]) if c in columns]

@@ -213,12 +213,12 @@ def a19_conditional_label(t):
     return R.conditional_label(t("orders"), ["o_custkey"], F.col("o_orderstatus") == "F").groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query(f"""SELECT source, count(*) AS turns, max(coalesce(toxic, 0))::BIGINT AS first_speech, count(*) FILTER (WHERE quality = 1) AS questions, count(DISTINCT lang) AS days, sum(w)::BIGINT AS words, round(avg(w), 4) AS mean_words
-FROM (SELECT *, {WORDS_SQL} AS w FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY 1 ORDER BY turns DESC, source LIMIT 40""")
+@query(f"""WITH d AS (SELECT *, {WORDS_SQL} AS w, CASE WHEN n_chars > 2000 THEN 'long' ELSE 'short' END AS size FROM documents LEFT JOIN labels USING (doc_id)), m AS (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS r FROM d GROUP BY 1, 2), s AS (SELECT source, size, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, size) AS r FROM d GROUP BY 1, 2)
+SELECT d.source, count(*) AS turns, any_value(m.lang) AS party, any_value(s.size) AS gender, max(coalesce(toxic, 0))::BIGINT AS first_speech, count(*) FILTER (WHERE quality = 1) AS questions, count(*) FILTER (WHERE toxic = 1) AS interjections, count(DISTINCT d.lang) AS days, sum(w)::BIGINT AS words, round(avg(w), 4) AS mean_words
+FROM d JOIN m ON m.source = d.source AND m.r = 1 JOIN s ON s.source = d.source AND s.r = 1 GROUP BY 1 ORDER BY turns DESC, d.source LIMIT 40""")
 def a20_speaker_table(t):
-    d = t("documents").join(t("labels"), "doc_id", "left").withColumn("w", S.word_count(F.col("text")))
-    g = d.groupBy("source").agg(F.count("*").alias("turns"), F.max(F.coalesce("toxic", F.lit(0))).alias("first_speech"), F.count_if(F.col("quality") == 1).alias("questions"), F.countDistinct("lang").alias("days"), F.sum("w").alias("words"), r4(F.avg("w"), "mean_words"))
-    return g.orderBy(F.desc("turns"), "source").limit(40)
+    d = t("documents").join(t("labels"), "doc_id", "left").select("source", "text", F.col("lang").alias("party"), F.when(F.col("n_chars") > 2000, "long").otherwise("short").alias("gender"), F.col("toxic").alias("first_speech"), F.col("quality").alias("question"), F.col("toxic").alias("interject"), F.col("lang").alias("day"))
+    return A.speaker_table(d, "source", S.word_count(F.col("text")), "day").withColumn("mean_words", F.round("mean_words", 4))
 
 
 @query("""SELECT o_custkey, year AS peak, n AS peak_n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, year) AS r FROM (SELECT o_custkey, year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1, 2)) WHERE r = 1""")
@@ -243,6 +243,12 @@ def a25_latency_stats(t):
     return d.select("event_type", "n", *(r4(F.col(c), c) for c in ("p50", "p75", "p95", "p99", "error_rate", "degraded_rate")))
 
 
+@query("""SELECT event_type, CASE WHEN grade = '' THEN 'PASS' ELSE 'FAIL: ' || grade END AS grade FROM (SELECT event_type, concat_ws(',', CASE WHEN quantile_cont(value, 0.5) >= 40 THEN 'p50' END, CASE WHEN quantile_cont(value, 0.95) >= 90 THEN 'p95' END, CASE WHEN avg(CASE WHEN user_id % 10 = 0 THEN 1.0 ELSE 0.0 END) >= 0.1 THEN 'error_rate' END) AS grade FROM events GROUP BY 1)""")
+def a25_graded(t):
+    d = A.latency(t("events"), ["event_type"], "value", F.col("user_id") % 10 == 0, 60.0)
+    return A.graded(d, {"p50": 40, "p95": 90, "error_rate": 0.1}).select("event_type", "grade")
+
+
 @query("""WITH r AS (SELECT value, row_number() OVER (ORDER BY ts, event_id) AS i, count(*) OVER () AS n FROM events)
 SELECT round(avg(value) FILTER (WHERE i <= greatest(1, n // 10)), 4) AS "first", round(avg(value) FILTER (WHERE i > n - greatest(1, n // 10)), 4) AS "last" FROM r""")
 def a25_drift(t):
@@ -536,6 +542,16 @@ def w19_budget_whole(t):
     return L.budget_whole(by_year(t), "year", "o_orderpriority", "o_totalprice", "o_orderkey", "date", 100).select("o_orderkey", "year")
 
 
+@query("""WITH o AS (SELECT doc_id AS k, coalesce(source, '') AS v, lang AS y, n_chars AS s, length(text) // 4 AS t FROM documents), a AS (SELECT least(200, greatest(1, CAST(floor(100000 / greatest(sum(t)::DOUBLE / count(*), 1)) AS BIGINT))) AS slots, sum(t) <= 100000 AND count(*) <= 200 AS fits FROM o),
+c AS (SELECT y, greatest(1, round_even(any_value(slots)::DOUBLE * count(*) / (SELECT count(*) FROM o), 0)) AS n FROM o, a GROUP BY 1), r AS (SELECT *, row_number() OVER (PARTITION BY y, v ORDER BY s DESC, k) AS rd, max(s) OVER (PARTITION BY y, v) AS b FROM o),
+e AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY rd, b DESC, v, k) AS p, row_number() OVER (ORDER BY k) AS f FROM r), w AS (SELECT k, v, row_number() OVER (PARTITION BY v ORDER BY k) AS i, count(*) OVER () AS m FROM e JOIN c ON e.y = c.y WHERE p <= c.n OR f = 1)
+SELECT k AS doc_id FROM w WHERE i <= greatest(3, round_even(0.15::DOUBLE * m, 0)) AND NOT (SELECT fits FROM a) UNION ALL SELECT k FROM o WHERE (SELECT fits FROM a)""")
+def w19_token_budget(t):
+    """W19 under a budget of tokens: languages are periods, sources speakers, lengths scores."""
+    d = t("documents").withColumn("speaker", F.coalesce("source", F.lit(""))).withColumn("at", F.col("doc_id"))
+    return L.affordable(d, "text", "lang", "speaker", "n_chars", "doc_id", "at", 100_000, 200).select("doc_id")
+
+
 @query("""SELECT party, date, turn_id, position, CAST(ceil(position / 25.0) AS BIGINT) AS page FROM (SELECT *, row_number() OVER (ORDER BY party DESC NULLS LAST, date DESC NULLS LAST, turn_id) AS position FROM
 (SELECT o_orderkey AS turn_id, o_orderdate::DATE AS date, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS party FROM orders)) WHERE turn_id IN (SELECT max(o_orderkey) FROM orders GROUP BY o_orderstatus = 'P')""")
 def w20_find_page(t):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/rostrum/{name}-{uuid.uuid4().hex}"
 
 
-def read_days(spark: SparkSession, path: str) -> DataFrame:
-    """All daily files of a folder as one table; the date of a file that has none comes from its name."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+def read_days(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All daily files of a folder as one table; the date of a file that has none comes from its name.
+
+    With a ``schema`` no footer is read beforehand; without one those of all files are merged.
+    """
+    df = spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
     named = F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2}-\d{2})", 1))
     return df.withColumn("date", F.coalesce(F.col("date").cast("date"), named) if "date" in df.columns else named)
 
@@ -61,6 +66,69 @@ def new_version(df: DataFrame, root: str) -> str:
     return path
 
 
+def _replace(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that readers see as it was or as it will be: written beside and renamed over."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(f"{path}.{uuid.uuid4().hex}"), hadoop.Path(path)
+    out = new.getFileSystem(conf).create(new)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(new.getFileSystem(conf).getUri(), conf).rename(new, old, options)
+
+
+def _content(spark: SparkSession, path: str) -> str | None:
+    """A small file as text, None if there is none."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version of :func:`new_version` the current one; who reads the one before goes on undisturbed."""
+    _replace(spark, f"{root}/_current", version)
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of a table."""
+    return spark.read.parquet(_content(spark, f"{root}/_current"))
+
+
+def rewrite(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame]) -> str:
+    """Read the current version, change it, write the next one and make it current."""
+    path = new_version(change(current(spark, root)), root)
+    publish(spark, root, path)
+    return path
+
+
+def manifest(spark: SparkSession, path: str) -> dict:
+    """The entries of a manifest, none if there is no file."""
+    return json.loads(_content(spark, path) or "{}")
+
+
+def update_manifest(spark: SparkSession, path: str, entries: dict) -> dict:
+    """Set entries of a manifest by one rename."""
+    now = manifest(spark, path) | entries
+    _replace(spark, path, json.dumps(now, sort_keys=True))
+    return now
+
+
+def write_results(df: DataFrame, path: str, source: str = "match_source") -> None:
+    """Matches and the turns that exchanges pulled in, as two CSV tables."""
+    hit = F.col(source) == "search"
+    for name, cond in (("matches", hit), ("exchanges", ~hit)):
+        df.where(cond).write.mode("overwrite").option("header", "true").csv(f"{path}/{name}")
+
+
 def export(df: DataFrame, columns: list[str], order: list[str], rows: int = 100) -> DataFrame:
     """The first rows of a download; long texts are capped."""
     have = [c for c in columns if c in df.columns]

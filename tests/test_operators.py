@@ -242,3 +242,32 @@ def test_report_parts(spark):
     df = spark.range(10_000)
     a, b = (sorted(r.id for r in R.sampled(d, "id", 0.25).collect()) for d in (df, df.repartition(7)))
     assert a == b and 2300 < len(a) < 2700
+
+
+def test_versions_and_manifest(spark, tmp_path):
+    root = str(tmp_path / "table")
+    tables.publish(spark, root, tables.new_version(spark.range(5), root))
+    before = tables.current(spark, root)
+    tables.rewrite(spark, root, lambda df: df.where("id > 2"))
+    assert before.count() == 5 and sorted(r.id for r in tables.current(spark, root).collect()) == [3, 4]
+    path = str(tmp_path / "manifest.json")
+    assert tables.manifest(spark, path) == {}
+    tables.update_manifest(spark, path, {"2001-01-01": "done"})
+    assert tables.update_manifest(spark, path, {"2001-01-02": "ö"}) == tables.manifest(spark, path) == {"2001-01-01": "done", "2001-01-02": "ö"}
+    hits = spark.createDataFrame([(1, "search"), (2, "question_answer")], "i int, match_source string")
+    tables.write_results(hits, str(tmp_path / "out"))
+    assert [spark.read.option("header", "true").csv(str(tmp_path / "out" / x)).first().i for x in ("matches", "exchanges")] == ["1", "2"]
+
+
+def test_lookup_order(spark, tmp_path):
+    """Rows of several files and splits stand in the order of the files."""
+    folder = tmp_path / "lookup"
+    folder.mkdir()
+    for k in range(3):
+        (folder / f"part{k}.csv").write_text("key,value\n" + "".join(f"k{i % 50},{k:02d}-{i:05d}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        first = W.first_rows(tables.read_lookup(spark, str(folder)), ["key"], ["ordinal"])
+        assert {r.key: r.value for r in first.collect()} == {f"k{i}": f"00-{i:05d}" for i in range(50)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
