@@ -53,9 +53,9 @@ LONGEST = 8
 #: Bits of the table that marks shared shingles, and most bits of that of the texts that a verification needs (powers of two).
 BITS, TEXT_BITS = 1 << 22, 1 << 27
 #: Shingles of a family's members that are compared with as many of its outsiders in one step.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 #: Partners that one copy of a set serves.
-PARTNERS = 512
+PARTNERS = 256
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
