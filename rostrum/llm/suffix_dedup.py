@@ -141,7 +141,7 @@ def _bits(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.where(low <= high, (one << np.maximum(high + 1, 0)) - (one << np.minimum(low, 62)), 0)
 
 
-def _match(key: np.ndarray, info: np.ndarray, start: int, stop: int) -> pa.RecordBatch:
+def _match(key: np.ndarray, info: np.ndarray, start: int, stop: int, steps: int = STEPS) -> pa.RecordBatch:
     """Passages of the suffixes from ``start`` to ``stop`` in the sorted arrays, and the heads that neighbours don't settle.
 
     ``info``: id, position, least and most words from the starts of the suffix's
@@ -151,7 +151,7 @@ def _match(key: np.ndarray, info: np.ndarray, start: int, stop: int) -> pa.Recor
     need = _bits(info[start:stop, 2], info[start:stop, 3])
     covered, settled = np.zeros(stop - start, np.int64), np.zeros(stop - start, bool)
     ended = {-1: settled.copy(), 1: settled.copy()}
-    for step in range(1, STEPS + 1):
+    for step in range(1, steps + 1):
         for side in (-1, 1):
             at = np.flatnonzero(~settled & ~ended[side])
             other = at + start + side * step
@@ -186,20 +186,24 @@ def _match(key: np.ndarray, info: np.ndarray, start: int, stop: int) -> pa.Recor
     return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(head, pa.int64())])], ["id", "begin", "end", "head"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages within a sorted range; holds a batch and the neighbours around it."""
-    key, info, done = np.zeros((0, 8 + 8 * SIDE), np.uint8), np.zeros((0, 4), np.int64), 0
-    for b in batches:
-        data, _ = raw_bytes(b.column(0))
-        key = np.concatenate([key, data.reshape(-1, key.shape[1])])
-        info = np.concatenate([info, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 5)], axis=1)])
-        stop = len(info) - STEPS
-        if stop > done:
-            yield _match(key, info, done, stop)
-            first = max(0, stop - STEPS)
-            key, info, done = key[first:], info[first:], stop - first
-    if len(info) > done:
-        yield _match(key, info, done, len(info))
+def compared(steps: int):
+    """Makes the passages within a sorted range; holds a batch and the neighbours around it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, info, done = np.zeros((0, 8 + 8 * SIDE), np.uint8), np.zeros((0, 4), np.int64), 0
+        for b in batches:
+            data, _ = raw_bytes(b.column(0))
+            key = np.concatenate([key, data.reshape(-1, key.shape[1])])
+            info = np.concatenate([info, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 5)], axis=1)])
+            stop = len(info) - steps
+            if stop > done:
+                yield _match(key, info, done, stop, steps)
+                first = max(0, stop - steps)
+                key, info, done = key[first:], info[first:], stop - first
+        if len(info) > done:
+            yield _match(key, info, done, len(info), steps)
+
+    return run
 
 
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,7 +218,7 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         kept = kept.join(shared, "head", "left_semi")
     order = ("key", "id", "pos")
     ranged = kept.select(*order, "least", "most").repartitionByRange(*order).sortWithinPartitions(*order)
-    found = materialise(ranged.mapInArrow(_compare, "id long, begin long, end long, head long"), "matches")
+    found = materialise(ranged.mapInArrow(compared(STEPS), "id long, begin long, end long, head long"), "matches")
     left = materialise(found.where("head is not null").select("head").distinct(), "unsettled")
     marks, _ = bit_table(left, F.pmod("head", F.lit(BITS)), BITS)
     all_runs = materialise(texts.mapInArrow(runs(marks), "hash long, id long, begin long"), "runs")

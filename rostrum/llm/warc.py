@@ -36,6 +36,8 @@ from rostrum.llm.runtime import Output, bounded_batches, chunks, fresh_path, mat
 
 #: Uncompressed bytes after which a frame is closed, and compressed bytes after which a bundle is.
 FRAME, BUNDLE = 1 << 18, 1 << 29
+#: Records of a bundle at most: its index is held in memory.
+RECORDS = 1 << 20
 #: Fixed values of the seekable format: skippable frames of the index and the table, and the footer's mark.
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,15 +83,15 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], dict[str, str], byt
 class Bundle:
     """Writes one bundle; holds one frame and the index in memory."""
 
-    def __init__(self, stream):
-        self.stream, self.pack = stream, zstandard.ZstdCompressor(level=3)
+    def __init__(self, stream, frame: int = FRAME):
+        self.stream, self.frame, self.pack = stream, frame, zstandard.ZstdCompressor(level=3)
         self.frames, self.index, self.held, self.at, self.written = [], {}, [], 0, 0
 
     def add(self, name: str, data: bytes) -> None:
         self.index.setdefault(name, []).append((len(self.frames), self.at, len(data)))
         self.held.append(data)
         self.at += len(data)
-        if self.at >= FRAME:
+        if self.at >= self.frame:
             self.flush()
 
     def flush(self) -> None:
@@ -148,8 +150,11 @@ class Reader:
                 yield head, http, body
 
 
-def write(pages: DataFrame, *, min_revisit: int = 0) -> DataFrame:
-    """Write the bundles of ``pages`` (``page_id``, ``url``, ``html``); returns ``uri`` and ``n_records`` of each."""
+def write(pages: DataFrame, *, min_revisit: int = 0, frame: int = FRAME, bundle: int = BUNDLE, records: int = RECORDS) -> DataFrame:
+    """Write the bundles of ``pages`` (``page_id``, ``url``, ``html``); returns ``uri`` and ``n_records`` of each.
+
+    A frame is closed after ``frame`` bytes, a bundle after ``bundle`` compressed bytes or ``records`` records.
+    """
     bounded_batches(pages.sparkSession)
     folder = fresh_path(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
@@ -164,13 +169,13 @@ def write(pages: DataFrame, *, min_revisit: int = 0) -> DataFrame:
         while row is not None:
             uri, n = f"{folder}/{part:06d}-{uuid.uuid4().hex}.warc.zst", 0
             with Output(uri) as stream:
-                bundle = Bundle(stream)
-                while row is not None and bundle.written < BUNDLE:
+                out = Bundle(stream, frame)
+                while row is not None and out.written < bundle and n < records:
                     page_id, url, html, target, revisit = row
-                    bundle.add(record_id(page_id), record(page_id, url, html.encode(), target, revisit))
+                    out.add(record_id(page_id), record(page_id, url, html.encode(), target, revisit))
                     n += 1
                     row = next(rows, None)
-                bundle.finish()
+                out.finish()
             yield pa.RecordBatch.from_pydict({"uri": [uri], "n_records": [n]})
 
     return materialise(joined.mapInArrow(run, "uri string, n_records long"), "warc-files")
