@@ -20,7 +20,7 @@ verified. A pair is held to the smaller ``l`` of the two.
 * What is left between components is joined in full. Across families, pairs meet at
   the shingles of their prefixes. Within a family, which shares most of its shingles,
   the members outside its largest component are compared with all others: both sides
-  are cut into blocks of :data:`BLOCK` shingles, and in each pair of blocks the same
+  are cut into blocks of bounded size, and in each pair of blocks the same
   prefix condition decides which pairs are verified.
 * Verification is exact. Sets travel once for each block of partners, are compared in
   a stream, and only links leave a task. No link between components is lost.
@@ -52,8 +52,8 @@ BUCKETS = 1 << 16
 LONGEST = 8
 #: Bits of the table that marks shared shingles, and most bits of that of the texts that a verification needs (powers of two).
 BITS, TEXT_BITS = 1 << 22, 1 << 27
-#: Shingles of a family's members that are compared with as many of its outsiders in one step.
-BLOCK = 1 << 17
+#: Shingles of the outsiders of a family that a task holds at most (on average), and of the members that it reads at least.
+HELD, BLOCK = 1 << 21, 1 << 17
 #: Partners that one copy of a set serves.
 PARTNERS = 256
 
@@ -313,14 +313,16 @@ def _family_blocks(placed: DataFrame, scratch: list[DataFrame]) -> DataFrame:
     """The roles of the nodes of families of several components in their comparison.
 
     Members outside a family's largest component (the outsiders) meet all others:
-    members are cut into parts and outsiders into sides of about :data:`BLOCK`
-    shingles, and each part meets each side. Columns: ``id``, ``family``, ``comp``,
+    outsiders are cut into sides of about :data:`HELD` shingles, members into parts of
+    :data:`BLOCK` or as many as a side has, and each part meets each side; so nothing
+    is sent more than about twice for each side. Columns: ``id``, ``family``, ``comp``,
     ``part``, ``side``, ``role`` (0: as an outsider, 1: as a member).
     """
     counts = materialise(placed.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("n")), "counts")
     scratch.append(counts)
     of = counts.groupBy("family").agg(F.max(F.struct("k", "comp", "n")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("comps")).where("comps > 1")
-    of = of.select("family", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).alias("parts"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("sides"))
+    out = F.col("all") - F.col("main.n")
+    of = of.select("family", F.col("main.comp").alias("main"), F.ceil(F.col("all") / F.greatest(F.lit(BLOCK), F.least(out, F.lit(HELD)))).alias("parts"), F.ceil(out / HELD).alias("sides"))
     of = materialise(of, "families")
     scratch.append(of)
     members = placed.join(of, "family")

@@ -106,6 +106,7 @@ def test_pipeline_stages_against_brute_force(spark, small):
 def test_jaccard_in_small_blocks(spark, monkeypatch, size, percent):
     """A family of hundreds of near copies about the threshold, over many blocks of members, outsiders and partners."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 1500)
+    monkeypatch.setattr(jaccard_join, "HELD", 900)
     monkeypatch.setattr(jaccard_join, "PARTNERS", 7)
     rng = random.Random(percent)
     texts = near_copies(rng, 300, families=1, length=90, edits=6) + near_copies(rng, 20, families=3, length=60, edits=5)
