@@ -161,9 +161,11 @@ def candidates(docs: DataFrame, *, given: tuple[str, ...] = GIVEN, id_col: str =
     placed = placed.withColumn("kind", F.when(F.col("grp").isNotNull(), kind))
     base = F.coalesce((F.col("grp") != "loose") & _passes(F.col("kind"), F.col("match")), F.lit(False))
     placed = placed.withColumn("base", base)
-    whole = Window.partitionBy("row").orderBy("start", F.col("base").desc())
-    left = F.max(F.when(F.col("base"), F.col("end"))).over(whole.rowsBetween(Window.unboundedPreceding, -1))
-    right = F.min(F.when(F.col("base"), F.col("start"))).over(whole.rowsBetween(1, Window.unboundedFollowing))
+    #: both ways over what comes before: a frame that ends at the partition's end costs the square of its rows
+    forth = Window.partitionBy("row").orderBy("start", F.col("base").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("row").orderBy(F.col("start").desc(), "base").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.max(F.when(F.col("base"), F.col("end"))).over(forth)
+    right = F.min(F.when(F.col("base"), F.col("start"))).over(back)
     free = ~F.coalesce(left > F.col("start"), F.lit(False)) & ~F.coalesce(right < F.col("end"), F.lit(False))
     marked = placed.withColumn("free", free)
     failed = ~F.col("base") & F.when(F.col("grp") == "card", F.length(_digits(F.col("match"))) >= NEAR).otherwise(F.col("grp").isin(*BASE))
