@@ -54,6 +54,8 @@ LONGEST = 8
 BITS, TEXT_BITS = 1 << 22, 1 << 27
 #: Shingles of the outsiders of a family that a task holds at most (on average), and of the members that it reads at least.
 HELD, BLOCK = 1 << 21, 1 << 17
+#: How far apart the marks of equal places in different partitions lie.
+SPREAD = 1_000_003
 #: Partners that one copy of a set serves.
 PARTNERS = 256
 
@@ -151,14 +153,15 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str,
     The marks are about eight bits for each wanted id, up to :data:`TEXT_BITS`.
     """
     bits = min(TEXT_BITS, max(1 << 20, 1 << (8 * wanted.count()).bit_length()))
-    marks, _ = bit_table(wanted, F.pmod("id", F.lit(bits)), bits)
+    #: ids may count on within partitions from multiples of 2^33: both parts enter the mark
+    marks, _ = bit_table(wanted, F.pmod(F.col("id") + F.shiftright("id", 33) * SPREAD, F.lit(bits)), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def some() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 b = b.filter(b.column(0).is_valid())
                 if b.num_rows:
-                    b = b.filter(pa.array(has_bit(marks, b.column(0).to_numpy().astype(np.int64).view(np.uint64) % np.uint64(bits))))
+                    b = b.filter(pa.array(has_bit(marks, _mark(b.column(0).to_numpy().astype(np.int64), bits))))
                     if b.num_rows:
                         yield b
 
@@ -168,6 +171,10 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str,
     return _texts(docs, id_col, text_col).mapInArrow(run, "id long, items binary")
 
 
+def _mark(ids: np.ndarray, bits: int) -> np.ndarray:
+    return ((ids + (ids >> 33) * SPREAD) & (bits - 1)).astype(np.uint64)
+
+
 def common(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of an ascending set with others."""
     at = np.cumsum([0, *map(len, sets)])
