@@ -55,7 +55,7 @@ BITS, TEXT_BITS = 1 << 22, 1 << 27
 #: Shingles of the outsiders of a family that a task holds at most (on average), and of the members that it reads at least.
 HELD, BLOCK = 1 << 21, 1 << 17
 #: How far apart the marks of equal places in different partitions lie.
-SPREAD = 1_000_003
+SPREAD, LOW = 1_000_003, (1 << 33) - 1
 #: Partners that one copy of a set serves.
 PARTNERS = 256
 
@@ -154,7 +154,7 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str,
     """
     bits = min(TEXT_BITS, max(1 << 20, 1 << (8 * wanted.count()).bit_length()))
     #: ids may count on within partitions from multiples of 2^33: both parts enter the mark
-    marks, _ = bit_table(wanted, F.pmod(F.col("id") + F.shiftright("id", 33) * SPREAD, F.lit(bits)), bits)
+    marks, _ = bit_table(wanted, F.pmod(F.col("id").bitwiseAND(F.lit(LOW)) + F.shiftright("id", 33) * SPREAD, F.lit(bits)), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def some() -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,7 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, size: int, *, id_col: str,
 
 
 def _mark(ids: np.ndarray, bits: int) -> np.ndarray:
-    return ((ids + (ids >> 33) * SPREAD) & (bits - 1)).astype(np.uint64)
+    return ((ids & LOW) + (ids >> 33) * SPREAD & (bits - 1)).astype(np.uint64)
 
 
 def common(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -288,8 +288,8 @@ def _hub_pairs(kept: DataFrame, percent: int, scratch: list[DataFrame]) -> DataF
     scratch.append(best)
     pairs = kept.join(best, "token").where((F.col("node") != F.col("hub")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
     counted = pairs.groupBy("node", "hub").agg(F.count("*").alias("k"), F.min(F.least("ell", "hub_ell")).alias("ell")).where("2 * k >= ell")
-    best = counted.groupBy("node").agg(F.max(F.struct("k", (-F.col("hub")).alias("hub"), "ell")).alias("best"))
-    return best.select("node", (-F.col("best.hub")).alias("hub"), (F.col("best.k") >= F.col("best.ell")).alias("may"))
+    best = counted.groupBy("node").agg(F.max(F.struct("k", F.bitwise_not("hub").alias("hub"), "ell")).alias("best"))
+    return best.select("node", F.bitwise_not("best.hub").alias("hub"), (F.col("best.k") >= F.col("best.ell")).alias("may"))
 
 
 def _placed(nodes: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:

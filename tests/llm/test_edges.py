@@ -135,6 +135,16 @@ def test_jaccard_of_shared_ids(spark):
     assert got == group(set(ids), links)
 
 
+def test_jaccard_of_extreme_ids(spark):
+    """Ids at both ends of 64 bits, and ids that differ by multiples of a table's size."""
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(80))
+    ids = [-(2**63), -(2**63) + 1, 2**63 - 1, 2**63 - 2, 0, 2**33, 5 << 33, -(7 << 33)]
+    texts = [text.replace("w17 ", f"x{i} ") + f" end{i % 3}" for i in range(len(ids))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(table(spark, texts, ids), 4, 85).collect()}
+    assert got == dict.fromkeys(ids, -(2**63))
+
+
 def test_long_texts(spark):
     rng = random.Random(9)
     vocab = [f"w{i}" for i in range(3000)]
