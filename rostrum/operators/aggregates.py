@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,6 +83,48 @@ def box(df: DataFrame, by: list[str], col: str) -> DataFrame:
     return df.groupBy(*by).agg(p.alias("p")).select(*by, *(F.col("p")[i].alias(n) for i, n in enumerate(("low", "q1", "median", "q3", "high"))))
 
 
+#: Buckets of a doubling of the values at the first pass, and parts of a bucket at each further one; results don't depend on them.
+OCTAVE, PARTS = 256, 65_536
+
+
+def quantiles(df: DataFrame, col: str, at: list[float], *, octave: int = OCTAVE, parts: int = PARTS) -> DataFrame:
+    """One row: ``n``, ``mean`` and ``q``, the exact quantiles ``at``, in proportion between neighbours as ``percentile`` has them.
+
+    Nulls don't count, NaN is the largest value; without values ``mean`` and all of ``q`` are null. No task holds the values, however
+    many differ: a pass counts them in a bounded number of buckets, each a span of values, and the next looks into those of the wanted
+    ranks only, until each has one value. Two or three passes over ``df`` are usual, and they run when this is called.
+    """
+    x = df.select(F.col(col).cast("double").alias("x")).where("x IS NOT NULL")
+    figures = [F.count("*").alias("n"), F.sum("x").alias("s"), F.min("x").alias("lo"), F.max("x").alias("hi")]
+
+    def holding(counts: DataFrame, before: Column, ranks: list[Column]) -> list:
+        c = counts.withColumn("before", before + F.sum("n").over(Window.partitionBy("b").orderBy("lo")) - F.col("n"))
+        return c.where(reduce(lambda p, q: p | q, ((r >= F.col("before")) & (r < F.col("before") + F.col("n")) for r in ranks))).collect()
+
+    size = F.log2(F.abs("x")) * octave + 1100 * octave  # above 0, as no double is below 2^-1074
+    key = F.when(F.isnan("x"), F.lit(2**62)).otherwise(F.coalesce(F.floor(F.signum("x") * size), F.lit(0)))
+    every = Window.partitionBy("b")
+    first = x.groupBy(key.alias("k")).agg(*figures).withColumn("b", F.lit(0))
+    first = first.withColumns({"total": F.sum("n").over(every), "mean": F.sum("s").over(every) / F.sum("n").over(every)})
+    found = holding(first, F.lit(0), [f((F.col("total") - 1) * F.lit(q)) for q in at for f in (F.floor, F.ceil)])
+    total, mean = (found[0].total, found[0].mean) if found else (0, None)
+    places = [(total - 1) * float(q) for q in at]
+    while some := [r for r in found if r.lo < r.hi]:
+        of = lambda each: F.coalesce(*(F.when(F.col("b") == i, each(r)) for i, r in enumerate(some)))
+        d = x.select("x", F.coalesce(*(F.when(F.col("x").between(r.lo, r.hi), F.lit(i)) for i, r in enumerate(some))).alias("b")).where("b IS NOT NULL")
+        key = of(lambda r: F.col("x") if r.n <= parts else F.floor((F.col("x") - r.lo) / (r.hi - r.lo) * parts).cast("double"))
+        ranks = sorted({f(p) for p in places for f in (math.floor, math.ceil)})
+        found = [r for r in found if not r.lo < r.hi] + holding(d.groupBy("b", key.alias("k")).agg(*figures), of(lambda r: F.lit(r.before)), [F.lit(r) for r in ranks])
+
+    def value(place: float) -> float:
+        low, high = math.floor(place), math.ceil(place)
+        a, b = (next(r.lo for r in found if r.before <= i < r.before + r.n) for i in (low, high))
+        return a if low == high or a == b else (high - place) * a + (place - low) * b
+
+    double = lambda v: F.lit(v).cast("double")
+    return df.sparkSession.range(1, numPartitions=1).select(F.lit(total).cast("long").alias("n"), double(mean).alias("mean"), F.array(*(double(value(p) if found else None) for p in places)).alias("q"))
+
+
 def latency(df: DataFrame, by: list[str], col: str, failed: Column, slow: float) -> DataFrame:
     """Percentiles, and the shares of failed and of slow requests."""
     p = F.percentile(col, [0.5, 0.75, 0.95, 0.99])

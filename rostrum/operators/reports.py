@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rostrum.operators.aggregates import quantiles
+
 #: Names that stand for no person, in lower case, and topics of nearly every day (looked for at the start, in any case).
 NON_SPEAKERS = ("stage direction", "business start", "procedural text")
 PROCEDURAL_NAMES = (
@@ -146,10 +148,11 @@ def by_key_ratio(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return n.join(m, key).withColumn("ratio", F.col("a") / F.col("b"))
 
 
-def ratio_figures(ratios: DataFrame, col: str = "ratio") -> DataFrame:
-    """Mean, median and the outer twentieths."""
-    q = F.percentile(col, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    return ratios.agg(F.avg(col).alias("mean"), q.alias("q")).select(F.round("mean", 4).alias("mean"), *(F.round(F.col("q")[i], 4).alias(c) for i, c in enumerate(("p5", "median", "p95"))))
+def ratio_figures(ratios: DataFrame, col: str = "ratio", *, few: bool = False) -> DataFrame:
+    """Mean, median and the outer twentieths; of ``few`` ratios, as one for each day, by one aggregate that holds them."""
+    at = [0.05, 0.5, 0.95]
+    d = ratios.agg(F.avg(col).alias("mean"), F.percentile(col, at).alias("q")) if few else quantiles(ratios, col, at)
+    return d.select(F.round("mean", 4).alias("mean"), *(F.round(F.col("q")[i], 4).alias(c) for i, c in enumerate(("p5", "median", "p95"))))
 
 
 def compare(a: DataFrame, b: DataFrame, words: Column, speaker: str, interjects: Column, cols: list[str]) -> DataFrame:
@@ -174,7 +177,7 @@ def compare(a: DataFrame, b: DataFrame, words: Column, speaker: str, interjects:
     def cut(d: DataFrame, side: str) -> DataFrame:
         return d.agg(F.round(100 * F.avg(F.when(interjects, 1.0).otherwise(0.0)), 4).alias(side)).select(F.lit("interjections").alias("what"), F.lit("pct").alias("key"), side)
 
-    ratio = ratio_figures(spoken(x, "a").join(spoken(y, "b"), "date").select((F.col("a") / F.col("b")).alias("ratio")))
+    ratio = ratio_figures(spoken(x, "a").join(spoken(y, "b"), "date").select((F.col("a") / F.col("b")).alias("ratio")), few=True)
     figures = ratio.unpivot([], ["mean", "p5", "median", "p95"], "key", "a").select(F.lit("speakers").alias("what"), "key", "a", F.lit(None).cast("double").alias("b"))
     parts = [f(a if f is full else x, "a").join(f(b if f is full else y, "b"), ["what", "key"]).select("what", "key", "a", "b") for f in (full, years, cut)]
     return reduce(DataFrame.union, [*parts, figures])

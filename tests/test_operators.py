@@ -271,3 +271,30 @@ def test_lookup_order(spark, tmp_path):
         assert {r.key: r.value for r in first.collect()} == {f"k{i}": f"00-{i:05d}" for i in range(50)}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quantiles_are_exact_on_every_pass(spark):
+    """Odd values, and buckets so coarse that many passes follow, against ``percentile``."""
+    rng, at = random.Random(24), [0.0, 0.05, 0.3, 0.5, 0.95, 1.0]
+    inf, nan = float("inf"), float("nan")
+    some = [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(300)]
+    close = [1.0 + rng.randrange(400) * 2.0**-52 for _ in range(300)]
+    cases = [[None], [None, 2.0, None, 2.0], [0.0, -0.0, 0.0], [1.0, 2.0, 3.0, 10.0], [5e-324, 1e-323, -5e-324, 0.0], [-1.7e308, 1.7e308, 5.0], [nan, 1.0, 2.0, inf, -inf, None], [3.0] * 200 + close + some]
+    for values in cases:
+        d = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        want = d.agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.percentile("v", at).alias("q")).first()
+        for octave, parts in ((256, 65_536), (1, 3))[len(values) < 99 :]:
+            got = A.quantiles(d, "v", at, octave=octave, parts=parts).first()
+            assert got.n == want.n and all(x == y or str(x) == str(y) for x, y in zip(got.q, want.q or [None] * len(at), strict=True))
+            assert str(got.mean) == str(want.mean) or abs(got.mean - want.mean) <= 1e-9 * max(map(abs, filter(None, values)))
+    whole = spark.range(1, 1001).select((F.col("id") * 3).alias("v"))
+    assert A.quantiles(whole, "v", [0.999], octave=1, parts=3).first().q == whole.agg(F.percentile("v", [0.999]).alias("q")).first().q
+
+
+def test_ratio_figures_hold_no_map_of_values(spark, monkeypatch):
+    """``percentile`` keeps each different value in one task's map, which 36 million ratios don't fit."""
+    d = spark.range(5000).select((F.col("id") / 7).alias("ratio"))
+    want = d.agg(F.round(F.avg("ratio"), 4).alias("mean"), *(F.round(F.percentile("ratio", q), 4).alias(c) for c, q in (("p5", 0.05), ("median", 0.5), ("p95", 0.95)))).first()
+    monkeypatch.setattr(F, "percentile", lambda *_: 1 / 0)
+    assert R.ratio_figures(d).first() == want
+    assert R.ratio_figures(d.where("false")).first().asDict() == dict.fromkeys(("mean", "p5", "median", "p95"))
